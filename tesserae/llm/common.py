@@ -52,3 +52,28 @@ def text_or_empty(col: str = "text") -> Column:
 def squeezed(text: Column) -> Column:
     """Text without its white space."""
     return F.translate(text, SPACE, "")
+
+
+def map_texts(docs: DataFrame, fn, schema: str, id_col: str = "doc_id", text_col: str = "text", most: int = 4 << 20) -> DataFrame:
+    """mapInArrow over (id, text) in slices of about `most` bytes of text. fn(ids, texts) yields record
+    batches; it gets the ids as an Arrow array and the texts as a list with None for null."""
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(1)
+            for a, b in _slices(text, most):
+                yield from fn(batch.column(0).slice(a, b - a), text.slice(a, b - a).to_pylist())
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def _slices(text, most: int):
+    import numpy as np
+    import pyarrow.compute as pc
+
+    total = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False))))
+    a, n = 0, len(text)
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(total, total[a] + most, "right")) - 1)
+        yield a, min(b, n)
+        a = min(b, n)

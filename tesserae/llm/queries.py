@@ -5,17 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact_dedup
+from tesserae.llm import bpe_codec, exact_dedup, packing, sharding, sstable, token_counts
 from tesserae.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = token_counts.lengths(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return token_counts.suffix_sums(token_counts.histogram(lengths))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.coded(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), ("n_tokens", "ids_sha256", "decoded_sha256")).withColumnRenamed("id", "doc_id")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False).withColumnRenamed("id", "doc_id")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.classes(spark, table(spark, sf_dir, "documents"))
     return rows.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", (F.col("at") == F.col("keep_at")).alias("kept"), F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {"op6_exact_dedup": op6_exact_dedup}
+def op7_token_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sstable.written(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
+    return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shards(spark, table(spark, sf_dir, "documents"))
+    return rows.withColumnRenamed("id", "doc_id").withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_bpe, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": r"""
