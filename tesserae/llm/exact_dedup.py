@@ -3,9 +3,8 @@
 Rows arrive through a file stream as slim records (digest, code points, identifier, content locator).
 A streaming aggregation without a watermark keeps one state entry per digest, for ever, in RocksDB on
 the executors' disks: the retained row (most code points, then smallest identifier, then locator) and
-the number of rows seen. The state is read back as a table. Every digest seen twice is a hit, and on a
-hit the normalised texts themselves are compared with the retained row's; rows that share a digest but
-not the text form classes of their own.
+the number of rows seen. The state is read back as a table. On a hit the normalised texts themselves
+are compared; rows that share a digest with the retained row but not the text form classes of their own.
 
 Everything is DataFrame work. The aggregation combines before it shuffles, so a digest that holds a
 third of all rows costs one state update a task; the joins back are sort-merge joins on slim rows,
@@ -57,6 +56,7 @@ def _run_stream(spark: SparkSession, arrivals: DataFrame, path: str, files_per_b
     for key, value in (
         ("spark.sql.streaming.stateStore.providerClass", ROCKSDB),
         ("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"),
+        ("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false"),
         ("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true"),
         ("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "200"),
         ("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")),
@@ -86,15 +86,16 @@ def _classes(spark: SparkSession, located: DataFrame, id_col: str, text_col: str
     state = state.select("digest", F.col("keep.at").alias("keep_at"), F.when(F.col("keep.minus_id") > -LAST, -F.col("keep.minus_id")).alias("keep_id"), F.col("n").alias("group_size"))
     out = arrivals.join(state, "digest").select("id", "at", "keep_id", "keep_at", "group_size", "digest")
 
-    # Hits: the texts themselves decide.
-    hits = state.where("group_size > 1")
+    # Hits: the texts themselves decide. The least and the greatest text of a digest are combined before
+    # the exchange, so copies don't travel.
     texts = located.select(F.col("__at").alias("at"), F.sha2(squeezed(text_or_empty(text_col)), 256).alias("digest"), squeezed(text_or_empty(text_col)).alias("body"))
-    again = texts.join(hits.select("digest", "keep_at"), "digest")
-    held_bodies = again.where(F.col("at") == F.col("keep_at")).select("digest", F.col("body").alias("kept_body"))
-    other, other_path = store(again.where(F.col("at") != F.col("keep_at")).join(held_bodies, "digest").where(F.col("body") != F.col("kept_body")).select("at", "digest", "body"), "clashes")
-    if other.isEmpty():
-        drop(spark, other_path)
+    clash = texts.groupBy("digest").agg(F.min("body").alias("least"), F.max("body").alias("most")).where("least != most").select("digest")
+    clashes, clash_path = store(clash, "clashes")
+    if clashes.isEmpty():
+        drop(spark, clash_path)
         return out
+    kept = texts.join(clashes, "digest").join(state.select("digest", F.col("keep_at").alias("at")), ["digest", "at"]).select("digest", F.col("body").alias("kept_body"))
+    other = texts.join(clashes, "digest").join(kept, "digest").where(F.col("body") != F.col("kept_body")).select("at", "digest", "body")
     own = other.join(arrivals.drop("digest"), "at")
     best = F.max(F.struct("points", (-F.coalesce("id", F.lit(LAST))).alias("minus_id"), "at"))
     parts = own.groupBy("body").agg(best.alias("keep"), F.count(F.lit(1)).alias("n"))
