@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tesserae.llm.common import drop, map_texts, store
 
@@ -112,7 +113,7 @@ def place(made: DataFrame, width: int) -> DataFrame:
     histogram = {r["length"]: r["n"] for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most width rows
     table = plan(histogram, width)
     ranked = made.join(base, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("base")).drop("base", "task")
-    schema = ranked.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType([*ranked.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(batches):
         bound = int(table[:, 1].max(initial=0)) + 1

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tesserae.llm.common import store, text_or_empty
 
@@ -83,7 +84,8 @@ def ranked(df: DataFrame, order: list[str], weight: str) -> tuple[DataFrame, int
             yield pa.record_batch([*b.columns, pa.array(np.full(len(b), task, np.int64)), pa.array(np.arange(n, n + len(b))), pa.array(w + upto - weights)], [*b.schema.names, "task", "rank", "before"])
             n, w = n + len(b), w + int(upto[-1]) if len(b) else w
 
-    held, _ = store(sorted_.mapInArrow(number, df.schema.add("task", "long").add("rank", "long").add("before", "long")), "ranked")
+    schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.LongType()) for c in ("task", "rank", "before"))])
+    held, _ = store(sorted_.mapInArrow(number, schema), "ranked")
     sums = held.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w"))
     upto = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("task", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("n0"), F.coalesce(F.sum("w").over(upto), F.lit(0)).alias("w0"))  # a row a task

@@ -133,6 +133,10 @@ class Cutter:
         return number, np.array(lead, np.int64)
 
 
+def _lower(text: str) -> str:
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
 class Encoder:
     """encode(texts) gives all ids in one array and where each text's ids begin."""
 
@@ -146,6 +150,7 @@ class Encoder:
             self.unseen: Callable = PairIndex(self.tokenizer).encode
         else:
             self.unseen = self._by_library
+        self.lowered, self.odd = set(" \t\n\x0b\x0c\r"), set()  # white space is dropped in any form
         self._forget()
 
     def _forget(self) -> None:
@@ -173,10 +178,18 @@ class Encoder:
         return np.fromiter(map(slot.__getitem__, words), np.int64, len(words))
 
     def _normal(self, text: str) -> str:
+        """The library's normal form. Letters that it lowers otherwise than Python (it may know another
+        edition of Unicode) are found by asking it once for each letter."""
         if self.kind == BYTE:
             return text
-        text = text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")  # the library lowers letters one by one
-        return text.lower()
+        if text.isascii():
+            return text.lower()
+        letters = set(text)
+        for ch in letters - self.lowered:
+            self.lowered.add(ch)
+            if self.tokenizer.normalizer.normalize_str(ch) != _lower(ch):
+                self.odd.add(ch)
+        return _lower(text) if letters.isdisjoint(self.odd) else self.tokenizer.normalizer.normalize_str(text)
 
     def _pieces(self, text: str) -> Iterator[tuple[str, int]]:
         """The text's parts between special tokens, with the id after each or -1. Very long parts are
