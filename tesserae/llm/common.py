@@ -2,45 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesserae.storage import drop, scratch, shared_root, store  # noqa: F401
+
 #: White space of the word and equality rules: fixed values of the query contract.
 SPACE = " \t\n\x0b\x0c\r"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tesserae-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return root
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def drop(spark: SparkSession, *paths: str) -> None:
-    """Delete scratch paths through Hadoop's file systems."""
-    for p in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def store(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
-    """Write df as Parquet into the shared folder and read it again: lineage ends there, and a lost
-    executor costs no recomputation. Returns the frame and its path, for drop()."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import bpe_codec, exact_dedup, packing, sharding, sstable, token_counts
+from tesserae.llm import bpe_codec, exact_dedup, near_dedup, packing, sharding, sstable, token_counts
 from tesserae.llm.common import table
 
 
@@ -15,6 +15,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_dedup.components(spark, table(spark, sf_dir, "documents"), k=3, percent=85)
+    return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = token_counts.lengths(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return token_counts.suffix_sums(token_counts.histogram(lengths))
@@ -44,7 +49,7 @@ def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id").withColumn("grown_shard", F.lit(None).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_bpe, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_bpe, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": r"""
