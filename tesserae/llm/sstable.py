@@ -3,10 +3,12 @@
 A file holds documents in ascending order of their key (null first, then the identifier), and consists
 of data blocks, an index, a Bloom filter and a footer:
 
-* entry: varints for the bytes shared with the previous key, the other key bytes and the value bytes;
-  then the key bytes that aren't shared, then the ids as little-endian unsigned 32-bit integers. The
-  first entry of a block shares nothing;
-* block: entries, then their CRC-32. A block is closed at `BLOCK_BYTES`;
+* entry: varints for the bytes shared with the previous key, the other key bytes, and twice the number
+  of ids, plus one if they are wide; then the key bytes that aren't shared, then the ids as
+  little-endian unsigned integers of 16 bits, or of 32 bits if they are wide. The first entry of a block
+  shares nothing;
+* block: entries compressed by zstd, then the CRC-32 of the compressed bytes. A block is closed when
+  its entries reach `BLOCK_BYTES`;
 * index: for each block its last key's length and bytes, offset and size;
 * filter: bits set at (h1 + i * h2) mod size for seven i, from the halves of the key's 128-bit xxHash;
 * footer, 56 bytes: offset and size of index and filter, documents, ids (six 64-bit), then the magic.
@@ -30,6 +32,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -79,22 +82,23 @@ class Writer:
     def __init__(self):
         self.data, self.block, self.index, self.keys, self.last, self.ids = bytearray(), bytearray(), [], [], b"", 0
 
-    def add(self, key: bytes, value: bytes) -> None:
+    def add(self, key: bytes, ids: np.ndarray) -> None:
+        wide = bool(ids.size and ids.max() > 0xFFFF)
         shared = 0
         if self.block:
             while shared < len(key) and key[shared] == self.last[shared]:
                 shared += 1
-        self.block += varint(shared) + varint(len(key) - shared) + varint(len(value)) + key[shared:] + value
-        self.last, self.ids = key, self.ids + len(value) // 4
+        self.block += varint(shared) + varint(len(key) - shared) + varint(2 * len(ids) + wide) + key[shared:] + ids.astype("<u4" if wide else "<u2").tobytes()
+        self.last, self.ids = key, self.ids + len(ids)
         self.keys.append(key)
         if len(self.block) >= BLOCK_BYTES:
             self._close_block()
 
     def _close_block(self) -> None:
         if self.block:
-            self.block += struct.pack("<I", zlib.crc32(self.block))
-            self.index.append((self.last, len(self.data), len(self.block)))
-            self.data += self.block
+            packed = zstandard.compress(bytes(self.block), 1)
+            self.index.append((self.last, len(self.data), len(packed) + 4))
+            self.data += packed + struct.pack("<I", zlib.crc32(packed))
             self.block = bytearray()
 
     def finish(self) -> bytes:
@@ -129,14 +133,15 @@ class Table:
         body = self.data[at : at + n - 4]
         if zlib.crc32(body) != struct.unpack("<I", self.data[at + n - 4 : at + n])[0]:
             raise ValueError(f"block {block} is damaged")
-        p, key = 0, b""
+        body, p, key = memoryview(zstandard.decompress(bytes(body))), 0, b""
         while p < len(body):
             shared, p = read_varint(body, p)
             own, p = read_varint(body, p)
             size, p = read_varint(body, p)
             key = key[:shared] + bytes(body[p : p + own])
-            yield key, body[p + own : p + own + size]
-            p += own + size
+            n, p = (size >> 1) * (4 if size & 1 else 2), p + own
+            yield key, np.frombuffer(body[p : p + n], "<u4" if size & 1 else "<u2").astype("<u4")
+            p += n
 
     def get(self, doc_id: int | None) -> list[np.ndarray]:
         """Ids of every document with this identifier."""
@@ -145,7 +150,7 @@ class Table:
             return []
         out, block = [], bisect.bisect_left(self.last, key)
         while block < len(self.blocks):
-            out += [np.frombuffer(v, "<u4") for k, v in self._entries(block) if k == key]
+            out += [v for k, v in self._entries(block) if k == key]
             if self.last[block] != key:
                 break
             block += 1
@@ -154,7 +159,7 @@ class Table:
     def scan(self):
         for block in range(len(self.blocks)):
             for key, value in self._entries(block):
-                yield id_of(key), np.frombuffer(value, "<u4")
+                yield id_of(key), value
 
 
 def _put(folder: str, name: str, data: bytes) -> None:
@@ -192,9 +197,9 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_col: st
             text = batch.column(1)
             for a, b in _slices(text, 4 << 20):
                 flat, offset = enc.encode(text.slice(a, b - a).to_pylist())
-                raw, end = flat.astype("<u4").tobytes(), struct.pack("<I", end_id)
+                flat, offset = np.insert(flat, offset[1:], np.uint32(end_id)), offset + np.arange(len(offset))
                 for doc_id, x, y in zip(batch.column(0).slice(a, b - a).to_pylist(), offset.tolist(), offset.tolist()[1:]):
-                    writer.add(key_of(doc_id), raw[4 * x : 4 * y] + end)
+                    writer.add(key_of(doc_id), flat[x:y])
                     if len(writer.data) >= FILE_BYTES:
                         yield close()
                         part, writer = part + 1, Writer()

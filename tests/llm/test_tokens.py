@@ -131,7 +131,7 @@ def test_token_tables(spark, docs, rows, no_docs, monkeypatch):
 def test_table_lookup():
     w = sstable.Writer()
     for i in [None, -5, 1, 1, 7, *range(100, 3000, 3)]:
-        w.add(sstable.key_of(i), le([1, i % 97 if i is not None else 0]))
+        w.add(sstable.key_of(i), np.array([1, i % 97 if i is not None else 70_000], np.uint32))
     t = sstable.Table(w.finish())
     assert len(t.get(1)) == 2 and len(t.get(None)) == 1 and t.get(-5)[0].tolist() == [1, 92]
     assert t.get(101) == [] and all(len(t.get(i)) == 1 for i in range(100, 3000, 3))
