@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import bpe_codec, exact_dedup, near_dedup, packing, sharding, sstable, token_counts
+from tesserae.llm import bpe_codec, exact_dedup, near_dedup, packing, sharding, sstable, suffix_dedup, token_counts
 from tesserae.llm.common import table
 
 
@@ -49,7 +49,12 @@ def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id").withColumn("grown_shard", F.lit(None).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_bpe, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.cleaned(spark, table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_bpe, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards, op10_suffix_dedup)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": r"""

@@ -9,25 +9,23 @@ from __future__ import annotations
 
 import numpy as np
 
-GRAM, SPAN = 64, 100
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+GRAM, SPAN = 64, 160
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(12, (n - 1).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
-        _POWERS[size] = tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)))) for b in (_BASE, _INVERSE))
-    up, down = _POWERS[size]
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2^64, kept for the longest text so far."""
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        _POWERS[base] = tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)))) for b in (base, pow(base, -1, 1 << 64)))
+    up, down = _POWERS[base]
     return up[:n], down[:n]
 
 
-def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """A hash of data[i : i + gram] for each i, from prefix sums modulo 2^64."""
+def gram_hashes(data: np.ndarray, gram: int = GRAM, other: bool = False) -> np.ndarray:
+    """A hash of data[i : i + gram] for each i, from prefix sums modulo 2^64. `other` takes another base."""
     n = len(data) - gram + 1
-    up, down = _powers(len(data))
+    up, down = _powers(len(data), 0xC2B2AE3D27D4EB4F if other else 0x9E3779B97F4A7C15)
     letters = np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     letters ^= letters >> np.uint64(31)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(letters[data] * up)))
@@ -49,15 +47,24 @@ def sliding(x: np.ndarray, w: int, op: np.ufunc, fill) -> np.ndarray:
     return op(right[: n - w + 1], left[w - 1 : n])
 
 
-def selected(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def selected(data: np.ndarray, gram: int = GRAM, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
     """For each window its least hash; and the hashes at all selected places."""
-    h = gram_hashes(data)
-    least = sliding(h, SPAN, np.minimum, np.iinfo(np.uint64).max)
-    edge = np.full(SPAN - 1, 0, np.uint64)
-    most = sliding(np.concatenate((edge, least, edge)), SPAN, np.maximum, 0)
+    h = gram_hashes(data, gram)
+    least = sliding(h, span, np.minimum, np.iinfo(np.uint64).max)
+    edge = np.full(span - 1, 0, np.uint64)
+    most = sliding(np.concatenate((edge, least, edge)), span, np.maximum, 0)
     return least, h[h == most]
 
 
+def among(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
+    """Whether each value is in a sorted array, by binary search."""
+    if not len(sorted_set):
+        return np.zeros(len(values), bool)
+    k = np.searchsorted(sorted_set, values)
+    k[k == len(sorted_set)] = 0
+    return sorted_set[k] == values
+
+
 def stretches(repeated: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Byte ranges that strings of `length` bytes can fill, given for each window whether its hash is
     selected elsewhere too."""
