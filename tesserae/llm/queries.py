@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import bpe_codec, exact_dedup, near_dedup, packing, sharding, sstable, suffix_dedup, token_counts
+from tesserae.llm import bpe_codec, exact_dedup, near_dedup, packing, sharding, sstable, suffix_dedup, token_counts, toxicity
 from tesserae.llm.common import table
 
 
@@ -49,12 +49,18 @@ def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id").withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = toxicity.scored(docs, toxicity.fit(spark, docs, table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
+    return rows.select("doc_id", (toxicity.fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffix_dedup.cleaned(spark, table(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_bpe, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_bpe, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards, op9_toxicity, op10_suffix_dedup)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": r"""
