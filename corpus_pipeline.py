@@ -1,5 +1,68 @@
-"""Corpus pipeline (filled in as its operators arrive)."""
+"""The corpus pipeline: toxic documents go, copies and near copies go, long repeats are cut out of what
+is left, and the rest is packed into training sequences. Each stage works on what its predecessor kept.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tesserae.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxicity
+from tesserae.llm.common import store, table, text_or_empty
+from tesserae.llm.queries import vocabulary
+
+#: Five-word shingles, linked from a similarity of 0.8; repeats from 400 bytes; windows of 1024 ids.
+SHINGLE, PERCENT, REPEAT, WIDTH = 5, 80, 400, 1024
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half."""
+    return toxicity.without_toxic(spark, docs, table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal without their white space, the longest in code points."""
+    return exact_dedup.deduplicated(spark, docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the smallest identifier. Documents without an
+    identifier or without words stay."""
+    found = near_dedup.components(spark, docs, SHINGLE, PERCENT)
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes that lie in a repeated string; n_chars follows. Every row stays."""
+    found = suffix_dedup.cleaned(spark, docs, REPEAT, with_text=True)
+    changed = found.where("kept_text IS NOT NULL").select(F.col("key").alias("__key"), F.col("kept_text").alias("__kept")).dropDuplicates(["__key"])
+    keyed = docs.withColumn("__of", F.unhex(F.sha2(F.encode(text_or_empty(), "utf-8"), 256)))
+    joined = keyed.join(changed, F.col("__of") == F.col("__key"), "left")
+    new = {"text": F.coalesce("__kept", "text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("__kept").cast(dict(docs.dtypes)["n_chars"]))
+    return joined.withColumns(new).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece: its document, start, length, checksum, sequence and offset."""
+    return packing.packed(spark, docs, vocabulary("byte_bpe_50k.json"), width=WIDTH, with_ids=False).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("suffix_dedup", cut_repeats), ("packing", pack)]
+
+#: No SQL: the stages learn, hash and pack. tests/llm/test_pipeline.py holds run() against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table, each one's rows stored before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs, _ = store(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
 
 
 def queries():
-    return {}, {}
+    return {"pipeline": run}, ({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})

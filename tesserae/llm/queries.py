@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import bpe_codec, exact_dedup, near_dedup, packing, sharding, sstable, suffix_dedup, token_counts, toxicity
+from tesserae.llm import bpe_codec, exact_dedup, near_dedup, packing, sharding, sstable, suffix_dedup, token_counts, topk, toxicity
 from tesserae.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.coded(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), ("n_tokens", "ids_sha256", "decoded_sha256")).withColumnRenamed("id", "doc_id")
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(spark, table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False).withColumnRenamed("id", "doc_id")
 
@@ -60,9 +64,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_bpe, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards, op9_toxicity, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_bpe, op4_topk, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards, op9_toxicity, op10_suffix_dedup)}
 
 ORACLE_SQL = {
+    "op4_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+             r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op6_exact_dedup": r"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points,
                           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256 FROM documents)

@@ -62,16 +62,13 @@ def _profiles(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataF
 def _stretches(docs: DataFrame, wanted: DataFrame, length: int, text_col: str) -> DataFrame:
     """key, body, spans of each wanted text (key, known: its hashes that repeat)."""
     texts = docs.select(F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8").alias("body")).withColumn("key", F.unhex(F.sha2("body", 256)))
-    found = texts.join(wanted, "key").select("key", "body", "known")
+    found = texts.join(wanted, "key").groupBy("key").agg(F.first("body").alias("body"), F.first("known").alias("known"))  # copies of a text become one
 
     def run(batches):
-        last = None
         for b in batches:
             keys, bodies, starts, ends = [], [], [], []
             for k, body, known in zip(*(b.column(c) for c in ("key", "body", "known"))):
-                if (k := k.as_py()) == last:
-                    continue  # copies of a text are neighbours after the join
-                last, raw = k, body.as_py()
+                k, raw = k.as_py(), body.as_py()
                 known = np.sort(known.values.to_numpy().view(np.uint64))
                 least, _ = selected(np.frombuffer(raw, np.uint8))
                 cut = np.flatnonzero(np.concatenate((np.ones(1, bool), least[1:] != least[:-1])))
@@ -89,7 +86,7 @@ def _stretches(docs: DataFrame, wanted: DataFrame, length: int, text_col: str) -
                     ends.append([p[1] for p in parts])
             yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(bodies, pa.binary()), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64()))], ["key", "body", "starts", "ends"])
 
-    return found.sortWithinPartitions("key").mapInArrow(run, "key binary, body binary, starts array<long>, ends array<long>")
+    return found.mapInArrow(run, "key binary, body binary, starts array<long>, ends array<long>")
 
 
 def _pieces(texts: DataFrame) -> DataFrame:

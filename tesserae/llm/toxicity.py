@@ -228,8 +228,8 @@ class Model:
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        if self.slope == 0:
-            return np.full(len(texts), self.offset)
+        if not len(self.keys):
+            return np.zeros(len(texts))
         return 1 / (1 + np.exp(-np.clip(self.slope * self.sums(texts) + self.offset, -30, 30)))
 
 
@@ -284,8 +284,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     seen0[np.searchsorted(keys, clean["feature"].to_numpy(np.int64).view(np.uint64))] = clean["n"].to_numpy(np.int64)
     p1, p0 = (seen1 + 0.5) / (n1 + 1), (seen0 + 0.5) / (n0 + 1)
     odds = np.log(p1 / (1 - p1)) - np.log(p0 / (1 - p0))
-    spread = np.sqrt(1 / (seen1 + 0.5) + 1 / (seen0 + 0.5))
-    good = (odds > 2) & (odds > 4 * spread)
+    pooled = (seen1 + seen0) / (n1 + n0)
+    sure = (seen1 / n1 - seen0 / n0) / np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / n1 + 1 / n0))
+    good = (odds > 2) & (sure > 4)
     model = Model(letters, keys[good], odds[good], 1.0, 0.0)
 
     def binned(batches):
