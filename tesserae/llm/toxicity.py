@@ -10,8 +10,9 @@ The letter model is counted over all documents. Words and word beginnings are le
 rows: those in a share of at least SUPPORT of the toxic rows, whose odds differ from clean rows by
 enough. At most TRAIN_ROWS labelled rows are used, those with the smallest hash of their identifier, so
 that the labels can be sent to every task; a feature needs a fixed share of the toxic rows, which
-bounds their number by the words of an average document over SUPPORT. The sum of a text's weights is
-made a probability by a logistic curve fitted on a histogram of the same rows.
+bounds their number by the words of an average document over SUPPORT. The strongest weight in a text,
+which its length hardly moves, is made a probability by a logistic curve fitted on a histogram of the
+same rows.
 
 Null and empty texts have no features and score as such. Repeated rows get equal scores; labels, lang,
 source and doc_id are not read in scoring. Without labelled rows of both kinds every score is 0.
@@ -33,7 +34,7 @@ TRAIN_ROWS, SUPPORT, FOLDS = 200_000, 0.002, 5
 READINGS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "*": "aeiou", "_": "", "-": "", ".": ""}
 #: Costs in nats: a sign read as a letter; a gap dropped, a readable sign dropped, or a sign left as it
 #: is; a repeated letter dropped or kept.
-READ, SKIP, LOSE, LEAVE, SQUEEZE, KEEP = 1.0, 0.7, 4.5, 6.0, 0.2, 1.5
+READ, SKIP, LOSE, LEAVE, SQUEEZE, KEEP = 1.0, 0.7, 9.0, 12.0, 0.2, 1.5
 SIZES = (4, 5, 6)
 
 
@@ -216,7 +217,7 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"_channel": None}
 
-    def sums(self, texts: list[str | None]) -> np.ndarray:
+    def evidence(self, texts: list[str | None]) -> np.ndarray:
         from tesserae.llm.winnow import among
 
         if self._channel is None:
@@ -224,13 +225,13 @@ class Model:
         out = np.zeros(len(texts))
         for k, f in enumerate(features(self._channel.restored([t or "" for t in texts]))):
             f = f[among(f, self.keys)]
-            out[k] = self.weights[np.searchsorted(self.keys, f)].sum()
+            out[k] = self.weights[np.searchsorted(self.keys, f)].max(initial=0.0)
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if not len(self.keys):
             return np.zeros(len(texts))
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.sums(texts) + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.evidence(texts) + self.offset, -30, 30)))
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> Model:
@@ -295,7 +296,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
         for b in batches:
             for x, y in _slices(b.column(1), 1 << 20):
                 part = b.slice(x, y - x)
-                yield pa.record_batch([part.column(0), pa.array(np.minimum(np.rint(model.sums(part.column(1).to_pylist()) * 4), 400).astype(np.int64))], ["toxic", "bin"])
+                yield pa.record_batch([part.column(0), pa.array(np.minimum(np.rint(model.evidence(part.column(1).to_pylist()) * 4), 400).astype(np.int64))], ["toxic", "bin"])
 
     bins = rows.select(F.col("toxic").cast("int"), "text").mapInArrow(binned, "toxic int, bin long").groupBy("toxic", "bin").agg(F.count(F.lit(1)).alias("n")).toPandas()
     x, y, n = bins["bin"].to_numpy(float) / 4, (bins["toxic"].to_numpy() == 1).astype(float), bins["n"].to_numpy(float)
