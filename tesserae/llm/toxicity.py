@@ -327,12 +327,14 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def without_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of docs that score below the threshold, with the columns of docs."""
-    model = fit(spark, docs, labels, text_col=text_col)
+    model, place = fit(spark, docs, labels, text_col=text_col), docs.columns.index(text_col)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
+    def run(batches):
+        from tesserae.llm.common import _slices
 
-        return pd.Series(model.scores(texts.tolist()))
+        for b in batches:
+            text = b.column(place)
+            for x, y in _slices(text, 1 << 20):
+                yield b.slice(x, y - x).filter(pa.array(model.scores(text.slice(x, y - x).to_pylist()) < threshold))
 
-    return docs.where(score(F.coalesce(F.col(text_col), F.lit(""))) < threshold)
+    return docs.mapInArrow(run, docs.schema)
