@@ -18,7 +18,8 @@ def iou_edges(df: DataFrame, id_col: str, threshold: float, cell: float, same: l
 
 def group_detections(df: DataFrame, id_col: str, threshold: float, cell: float, same: list[str] = ("year_det",)) -> DataFrame:
     """df with group_id, the least id of the component of overlapping rows; null if a row overlaps
-    nothing, not even itself."""
+    nothing, not even itself. A group_id from an earlier step is replaced."""
+    df = df.drop("group_id")
     found = connected_components(iou_edges(df, id_col, threshold, cell, same))
     return df.join(found.select(F.col("node").alias(id_col), F.col("component").alias("group_id")), id_col, "left")
 
