@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tesserae.config import Artifacts, Assess, Enrich, Fuse, Merge, Years
 from tesserae.functions import rect
 from tesserae.operators import fusion, matching, merging, overlay, raster, reports, spatial, tiling
+from tesserae.storage import store
 
 CELL = 256
 
@@ -131,6 +132,7 @@ def filter_and_enrich(dets: DataFrame, aoi: DataFrame, dem: DataFrame, layers: d
         share = overlay.overlap_sum(out, layers[key], "det_part_id", cell).select("det_part_id", rect.rint(F.col("ratio"), 3).alias(key))
         out = out.join(share, "det_part_id")
     if "sda" in layers:
+        out, _ = store(out, "enriched")  # the nearest join reads it in every round
         near = spatial.nearest(out.select("det_part_id", *rect.SIDES), layers["sda"].select(*rect.SIDES), "det_part_id", "minx", 1000)
         out = out.join(near.groupBy(F.col("l.det_part_id").alias("det_part_id")).agg(rect.rint(F.min("distance"), 3).alias("distance_sda")), "det_part_id", "left")
     return out
