@@ -11,7 +11,9 @@
    that isn't yet connected is decided on the full sets. A cluster of more than SMALL_ROWS members or
    SMALL_SHINGLES shingles isn't gathered: its sets go through the sorted orders again, with exact
    decisions inside a window, then every member is held against the cluster's hubs, the HUBS members
-   with most links.
+   with most links. That is only a cheap first pass: where it leaves a cluster in several parts, a
+   prefix filter drops the members that can have no partner in another part, and all pairs of the rest
+   that lie in two parts are decided exactly, block by block.
 4. Components of the links, labelled by smallest identifier.
 
 Nothing is capped: a group of any size is spread over the ranges of each order. Null, empty and blank
@@ -30,6 +32,7 @@ from tesserae.operators.components import connected_components
 
 TREES, DEPTH, MIN_DEPTH, WINDOW = 12, 8, 2, 12
 SMALL_ROWS, SMALL_SHINGLES, HUBS, SALT_ROWS = 256, 4_000_000, 48, 2048
+BLOCK, COUNT_BITS, SHARED_BITS = 1024, 18, 20
 
 
 def sketches(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
@@ -200,7 +203,7 @@ def _large_links(members: DataFrame, percent: int) -> DataFrame:
 
 def _hub_links(members: DataFrame, links: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """members against their cluster's hubs: the HUBS members with most links in the windows. A cluster is
-    dealt to salts of about SALT_ROWS members, and its hubs to each of them."""
+    dealt to salts of about SALT_ROWS members, and its hubs to each of them; a salt gives a spanning forest."""
     from pyspark.sql import Window
 
     degree = links.select(F.explode(F.array("src", "dst")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
@@ -212,17 +215,17 @@ def _hub_links(members: DataFrame, links: DataFrame, sizes: DataFrame, percent:
     def run(batches):
         from tesserae.llm.shingles import jaccard_at_least
 
-        now, hubs_ = None, []
+        now, hubs_, union = None, [], _Union()
         for b in batches:
             out = []
             for c, salt, kind, i, s in zip(*(b.column(x) for x in ("cluster", "salt", "kind", "id", "set"))):
                 if (at := (c.as_py(), salt.as_py())) != now:
-                    now, hubs_ = at, []
+                    now, hubs_, union = at, [], _Union()
                 own, i = np.frombuffer(s.as_buffer(), np.uint64), i.as_py()
                 if kind.as_py() == 0:
                     hubs_.append((i, own.copy()))
                 else:
-                    out += [(i, j) for j, other in hubs_ if j != i and jaccard_at_least(own, other, percent)]
+                    out += [(i, j) for j, other in hubs_ if union.find(i) != union.find(j) and jaccard_at_least(own, other, percent) and union.join(i, j)]
             if out:
                 yield _edges(out)
 
@@ -230,6 +233,160 @@ def _hub_links(members: DataFrame, links: DataFrame, sizes: DataFrame, percent:
     return rows.mapInArrow(run, "src long, dst long")
 
 
+def _bucket(cluster: int, shingles: np.ndarray, bits: int) -> np.ndarray:
+    from tesserae.llm.shingles import ODD, mix
+
+    seed = mix(np.array([cluster], np.int64).view(np.uint64) * ODD + np.uint64(1))
+    return (mix(shingles ^ seed) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _open_members(members: DataFrame, links: DataFrame) -> DataFrame:
+    """cluster, id, set, comp of the clusters that the links so far leave in several parts."""
+    reached, _ = store(connected_components(links), "parts")
+    parts = members.select("cluster", "id").join(reached.withColumnRenamed("node", "id"), "id", "left").select("cluster", "id", F.coalesce("component", "id").alias("comp"))
+    several = parts.groupBy("cluster").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("cluster")
+    return members.select("cluster", "id", "set").join(parts.join(several, "cluster").select("id", "comp"), "id").select("cluster", "id", "set", "comp")
+
+
+def _sharing(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (cluster, id, set, comp) that can have a similar partner in another part, by prefix filter.
+    Shingles are ordered from rare to frequent by counts of 2^COUNT_BITS hashes. A similar pair shares one
+    among the shorter set's first n - ceil(2tn / (1 + t)) + 1 and the longer one's first n - ceil(tn) + 1.
+    Hashes that meet only let more rows through."""
+    spark = rows.sparkSession
+
+    def count(batches):
+        total = np.zeros(1 << COUNT_BITS, np.int64)
+        for b in batches:
+            for c, s in zip(b.column("cluster").to_pylist(), b.column("set")):
+                np.add.at(total, _bucket(c, np.frombuffer(s.as_buffer(), np.uint64), COUNT_BITS), 1)
+        hit = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(hit), pa.array(total[hit])], ["bucket", "n"])
+
+    counted = rows.select("cluster", "set").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    often = np.zeros(1 << COUNT_BITS, np.int64)
+    often[counted["bucket"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    sent = spark.sparkContext.broadcast(often)
+
+    def prefix(c, s):
+        n = len(s)
+        first = s[np.lexsort((s, sent.value[_bucket(c, s, COUNT_BITS)]))[: n + 1 + -percent * n // 100]]
+        return first, n + 1 + -2 * percent * n // (100 + percent)
+
+    def run(batches):
+        for b in batches:
+            for c, p, s in zip(b.column("cluster").to_pylist(), b.column("comp").to_pylist(), b.column("set")):
+                first, short = prefix(c, np.frombuffer(s.as_buffer(), np.uint64))
+                n = len(first)
+                yield pa.record_batch([pa.array(np.full(n, c)), pa.array(first.view(np.int64)), pa.array(np.full(n, p)), pa.array(np.arange(n) < short)], ["cluster", "shingle", "comp", "short"])
+
+    tokens = rows.select("cluster", "comp", "set").mapInArrow(run, "cluster long, shingle long, comp long, short boolean")
+    shared = tokens.groupBy("cluster", "shingle").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.max("short").alias("short")).where("a < b AND short")
+
+    def buckets(batches):
+        for b in batches:
+            c, s = b.column("cluster").to_pylist(), b.column("shingle").to_numpy().view(np.uint64)
+            yield pa.record_batch([pa.array([int(_bucket(x, s[i : i + 1], SHARED_BITS)[0]) for i, x in enumerate(c)], pa.int64())], ["bucket"])
+
+    alive = np.zeros(1 << SHARED_BITS, bool)
+    alive[shared.select("cluster", "shingle").mapInArrow(buckets, "bucket long").distinct().toPandas()["bucket"].to_numpy(np.int64)] = True
+    known = spark.sparkContext.broadcast(alive)
+
+    def keep(batches):
+        for b in batches:
+            yield b.filter(pa.array([bool(known.value[_bucket(c, prefix(c, np.frombuffer(s.as_buffer(), np.uint64))[0], SHARED_BITS)].any()) for c, s in zip(b.column("cluster").to_pylist(), b.column("set"))], pa.bool_()))
+
+    return rows.mapInArrow(keep, "cluster long, id long, set binary, comp long")
+
+
+def _similar(sets: list, others: list, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all similar pairs of two lists of sets. The shingles in many of the others meet in a
+    matrix product, the rest through lists of places; both count exactly."""
+    flat = np.concatenate(others)
+    owner = np.repeat(np.arange(len(others)), [len(s) for s in others])
+    order = np.argsort(flat, kind="stable")
+    keys, start, many = np.unique(flat[order], return_index=True, return_counts=True)
+    owner = owner[order]
+    mine = np.concatenate(sets)
+    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    at = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+    hit = keys[at] == mine
+    at, of = at[hit], of[hit]
+    common = np.zeros((len(sets), len(others)), np.float32)
+    dense = np.flatnonzero(many > 32)
+    for x in range(0, len(dense), 1024):
+        cols = dense[x : x + 1024]
+        place = np.full(len(keys), -1)
+        place[cols] = np.arange(len(cols))
+        left, right = np.zeros((len(sets), len(cols)), np.float32), np.zeros((len(others), len(cols)), np.float32)
+        inside = place[at] >= 0
+        left[of[inside], place[at[inside]]] = 1
+        of_key = np.repeat(place, many)
+        right[owner[of_key >= 0], of_key[of_key >= 0]] = 1
+        common += left @ right.T
+    few = many[at] <= 32
+    at, of = at[few], of[few]
+    for i, (x, y) in enumerate(zip(np.searchsorted(of, np.arange(len(sets))), np.searchsorted(of, np.arange(len(sets)), "right"))):
+        if y > x:
+            n = many[at[x:y]]
+            spots = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[at[x:y]], n)
+            common[i] += np.bincount(owner[spots], minlength=len(others))
+    na, nb = np.array([len(s) for s in sets]), np.array([len(s) for s in others])
+    common = np.rint(common).astype(np.int64)
+    return np.nonzero((100 * common >= percent * (na[:, None] + nb - common)) & (common > 0))
+
+
+def _rest_links(rows: DataFrame, percent: int) -> DataFrame:
+    """rows: cluster, id, set, comp. Every pair of a cluster that lies in two parts is decided. Parts of more
+    than BLOCK rows have blocks of their own, the others share some; a task gets two blocks."""
+    whole = rows.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.when(F.col("n") > BLOCK, F.col("comp")).otherwise(F.lit(-(2**63))))
+    sizes = whole.groupBy("cluster", "part").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    own = F.col("part") > -(2**63)
+    placed = (
+        rows.join(whole.where(own).select("cluster", "comp", "part"), ["cluster", "comp"], "left").withColumn("part", F.coalesce("part", F.lit(-(2**63))))
+        .join(sizes, ["cluster", "part"])
+        .withColumn("block", F.pmod(F.when(own, F.xxhash64("id")).otherwise(F.xxhash64("comp")), F.col("blocks"))).drop("blocks")
+    )
+    blocks = sizes.select("cluster", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    other = blocks.toDF("cluster", "part2", "block2")
+    pairs = blocks.join(other, "cluster").where("part < part2 OR (part = part2 AND block <= block2 AND part = -9223372036854775807 - 1)")
+    a = pairs.select("cluster", "part", "block", F.struct("part", "block", "part2", "block2").alias("pair"), F.lit(0).alias("side"))
+    b = pairs.where("part <> part2 OR block <> block2").select("cluster", F.col("part2").alias("part"), F.col("block2").alias("block"), F.struct("part", "block", "part2", "block2").alias("pair"), F.lit(1).alias("side"))
+    dealt = placed.join(a.union(b), ["cluster", "part", "block"]).select("cluster", F.xxhash64("cluster", "pair").alias("task"), "side", "id", "comp", "set")
+
+    def decide(group):
+        left, right = ([r for r in group if r[0] == k] for k in (0, 1))
+        alone = not right
+        right = right or left
+        if not left:
+            return []
+        union, out = _Union(), []
+        for x in range(0, len(left), 512):
+            part = left[x : x + 512]
+            for y in range(x if alone else 0, len(right), 2048):
+                with_ = right[y : y + 2048]
+                for i, j in zip(*(v.tolist() for v in _similar([r[3] for r in part], [r[3] for r in with_], percent))):
+                    if union.join(part[i][2], with_[j][2]):
+                        out.append((part[i][1], with_[j][1]))
+        return out
+
+    def run(batches):
+        now, group = None, []
+        for b in batches:
+            out = []
+            for t, side, i, p, s in zip(*(b.column(x).to_pylist() for x in ("task", "side", "id", "comp")), b.column("set")):
+                if t != now:
+                    out += decide(group)
+                    now, group = t, []
+                group.append((side, i, p, np.frombuffer(s.as_buffer(), np.uint64).copy()))
+            if out:
+                yield _edges(out)
+        if out := decide(group):
+            yield _edges(out)
+
+    return dealt.repartition("task").sortWithinPartitions("task").drop("cluster").mapInArrow(run, "src long, dst long")
+
+
 def _with_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """wanted (id, cluster, ...) with the full set of each."""
     cols = [c for c in wanted.columns if c != "id"]
@@ -268,7 +425,10 @@ def components(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
         many = members.where("is_large").drop("is_large").join(classes.select("id", "signature"), "id")
         window, _ = store(_large_links(many, percent), "window-links")
         hub, _ = store(_hub_links(many, window, total, percent), "hub-links")
-        links = links.union(window).union(hub)
+        rest, _ = store(_open_members(many, window.union(hub)), "open")
+        sharing, _ = store(_sharing(rest, percent), "sharing")
+        exact, _ = store(_rest_links(sharing, percent), "rest-links")
+        links = links.union(window).union(hub).union(exact)
     reached, _ = store(connected_components(links), "components")
     named = classes.select("digest", F.col("id").alias("rep")).join(reached.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     out = slim.join(named, "digest", "left").select("id", "n_shingles", F.when(F.col("component") < 2**63 - 1, F.col("component")).otherwise(F.col("id")).alias("component_id"))

@@ -77,3 +77,22 @@ def test_sets():
     assert [len(s) for s in own] == [len(sets_of([r], 3)[r[0]]) for r in rows]
     a, b = np.array([1, 2, 3, 4], np.uint64), np.array([2, 3, 4, 5], np.uint64)
     assert jaccard_at_least(a, b, 60) and not jaccard_at_least(a, b, 61)
+
+
+def test_pairs_inside_a_crowd(spark):
+    """Copies at 0.86 to 0.88 with far identifiers, among members whose common template keeps them just
+    under 0.8: windows and hubs miss some of them."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    template = [word() for _ in range(190)]
+    rows, far = [], 10_000
+    for i in range(3000):
+        own = [word() for _ in range(25)]
+        rows.append((i, " ".join(template + own), "x", 1, 2))
+        if i % 30 == 7:
+            rows.append((far - i, " ".join(template + own[:12] + [word() for _ in range(13)]), "x", 1, 2))
+    sets = sets_of(rows, 5)
+    share = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert share(0, 1) < 0.8 and all(0.8 <= share(far - i, i) < 0.9 for i in sets if i > 3000)
+    got = {r["id"]: r["component_id"] for r in near_dedup.components(spark, spark.createDataFrame(rows, SCHEMA).repartition(4), 5, 80).collect()}
+    assert got == {i: min(i, far - i) if i > 3000 else i for i in sets}
