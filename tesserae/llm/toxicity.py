@@ -1,10 +1,12 @@
 """Toxicity of restored text: a noisy channel undoes disguises, then learnt words are looked up.
 
 Letters may be written as look-alike signs, spelt with gaps or stretched. Where a text shows one of
-these (a sign between letters, three equal letters in a row, single letters in a row), the stretch
-becomes a lattice of letters: each sign stands for any of its readings, for itself, or for nothing. A
-Viterbi search takes the likeliest path under a trigram model of letters times the channel's costs.
-Everything else has one path and stays as it is.
+these (a token with a letter and a sign, three equal letters in a row, single letters in a row), the stretch
+becomes a lattice of letters: each sign stands for any of its readings, for itself, or for nothing; in
+runs of 2 to MASK stars each stands for any letter. A Viterbi search takes the likeliest path under a
+trigram model of letters times the channel's costs. A stretch without a sign between letters, at the start
+of a word or four letters in a row may as well be a code or plain: its reading is added to it, and doesn't
+replace it. Everything else has one path and stays as it is.
 
 The letter model is counted over all documents. Words and word beginnings are learnt from labelled
 rows: those in a share of at least SUPPORT of the toxic rows, whose odds differ from clean rows by
@@ -36,6 +38,11 @@ READINGS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g
 #: is; a repeated letter dropped or kept.
 READ, SKIP, LOSE, LEAVE, SQUEEZE, KEEP = 1.0, 0.7, 9.0, 12.0, 0.2, 1.5
 SIZES = (4, 5, 6)
+MASK = 4
+
+
+SIGNS = {ord(s): " " for s in READINGS}  # as they come back when they are left
+WHITE = [c for c in range(0x3001) if chr(c).isspace()]
 
 
 def letter_class(code: np.ndarray) -> np.ndarray:
@@ -85,10 +92,20 @@ class Channel:
         self.model, self.known = model, {}
         self.sign = np.zeros(0x3000, bool)
         self.sign[[ord(s) for s in READINGS]] = True
+        self.readable = np.zeros(0x3000, bool)
+        self.readable[[ord(s) for s in READINGS if READINGS[s]]] = True
 
     def arcs(self, text: str, i: int) -> list[tuple[str, float]]:
         """Readings of the i-th character, each with its cost; an empty reading drops it."""
         ch = text[i]
+        if ch == "*" and "*" in (text[i - 1 : i], text[i + 1 : i + 2]):
+            a = len(text[:i].rstrip("*"))
+            if len(text) - a - len(text[a:].lstrip("*")) <= MASK:
+                return [(chr(c), READ) for c in range(97, 123)] + [("", LOSE), (" ", LEAVE)]
+        if ch == "!" and not text[i:].strip("!.,;:?)\"'"):  # ends a sentence
+            return [("i", READ), ("", LOSE), (" ", 0.0)]
+        if ch in READINGS and ch != "*" and READINGS[ch] and i and text[i - 1] == ch:  # stretched
+            return [(r, READ) for r in READINGS[ch]] + [("", KEEP), (" ", LEAVE)]
         if ch in READINGS:
             return [(r, READ) for r in READINGS[ch]] + [("", LOSE if READINGS[ch] else SKIP), (" ", LEAVE)]
         if ch == " ":
@@ -147,7 +164,14 @@ class Channel:
         if n > 6:
             four[:-6] = alone[:-6] & alone[2:-4] & alone[4:-2] & alone[6:]
             odd |= four
-        places = np.flatnonzero(odd)
+        three = np.zeros(n, bool)
+        if n > 4:
+            three[:-4] = alone[:-4] & alone[2:-2] & alone[4:]
+        token = np.cumsum(np.isin(code, WHITE))
+        worded = np.zeros(token[-1] + 1, bool)
+        worded[token[letter]] = True
+        readable = (code < 0x3000) & self.readable[np.minimum(code, 0x2FFF)]
+        places = np.flatnonzero(odd | three | (readable & worded[token]))
         if not len(places):
             return texts
         begin = np.cumsum([1] + [len(t) + 2 for t in texts])[:-1]
@@ -159,15 +183,18 @@ class Channel:
                 if p < done:
                     continue
                 a = p
-                while a > done and text[a - 1] not in " \n\t":
+                while a > done and not text[a - 1].isspace():
                     a -= 1
                 b = p
-                if four[p + shift]:  # single letters in a row, with the blanks between them
+                if three[p + shift]:  # single letters in a row, with the blanks between them
                     while b + 2 < len(text) and alone[b + 2 + shift]:
                         b += 2
-                while b < len(text) and text[b] not in " \n\t":
+                while b < len(text) and not text[b].isspace():
                     b += 1
-                out += [text[done:a], self.restore(text[a:b])]
+                read = self.restore(text[a:b])
+                if read != text[a:b] and not odd[a + shift : b + shift].any():
+                    read = text[a:b] if read.split() == text[a:b].translate(SIGNS).split() else f"{text[a:b]} {read}"
+                out += [text[done:a], read]
                 done = b
             texts[k] = "".join([*out, text[done:]])
         return texts

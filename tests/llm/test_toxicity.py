@@ -58,3 +58,27 @@ def test_no_labels_or_rows(spark, data):
     assert toxicity.fit(spark, docs, known.where("false")).scores(["stupid", None]).tolist() == [0.0, 0.0]
     model = toxicity.fit(spark, docs.where("false"), known)
     assert toxicity.scored(docs.where("false"), model).count() == 0
+
+
+@pytest.fixture(scope="module")
+def listed(spark):
+    rng = random.Random(2)
+    bad = ["idiot", "loser", "trash", "pathetic", "disgusting", "stupid", "scum"]
+    rows = []
+    for i in range(900):
+        words = [rng.choice(CLEAN) for _ in range(rng.randrange(5, 40))]
+        if i % 3 == 0:
+            words[rng.randrange(len(words))] = rng.choice(bad)
+        rows.append((i, " ".join(words), "en", "s", 0.0))
+    labels = [(i, 1, int(i % 3 == 0)) for i in range(len(rows))]
+    return toxicity.fit(spark, spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+
+@pytest.mark.parametrize("form", ["id10t", "l053r", "l0$er", "lo$$er", "tr45h", "tr@$h", "p47h371c", "d15gu571ng", "st**id", "sc**", "\n$tupid", "(1diot", "**idiot**", "idiot2"])
+def test_signs_in_runs_and_at_ends(listed, form):
+    assert listed.scores([f"the garden {form} river"])[0] >= 0.5
+
+
+def test_codes_and_punctuation_stay(listed):
+    plain = ["the river in 1999!", "version v2.0.1 of window12", "(paper) winter! garden.", "a b c", "room 4b, 12kg, $5 each", "**garden** letter"]
+    assert (listed.scores(plain) < 0.5).all()
