@@ -10,10 +10,9 @@
 3. Components of the candidates are clusters. All sets of a cluster meet in one task and every pair
    that isn't yet connected is decided on the full sets. A cluster of more than SMALL_ROWS members or
    SMALL_SHINGLES shingles isn't gathered: its sets go through the sorted orders again, with exact
-   decisions inside a window, then every member is held against the cluster's hubs, the HUBS members
-   with most links. That is only a cheap first pass: where it leaves a cluster in several parts, a
-   prefix filter drops the members that can have no partner in another part, and all pairs of the rest
-   that lie in two parts are decided exactly, block by block.
+   decisions inside a window. That is only a cheap first pass: where it leaves a cluster in several
+   parts, a prefix filter drops the members that can have no partner in another part, and all pairs of
+   the rest that lie in two parts are decided exactly, block by block.
 4. Components of the links, labelled by smallest identifier.
 
 Nothing is capped: a group of any size is spread over the ranges of each order. Null, empty and blank
@@ -31,7 +30,7 @@ from tesserae.llm.common import drop, map_texts, store
 from tesserae.operators.components import connected_components
 
 TREES, DEPTH, MIN_DEPTH, WINDOW = 12, 8, 2, 12
-SMALL_ROWS, SMALL_SHINGLES, HUBS, SALT_ROWS = 256, 4_000_000, 48, 2048
+SMALL_ROWS, SMALL_SHINGLES = 256, 4_000_000
 BLOCK, COUNT_BITS, SHARED_BITS = 1024, 18, 20
 
 
@@ -201,38 +200,6 @@ def _large_links(members: DataFrame, percent: int) -> DataFrame:
     return _order_rows(members, ["cluster", "set"]).mapInArrow(run, "src long, dst long")
 
 
-def _hub_links(members: DataFrame, links: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """members against their cluster's hubs: the HUBS members with most links in the windows. A cluster is
-    dealt to salts of about SALT_ROWS members, and its hubs to each of them; a salt gives a spanning forest."""
-    from pyspark.sql import Window
-
-    degree = links.select(F.explode(F.array("src", "dst")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
-    rated = members.select("cluster", "id").join(degree, "id").withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy(F.col("degree").desc(), "id"))).where(f"rank <= {HUBS}")
-    salted = members.select("cluster", "id", "set").join(sizes.select("cluster", F.ceil(F.col("rows") / SALT_ROWS).alias("salts")), "cluster")
-    hubs = salted.join(rated.select("id"), "id", "left_semi").select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "id", "set")
-    others = salted.select("cluster", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), F.lit(1).alias("kind"), "id", "set")
-
-    def run(batches):
-        from tesserae.llm.shingles import jaccard_at_least
-
-        now, hubs_, union = None, [], _Union()
-        for b in batches:
-            out = []
-            for c, salt, kind, i, s in zip(*(b.column(x) for x in ("cluster", "salt", "kind", "id", "set"))):
-                if (at := (c.as_py(), salt.as_py())) != now:
-                    now, hubs_, union = at, [], _Union()
-                own, i = np.frombuffer(s.as_buffer(), np.uint64), i.as_py()
-                if kind.as_py() == 0:
-                    hubs_.append((i, own.copy()))
-                else:
-                    out += [(i, j) for j, other in hubs_ if union.find(i) != union.find(j) and jaccard_at_least(own, other, percent) and union.join(i, j)]
-            if out:
-                yield _edges(out)
-
-    rows = others.union(hubs).repartition("cluster", "salt").sortWithinPartitions("cluster", "salt", "kind")
-    return rows.mapInArrow(run, "src long, dst long")
-
-
 def _bucket(cluster: int, shingles: np.ndarray, bits: int) -> np.ndarray:
     from tesserae.llm.shingles import ODD, mix
 
@@ -242,7 +209,9 @@ def _bucket(cluster: int, shingles: np.ndarray, bits: int) -> np.ndarray:
 
 def _open_members(members: DataFrame, links: DataFrame) -> DataFrame:
     """cluster, id, set, comp of the clusters that the links so far leave in several parts."""
-    reached, _ = store(connected_components(links), "parts")
+    made: list[str] = []
+    reached, _ = store(connected_components(links, made=made), "parts")
+    drop(links.sparkSession, *made)
     parts = members.select("cluster", "id").join(reached.withColumnRenamed("node", "id"), "id", "left").select("cluster", "id", F.coalesce("component", "id").alias("comp"))
     several = parts.groupBy("cluster").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("cluster")
     return members.select("cluster", "id", "set").join(parts.join(several, "cluster").select("id", "comp"), "id").select("cluster", "id", "set", "comp")
@@ -412,25 +381,31 @@ def components(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     slim = held.select("id", "n_shingles", "digest")
     grouped = held.where("n_shingles > 0").groupBy("digest").agg(F.min(F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("id"), "n_shingles", "signature")).alias("c"))
     classes, classes_path = store(grouped.select("digest", "c.*"), "classes")
+    made: list[str] = []
     rough, rough_path = store(candidates(classes, percent), "candidates")
-    clusters, clusters_path = store(connected_components(rough), "clusters")
+    clusters, clusters_path = store(connected_components(rough, made=made), "clusters")
+    drop(spark, rough_path, *made)
     sized = clusters.withColumnRenamed("component", "cluster").withColumnRenamed("node", "id").join(classes.select("id", "n_shingles"), "id")
     total = sized.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles"))
-    small = total.where((F.col("rows") <= SMALL_ROWS) & (F.col("shingles") <= SMALL_SHINGLES)).select("cluster")
-    large, large_path = store(total.join(small, "cluster", "left_anti").select("cluster"), "large")
+    large, large_path = store(total.where((F.col("rows") > SMALL_ROWS) | (F.col("shingles") > SMALL_SHINGLES)).select("cluster"), "large")
     wanted = sized.join(large.withColumn("is_large", F.lit(True)), "cluster", "left").select("id", "cluster", F.coalesce("is_large", F.lit(False)).alias("is_large"))
     members, members_path = store(_with_sets(docs, wanted, k, id_col, text_col), "members")
     links, links_path = store(_small_links(members.where("NOT is_large"), percent), "links")
+    used = [links_path, clusters_path, large_path, members_path]
     if not large.isEmpty():
         many = members.where("is_large").drop("is_large").join(classes.select("id", "signature"), "id")
-        window, _ = store(_large_links(many, percent), "window-links")
-        hub, _ = store(_hub_links(many, window, total, percent), "hub-links")
-        rest, _ = store(_open_members(many, window.union(hub)), "open")
-        sharing, _ = store(_sharing(rest, percent), "sharing")
-        exact, _ = store(_rest_links(sharing, percent), "rest-links")
-        links = links.union(window).union(hub).union(exact)
-    reached, _ = store(connected_components(links), "components")
+        window, window_path = store(_large_links(many, percent), "window-links")
+        links, used = links.union(window), [*used, window_path]
+        rest, rest_path = store(_open_members(many, window), "open")
+        if not rest.isEmpty():
+            sharing, sharing_path = store(_sharing(rest, percent), "sharing")
+            exact, exact_path = store(_rest_links(sharing, percent), "rest-links")
+            links, used = links.union(exact), [*used, exact_path]
+            drop(spark, sharing_path)
+        drop(spark, rest_path)
+    made = []
+    reached, _ = store(connected_components(links, made=made), "components")
+    drop(spark, *used, *made)
     named = classes.select("digest", F.col("id").alias("rep")).join(reached.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     out = slim.join(named, "digest", "left").select("id", "n_shingles", F.when(F.col("component") < 2**63 - 1, F.col("component")).otherwise(F.col("id")).alias("component_id"))
-    drop(spark, rough_path, clusters_path, members_path)
     return out
