@@ -55,11 +55,11 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, width: int = 1024,
         cols = [ids.take(pa.array(row)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(size[row]), pa.array(np.full(len(row), task, np.int64)), pa.array(rank)]
         names = ["id", "start", "length", "ids_crc32", "doc_tokens", "task", "rank"]
         if with_ids:
-            cols.append(pa.ListArray.from_arrays(pa.array(np.append(at, flat.size), pa.int32()), pa.array(flat.astype(np.int64))))
+            cols.append(pa.ListArray.from_arrays(pa.array(np.append(at, flat.size), pa.int32()), pa.array(flat.astype(np.int32))))
             names.append("ids")
         yield pa.record_batch(cols, names)
 
-    schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, task long, rank long" + ", ids array<long>" * with_ids
+    schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, task long, rank long" + ", ids array<int>" * with_ids
     return map_texts(docs, run, schema, id_col, text_col)
 
 
@@ -112,7 +112,10 @@ def place(made: DataFrame, width: int) -> DataFrame:
     base = per_task.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     histogram = {r["length"]: r["n"] for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most width rows
     table = plan(histogram, width)
-    ranked = made.join(base, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("base")).drop("base", "task")
+    # full windows, most of the ids, stay where they are: their bases are one row a task; only remainders travel
+    full = made.where(F.col("length") == width).join(F.broadcast(base.where(F.col("length") == width).select("task", "base")), "task")
+    rest = made.where(F.col("length") < width).join(base.where(F.col("length") < width), ["length", "task"])
+    ranked = full.unionByName(rest).withColumn("rank", F.col("rank") + F.col("base")).drop("base", "task")
     schema = T.StructType([*ranked.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(batches):

@@ -28,41 +28,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import drop, map_texts, store
-from tesserae.llm.winnow import GRAM, SPAN, among, gram_hashes, selected, stretches
+from tesserae.llm.winnow import among, gram_hashes, selected, stretches, widths
 
 #: Bytes of a shard, and of a stretch, at most (longer stretches are cut with overlap); bytes of the
 #: digests that one task merges at a time, about.
 SHARD_BYTES, STRETCH_BYTES, MERGE_BYTES = 1_500_000, 1 << 20, 16 << 20
+#: Bytes of stretches that one task cuts into shards, at most about; shorter strings than LEAST aren't told apart
+#: from chance.
+TASK_BYTES, LEAST = 64 << 20, 50
 
 
 def _profiles(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
-    """id, key (text digest), n_bytes, hashes: the distinct hashes selected in the text, and those of
-    them selected at two places of it."""
+    """id, key (text digest), n_bytes, n_words, hashes: the distinct hashes selected in the text, and those
+    of them selected at two places of it."""
+    widths_ = widths(length)
 
     def run(ids, texts):
         import hashlib
 
-        keys, sizes, hashes, twice = [], [], [], []
+        keys, sizes, words, hashes, twice = [], [], [], [], []
         for t in texts:
             raw = (t or "").encode()
             keys.append(hashlib.sha256(raw).digest())
             sizes.append(len(raw))
+            words.append(len(raw.split()))
             if len(raw) >= length:
-                h, n = np.unique(selected(np.frombuffer(raw, np.uint8))[1], return_counts=True)
+                h, n = np.unique(selected(np.frombuffer(raw, np.uint8), *widths_)[1], return_counts=True)
                 hashes.append(h.view(np.int64))
                 twice.append(h[n > 1].view(np.int64))
             else:
                 hashes.append(np.empty(0, np.int64))
                 twice.append(np.empty(0, np.int64))
-        yield pa.record_batch([ids, pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(twice, pa.list_(pa.int64()))], ["id", "key", "n_bytes", "hashes", "twice"])
+        yield pa.record_batch([ids, pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(words, pa.int64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(twice, pa.list_(pa.int64()))], ["id", "key", "n_bytes", "n_words", "hashes", "twice"])
 
-    return map_texts(docs, run, "id long, key binary, n_bytes long, hashes array<long>, twice array<long>", id_col, text_col, 1 << 20)
+    return map_texts(docs, run, "id long, key binary, n_bytes long, n_words long, hashes array<long>, twice array<long>", id_col, text_col, 1 << 20)
 
 
 def _stretches(docs: DataFrame, wanted: DataFrame, length: int, text_col: str) -> DataFrame:
-    """key, body, spans of each wanted text (key, known: its hashes that repeat)."""
-    texts = docs.select(F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8").alias("body")).withColumn("key", F.unhex(F.sha2("body", 256)))
-    found = texts.join(wanted, "key").groupBy("key").agg(F.first("body").alias("body"), F.first("known").alias("known"))  # copies of a text become one
+    """key, body, starts and ends of the stretches of each wanted text (slot, known: its hashes that repeat).
+    Copies of a text become one before they travel; texts that share a slot are tried with the hashes of both."""
+    widths_ = widths(length)
+    texts = docs.select(F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8").alias("body")).where(F.length("body") >= length).withColumn("key", F.unhex(F.sha2("body", 256)))
+    found = texts.groupBy(_slot("key").alias("slot"), "key").agg(F.first("body").alias("body")).join(wanted, "slot")
 
     def run(batches):
         for b in batches:
@@ -70,11 +77,11 @@ def _stretches(docs: DataFrame, wanted: DataFrame, length: int, text_col: str) -
             for k, body, known in zip(*(b.column(c) for c in ("key", "body", "known"))):
                 k, raw = k.as_py(), body.as_py()
                 known = np.sort(known.values.to_numpy().view(np.uint64))
-                least, _ = selected(np.frombuffer(raw, np.uint8))
+                least, _ = selected(np.frombuffer(raw, np.uint8), *widths_)
                 cut = np.flatnonzero(np.concatenate((np.ones(1, bool), least[1:] != least[:-1])))
                 ok = np.repeat(among(least[cut], known), np.diff(np.append(cut, len(least))))
                 parts = []
-                for x, y in stretches(ok, length):
+                for x, y in stretches(ok, length, *widths_):
                     while y - x > STRETCH_BYTES:
                         parts.append((x, x + STRETCH_BYTES))
                         x += STRETCH_BYTES - length + 1
@@ -89,8 +96,14 @@ def _stretches(docs: DataFrame, wanted: DataFrame, length: int, text_col: str) -
     return found.mapInArrow(run, "key binary, body binary, starts array<long>, ends array<long>")
 
 
-def _pieces(texts: DataFrame) -> DataFrame:
+def _slot(key: str):
+    """The first eight bytes of a key as a number: short to send."""
+    return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("long")
+
+
+def _pieces(texts: DataFrame, length: int) -> DataFrame:
     """piece (digest), bytes, least (hash that orders shards), key, start: a row per stretch."""
+    widths_ = widths(length)
 
     def run(batches):
         import hashlib
@@ -99,7 +112,7 @@ def _pieces(texts: DataFrame) -> DataFrame:
             for key, body, starts, ends in zip(*(b.column(c) for c in ("key", "body", "starts", "ends"))):
                 raw = body.as_py()
                 parts = [raw[x:y] for x, y in zip(starts.as_py(), ends.as_py())]
-                least = [int(selected(np.frombuffer(p, np.uint8))[0].min().view(np.int64)) for p in parts]
+                least = [int(selected(np.frombuffer(p, np.uint8), *widths_)[0].min().view(np.int64)) for p in parts]
                 yield pa.record_batch(
                     [pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in parts], pa.binary()), pa.array(parts, pa.binary()), pa.array(least, pa.int64()), pa.array([key.as_py()] * len(parts), pa.binary()), starts.values],
                     ["piece", "bytes", "least", "key", "start"])
@@ -166,7 +179,7 @@ class _Shard:
 _SHUFFLED = np.random.default_rng(20).permutation(256).astype(np.uint8)
 
 
-def _shards(distinct: DataFrame, length: int) -> DataFrame:
+def _shards(distinct: DataFrame, length: int, tasks: int) -> DataFrame:
     """A row per shard: shard, pieces, sizes, body (its stretches end to end), stands (packed bits),
     coarse, and the repeats within it (hit, starts, ends: one list for each stretch that has any)."""
 
@@ -193,7 +206,7 @@ def _shards(distinct: DataFrame, length: int) -> DataFrame:
         if pieces:
             yield close()
 
-    ordered = distinct.select("least", "piece", "bytes").repartitionByRange("least", "piece").sortWithinPartitions("least", "piece")
+    ordered = distinct.select("least", "piece", "bytes").repartitionByRange(tasks, "least", "piece").sortWithinPartitions("least", "piece")
     return ordered.mapInArrow(run, "shard long, pieces array<binary>, sizes array<long>, body binary, stands binary, coarse array<long>, hit array<binary>, starts array<array<long>>, ends array<array<long>>")
 
 
@@ -290,8 +303,9 @@ def _across(shards: DataFrame, merged: DataFrame, length: int) -> DataFrame:
     return shards.select("shard", "pieces", "sizes", "body").join(answers, "shard").mapInArrow(run, "piece binary, starts array<long>, ends array<long>")
 
 
-def _cut(texts: DataFrame, ranges: DataFrame, with_text: bool) -> DataFrame:
-    """key, n_removed, n_spans, kept_sha256[, kept_text] of the texts that have ranges (key, spans)."""
+def _cut(texts: DataFrame, ranges: DataFrame, with_text: bool, words: int) -> DataFrame:
+    """key, n_removed, n_spans, kept_sha256[, kept_text] of the texts that have ranges (key, spans). Spans of
+    fewer words stay."""
 
     def run(batches):
         import hashlib
@@ -305,6 +319,7 @@ def _cut(texts: DataFrame, ranges: DataFrame, with_text: bool) -> DataFrame:
                         gone[-1][1] = max(gone[-1][1], p[1])
                     else:
                         gone.append([*p])
+                gone = [g for g in gone if not words or len(raw[g[0] : g[1]].split()) >= words]
                 for x, y in gone:
                     kept.append(raw[at:x])
                     at = y
@@ -322,28 +337,28 @@ def _cut(texts: DataFrame, ranges: DataFrame, with_text: bool) -> DataFrame:
     return texts.select("key", "body").join(ranges, "key").select("key", "body", "spans").mapInArrow(run, schema)
 
 
-def cleaned(spark: SparkSession, docs: DataFrame, length: int = 400, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cleaned(spark: SparkSession, docs: DataFrame, length: int = 400, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text", words: int = 0) -> DataFrame:
     """id, key, n_bytes, n_removed, n_spans, kept_sha256[, kept_text: null where nothing was removed] of
-    each row."""
-    if length <= GRAM + SPAN:
-        raise ValueError(f"length is more than {GRAM + SPAN}")
+    each row. With `words`, removed runs of fewer words (or parts of words, at the ends) stay."""
+    if length < LEAST:
+        raise ValueError(f"length is at least {LEAST}")
     profiles, _ = store(_profiles(docs, length, id_col, text_col), "profiles")
-    texts, texts_path = store(profiles.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("n_bytes", "hashes", "twice")).alias("p")).select("key", "copies", "p.*"), "texts")
-    each = texts.select("key", F.explode("hashes").alias("hash"))
+    texts, texts_path = store(profiles.groupBy("key").agg(F.min(F.struct("hashes", "twice")).alias("p")).select(_slot("key").alias("slot"), "p.*"), "texts")
+    each = texts.select("slot", F.explode("hashes").alias("hash"))
     counted = texts.select(F.explode("hashes").alias("hash")).union(texts.select(F.explode("twice").alias("hash"))).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    wanted = each.join(counted, "hash", "left_semi").groupBy("key").agg(F.collect_list("hash").alias("known"))  # at most a text's own hashes
+    wanted = each.join(counted, "hash", "left_semi").groupBy("slot").agg(F.collect_list("hash").alias("known"))  # at most a text's own hashes
     stretched, stretched_path = store(_stretches(docs, wanted, length, text_col), "stretches")
     drop(spark, texts_path)
 
-    pieces, pieces_path = store(_pieces(stretched), "pieces")
+    pieces, pieces_path = store(_pieces(stretched, length), "pieces")
     distinct = pieces.groupBy("piece").agg(F.first("least").alias("least"), F.first("bytes").alias("bytes"))
-    shards, shards_path = store(_shards(distinct, length), "shards")
+    volume = pieces.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
+    tasks = 1 + max(volume // TASK_BYTES, min(4 * spark.sparkContext.defaultParallelism, volume // SHARD_BYTES))
+    shards, shards_path = store(_shards(distinct, length, int(tasks)), "shards")
     coarse = shards.select("shard", F.explode("coarse").alias("hash"))
     several = coarse.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
     shared = coarse.join(several, "hash", "left_semi").groupBy("shard").agg(F.collect_list("hash").alias("shared"))  # within a shard's own size
-    volume = stretched.agg(F.coalesce(F.sum(F.length("body")), F.lit(0))).first()[0]
-    n_ranges = int(max(8, min(1 << 16, volume * 4 // MERGE_BYTES)))
-    merged, merged_path = store(_merged(_runs(shards, shared, length, n_ranges)), "merged")
+    merged, merged_path = store(_merged(_runs(shards, shared, length, int(max(8, volume * 4 // MERGE_BYTES)))), "merged")
 
     within = shards.select(F.explode(F.arrays_zip("hit", "starts", "ends")).alias("r")).select(F.col("r.hit").alias("piece"), "r.starts", "r.ends")
     found, found_path = store(within.union(_across(shards, merged, length)), "found")
@@ -353,14 +368,14 @@ def cleaned(spark: SparkSession, docs: DataFrame, length: int = 400, with_text:
     spans = spans.union(copied.select("piece", F.struct(F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("end")).alias("span")))
     placed = slim.join(spans.groupBy("piece").agg(F.collect_set("span").alias("spans")), "piece")
     ranges = placed.select("key", F.explode(F.transform("spans", lambda s: F.struct((s["start"] + F.col("start")).alias("start"), (s["end"] + F.col("start")).alias("end")))).alias("span")).groupBy("key").agg(F.collect_list("span").alias("spans"))
-    done, _ = store(_cut(stretched, ranges, with_text), "cut")
+    done, _ = store(_cut(stretched, ranges, with_text, words), "cut")
     drop(spark, pieces_path, shards_path, merged_path, found_path, stretched_path)
 
     copies = profiles.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
-    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
+    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length) & (F.col("n_words") >= words)
     empty = F.sha2(F.lit(""), 256)
-    out = profiles.select("id", "key", "n_bytes").join(copies, "key").join(done, "key", "left")
+    out = profiles.select("id", "key", "n_bytes", "n_words").join(copies, "key").join(done, "key", "left")
     out = out.withColumn("n_removed", F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0)))).withColumn("n_spans", F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long")).withColumn("kept_sha256", F.when(whole, empty).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("key")))))
     if with_text:
-        out = out.withColumn("kept_text", F.when(whole, "").otherwise(F.col("kept_text")))
-    return out.drop("copies")
+        out = out.withColumn("kept_text", F.when(whole, "").otherwise(F.when(F.col("n_removed") > 0, F.col("kept_text"))))
+    return out.drop("copies", "n_words")

@@ -1,15 +1,15 @@
 """Winnowing: which stretches of a text can hold a string of a given length that starts elsewhere too.
 
-Every `SPAN` windows of consecutive GRAM-byte hashes select their least one. Two equal strings select
-equal hashes, so a string of `length` bytes that occurs twice selects only hashes that are selected at
-two places or more. Nothing that repeats is lost; hashes that collide only let a stretch through.
+Every `span` consecutive hashes of `gram` bytes select their least one. Two equal strings select equal
+hashes, so a string of `length` bytes that occurs twice selects only hashes that are selected at two
+places or more. Nothing that repeats is lost; hashes that collide only let a stretch through. `widths` takes
+gram and span in proportion to the length: shorter strings need more selected places.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-GRAM, SPAN = 64, 160
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -22,7 +22,7 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return up[:n], down[:n]
 
 
-def gram_hashes(data: np.ndarray, gram: int = GRAM, other: bool = False) -> np.ndarray:
+def gram_hashes(data: np.ndarray, gram: int, other: bool = False) -> np.ndarray:
     """A hash of data[i : i + gram] for each i, from prefix sums modulo 2^64. `other` takes another base."""
     n = len(data) - gram + 1
     up, down = _powers(len(data), 0xC2B2AE3D27D4EB4F if other else 0x9E3779B97F4A7C15)
@@ -47,7 +47,7 @@ def sliding(x: np.ndarray, w: int, op: np.ufunc, fill) -> np.ndarray:
     return op(right[: n - w + 1], left[w - 1 : n])
 
 
-def selected(data: np.ndarray, gram: int = GRAM, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+def selected(data: np.ndarray, gram: int, span: int) -> tuple[np.ndarray, np.ndarray]:
     """For each window its least hash; and the hashes at all selected places."""
     h = gram_hashes(data, gram)
     least = sliding(h, span, np.minimum, np.iinfo(np.uint64).max)
@@ -65,9 +65,14 @@ def among(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[k] == values
 
 
-def stretches(repeated: np.ndarray, length: int) -> list[tuple[int, int]]:
+def widths(length: int) -> tuple[int, int]:
+    """gram and span for strings of that length; more than half of it stays for the windows to agree in."""
+    return length * 16 // 100, length * 40 // 100
+
+
+def stretches(repeated: np.ndarray, length: int, gram: int, span: int) -> list[tuple[int, int]]:
     """Byte ranges that strings of `length` bytes can fill, given for each window whether its hash is
     selected elsewhere too."""
-    need = length - (GRAM + SPAN - 1) + 1
+    need = length - (gram + span - 1) + 1
     edge = np.flatnonzero(np.diff(np.concatenate(([0], repeated.astype(np.int8), [0]))))
-    return [(a, b + GRAM + SPAN - 2) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a >= need]
+    return [(a, b + gram + span - 2) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a >= need]

@@ -7,13 +7,13 @@ import pytest
 
 from tesserae.llm import suffix_dedup
 from tesserae.llm.suffix import common_prefixes, suffix_array
-from tesserae.llm.winnow import GRAM, SPAN, selected, stretches
+from tesserae.llm.winnow import selected, stretches, widths
 
 SCHEMA = "doc_id long, text string, key string, piece int, body int"
 LENGTH = 400
 
 
-def brute(rows, length):
+def brute(rows, length, words=0):
     raw = [(r[0], (r[1] or "").encode()) for r in rows]
     count = Counter(t[k : k + length] for _, t in raw for k in range(len(t) - length + 1))
     out = []
@@ -22,6 +22,10 @@ def brute(rows, length):
         for k in range(len(t) - length + 1):
             if count[t[k : k + length]] > 1:
                 gone[k : k + length] = b"\1" * length
+        edges = [k for k in range(len(t) + 1) if (gone[k - 1] if k else 0) != (gone[k] if k < len(t) else 0)]
+        for x, y in zip(edges[::2], edges[1::2]):
+            if len(t[x:y].split()) < words:
+                gone[x:y] = bytes(y - x)
         kept = bytes(b for b, g in zip(t, gone) if not g)
         spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         out.append((i, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
@@ -54,6 +58,28 @@ def test_removed_bytes(spark, monkeypatch, shard, stretch):
     assert sorted(own) == brute(rows, LENGTH)
 
 
+@pytest.mark.parametrize(("length", "words"), [(150, 51), (120, 20), (250, 60)])
+def test_other_lengths_and_words(spark, length, words):
+    """Shorter strings, and runs of few words that stay; copies of a text with few words stay too."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 6)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(n) for n in (51, 50, 80, 30, 49, 52, 20)]
+    rows = [(i, text(rng.randrange(60)) + " " + p + " " + text(rng.randrange(60)), "k", 1, 2) for i, p in enumerate(passages * 3)]
+    rows += [(100 + i, t, "k", 1, 2) for i, t in enumerate([passages[0], passages[0], text(1) * 80, text(60), text(49)] * 2)]
+    rows.append((200, text(60_000), "k", 1, 2))  # a very long text
+    got = suffix_dedup.cleaned(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), length, with_text=True, words=words)
+    texts = {r[0]: r[1] for r in rows}
+    own = [(r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], texts[r["id"]] if r["kept_text"] is None else r["kept_text"]) for r in got.collect()]
+    assert sorted(own) == brute(rows, length, words)
+    assert sum(r[2] for r in own) > 1000
+
+
+def test_too_short_a_length(spark):
+    with pytest.raises(ValueError):
+        suffix_dedup.cleaned(spark, spark.createDataFrame([], SCHEMA), 20)
+
+
 def test_empty_table(spark):
     assert suffix_dedup.cleaned(spark, spark.createDataFrame([], SCHEMA)).count() == 0
 
@@ -70,13 +96,15 @@ def test_suffix_array_and_prefixes():
             assert a[:n] == b[:n] and (n == min(len(a), len(b)) or a[n] != b[n])
 
 
-def test_winnowing_keeps_every_repeat():
+@pytest.mark.parametrize("length", [50, 150, 400])
+def test_winnowing_keeps_every_repeat(length):
     rng = np.random.default_rng(1)
+    gram, span = widths(length)
     for _ in range(20):
-        shared = rng.integers(97, 100, 400).astype(np.uint8)
+        shared = rng.integers(97, 100, length).astype(np.uint8)
         a, b = (np.concatenate((rng.integers(97, 100, x).astype(np.uint8), shared, rng.integers(97, 100, 100).astype(np.uint8))) for x in rng.integers(0, 300, 2))
-        (least, own), (_, other) = selected(a), selected(b)
-        found = stretches(np.isin(least, other), 400)
-        at = len(a) - 500
-        assert any(x <= at and at + 400 <= y for x, y in found)
-        assert len(least) == len(a) - GRAM - SPAN + 2 and set(least.tolist()) == set(own.tolist())
+        (least, own), (_, other) = selected(a, gram, span), selected(b, gram, span)
+        found = stretches(np.isin(least, other), length, gram, span)
+        at = len(a) - length - 100
+        assert any(x <= at and at + length <= y for x, y in found)
+        assert len(least) == len(a) - gram - span + 2 and set(least.tolist()) == set(own.tolist())
