@@ -11,8 +11,9 @@ from tesserae.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxicit
 from tesserae.llm.common import store, table, text_or_empty
 from tesserae.llm.queries import vocabulary
 
-#: Five-word shingles, linked from a similarity of 0.8; repeats from 400 bytes; windows of 1024 ids.
-SHINGLE, PERCENT, REPEAT, WIDTH = 5, 80, 400, 1024
+#: Five-word shingles, linked from a similarity of 0.8; repeated runs of more than 50 words, found as strings
+#: of 150 bytes, which a run of so many words hardly ever falls short of; windows of 1024 ids.
+SHINGLE, PERCENT, REPEAT, WORDS, WIDTH = 5, 80, 150, 51, 1024
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +35,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes that lie in a repeated string; n_chars follows. Every row stays."""
-    found = suffix_dedup.cleaned(spark, docs, REPEAT, with_text=True)
+    """Texts without their runs of WORDS or more words whose every byte lies in a repeated string of REPEAT
+    bytes; n_chars follows. Every row stays."""
+    found = suffix_dedup.cleaned(spark, docs, REPEAT, with_text=True, words=WORDS)
     changed = found.where("kept_text IS NOT NULL").select(F.col("key").alias("__key"), F.col("kept_text").alias("__kept")).dropDuplicates(["__key"])
     keyed = docs.withColumn("__of", F.unhex(F.sha2(F.encode(text_or_empty(), "utf-8"), 256)))
     joined = keyed.join(changed, F.col("__of") == F.col("__key"), "left")
@@ -46,8 +48,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece: its document, start, length, checksum, sequence and offset."""
-    return packing.packed(spark, docs, vocabulary("byte_bpe_50k.json"), width=WIDTH, with_ids=False).withColumnRenamed("id", "doc_id")
+    """A row per piece: its document, start, length, checksum, sequence, offset and token ids."""
+    return packing.packed(spark, docs, vocabulary("byte_bpe_50k.json"), width=WIDTH).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("suffix_dedup", cut_repeats), ("packing", pack)]
