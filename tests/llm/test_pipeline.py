@@ -34,10 +34,12 @@ def test_run_equals_brute_force(spark, tmp_path):
     left = [r for r in left if r[0] in stay]
     first = {i for i, _, component in test_near_dedup.brute(left, corpus_pipeline.SHINGLE, corpus_pipeline.PERCENT) if i == component}
     left = [r for r in left if r[0] in first]
-    left = [(i, kept) for i, _, _, _, _, kept in test_suffix_dedup.brute(left, corpus_pipeline.REPEAT)]
+    left = [(i, kept) for i, _, _, _, _, kept in test_suffix_dedup.brute(left, corpus_pipeline.REPEAT, corpus_pipeline.WORDS)]
     library = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    want = {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in left}
+    ids = {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t in left}
+    want = {i: len(x) for i, x in ids.items()}
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"]: r["doc_tokens"] for r in got} == want
     assert sum(r["length"] for r in got) == sum(want.values())
     assert len({(r["sequence_id"], r["offset"]) for r in got}) == len(got)
+    assert {i: [t for r in sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["start"]) for t in r["ids"]] for i in want} == ids
