@@ -2,15 +2,18 @@
 
 Rows are dealt to shards of about SHARD_ROWS by a hash of their identifier. Each shard's tree splits its
 points at the median of the direction between two far points; a node keeps its centre and radius, and no
-point of it can score more than q.centre + |q| * radius. Queries are taken in waves of at most WAVE rows,
-which is the bound of what is sent to every task. For a wave, each query first searches one tree; its kth
-score there is shared with all trees, which then search nodes by falling upper bound and drop a node as
-soon as its bound lies below every open query's kth score. Bounds are rounded upwards; scores are exact.
+point of it can score more than q.centre + |q| * radius. Queries stay a table. Each one first searches the
+tree of one shard, and its kth score there is shared with all others. Then blocks of about BLOCK_ROWS
+queries meet groups of trees, a task for each block and group: the task searches tree after tree, takes
+nodes by falling upper bound and drops a node as soon as its bound lies below every open query's kth score,
+which it carries on to the next tree. Bounds are rounded upwards; scores are exact.
 
 Vectors that are null or hold a null or non-finite component take no part, nor do rows without an
-identifier. Components are scaled, floored and held to +-LIMIT, so that scores fit a long. Shorter
-vectors count as padded with zeros. Rows that repeat an identifier and vector count once; a query never
-finds its own identifier. Ties go to the smaller identifier. Empty tables have no results.
+identifier. Components are scaled and floored, however large; where sums could pass 2^53 they are made in
+integers. A score among the results that doesn't fit a long is an error. Shorter vectors count as padded
+with zeros, empty ones too. Rows that repeat an identifier and vector count once; a query never finds its
+own identifier. Ties go to the smaller identifier. Empty tables have no results. Only the two named columns
+are read, so that other columns may have any name.
 """
 
 from __future__ import annotations
@@ -20,21 +23,41 @@ import io
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import store
 
-SHARD_ROWS, LEAF_ROWS, WAVE, LIMIT = 8192, 64, 16_384, float(1 << 28)
+SHARD_ROWS, LEAF_ROWS, BLOCK_ROWS, GROUP_TREES = 8192, 64, 65_536, 32
+#: Stands for a score below the longs.
+BELOW = -(2**63) + 1
 
 
 def quantised(df: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
     """id, v (array of double, whole numbers) of the rows that take part."""
     x = F.col(vector_col)
     sound = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")))
-    value = F.transform(x, lambda c: F.least(F.greatest(F.lit(scale) * c.cast("double"), F.lit(-LIMIT)), F.lit(LIMIT)))
+    value = F.transform(x, lambda c: F.lit(scale) * c.cast("double"))
     rows = df.where(F.col(id_col).isNotNull() & F.coalesce(sound, F.lit(False)))
-    return rows.select(F.col(id_col).cast("long").alias("id"), F.transform(value, lambda c: F.floor(c).cast("double")).alias("v")).dropDuplicates()
+    # floor() of a double gives a long: beyond 2^53 every double is whole
+    whole = F.transform(value, lambda c: F.when(F.abs(c) < 2.0**53, F.floor(c).cast("double")).otherwise(c))
+    return rows.select(F.col(id_col).cast("long").alias("id"), whole.alias("v")).dropDuplicates()
+
+
+def inner_products(q: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole-number vectors, as longs. Below the longs they are BELOW, beyond them
+    an error."""
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(points).max(initial=0)) * max(1, q.shape[1])
+    if most < 2.0**53:
+        return np.rint(q @ points.T).astype(np.int64)
+    if most < 2.0**62 and max(np.abs(q).max(), np.abs(points).max()) < 2.0**62:
+        return q.astype(np.int64) @ points.astype(np.int64).T
+    whole = lambda m: np.array([[int(x) for x in r] for r in m.tolist()], object).reshape(m.shape)
+    exact = whole(q).dot(whole(points).T)
+    if max(exact.ravel(), default=0) >= 2**63:
+        raise OverflowError("a score is too large for a long")
+    return np.maximum(exact, BELOW).astype(np.int64)
 
 
 def _matrix(column, dims: int) -> np.ndarray:
@@ -69,7 +92,8 @@ class BallTree:
 
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, ids=self.ids, points=self.points.astype(np.int32), nodes=np.array(self.nodes), centres=self.centres)
+        narrow = np.abs(self.points).max(initial=0) < 2**31
+        np.savez(out, ids=self.ids, points=self.points.astype(np.int32) if narrow else self.points, nodes=np.array(self.nodes), centres=self.centres)
         return out.getvalue()
 
     @classmethod
@@ -82,7 +106,6 @@ class BallTree:
     def search(self, qid: np.ndarray, q: np.ndarray, best: Best) -> None:
         """Improves best for the queries q; best.kth is the score to reach."""
         norm = np.sqrt((q * q).sum(1))
-        exact = float(np.abs(q).max(initial=0)) * float(np.abs(self.points).max(initial=0)) * q.shape[1] < 2**53
         slack = 1e-9 * (norm * max(1.0, float(np.sqrt((self.points**2).sum(1).max(initial=0)))) + 1)
 
         def bound(node: int, rows: np.ndarray) -> np.ndarray:
@@ -100,8 +123,7 @@ class BallTree:
             a, b, left, right, _ = self.nodes[node]
             if left < 0:
                 points, mine = self.points[a:b], q[rows]
-                scores = np.rint(mine @ points.T).astype(np.int64) if exact else mine.astype(np.int64) @ points.T.astype(np.int64)
-                best.offer(rows, scores, self.ids[a:b], qid[rows])
+                best.offer(rows, inner_products(mine, points), self.ids[a:b], qid[rows])
             else:
                 for child in (left, right):
                     u = bound(child, rows)
@@ -132,76 +154,90 @@ class Best:
 
 
 def trees(rows: DataFrame, dims: int, shards: int) -> DataFrame:
-    """tree: a row for each shard's tree; a crowded partition gives several."""
+    """shard, part, tree: a crowded shard gives several trees."""
 
     def run(batches):
-        ids, points = [], []
-        n = 0
+        ids, points, n, part, shard = [], [], 0, 0, TaskContext.get().partitionId()
 
         def tree():
-            return pa.record_batch([pa.array([BallTree(np.concatenate(ids), np.concatenate(points)).dump()], pa.binary())], ["tree"])
+            return pa.record_batch([[shard], [part], pa.array([BallTree(np.concatenate(ids), np.concatenate(points)).dump()], pa.binary())], ["shard", "part", "tree"])
 
         for b in batches:
             for x in range(0, len(b), SHARD_ROWS):
-                part = b.slice(x, SHARD_ROWS)
-                if n + len(part) > 2 * SHARD_ROWS:
+                piece = b.slice(x, SHARD_ROWS)
+                if n + len(piece) > 2 * SHARD_ROWS:
                     yield tree()
-                    ids, points, n = [], [], 0
-                ids.append(part.column("id").to_numpy())
-                points.append(_matrix(part.column("v"), dims))
-                n += len(part)
+                    ids, points, n, part = [], [], 0, part + 1
+                ids.append(piece.column("id").to_numpy())
+                points.append(_matrix(piece.column("v"), dims))
+                n += len(piece)
         if n:
             yield tree()
 
-    return rows.repartition(shards, "id").mapInArrow(run, "tree binary")
+    return rows.repartition(shards, "id").mapInArrow(run, "shard long, part long, tree binary")
+
+
+def _searched(meetings: DataFrame, dims: int, k: int) -> DataFrame:
+    """query_id, vec_id, score: the k best of each query among the trees of each meeting. meetings: a, b (which
+    one it is), kind, then id, v, kth of a query (kind 0) or a tree (kind 1)."""
+
+    def run(batches):
+        now, ids, vectors, kth, best, q = None, [], [], [], None, None
+
+        def answer():
+            if best is None:
+                return
+            r, c = np.nonzero(best.scores != Best.NONE)
+            yield pa.record_batch([pa.array(np.concatenate(ids)[r]), pa.array(best.ids[r, c]), pa.array(best.scores[r, c])], ["query_id", "vec_id", "score"])
+
+        for batch in batches:
+            a, b, kind = (batch.column(c).to_numpy() for c in ("a", "b", "kind"))
+            cut = np.flatnonzero(np.concatenate(([True], (np.diff(a) != 0) | (np.diff(b) != 0) | (np.diff(kind) != 0))))
+            for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(a)]):
+                if (a[x], b[x]) != now:
+                    yield from answer()
+                    now, ids, vectors, kth, best, q = (a[x], b[x]), [], [], [], None, None
+                part = batch.slice(x, y - x)
+                if kind[x] == 0:
+                    ids.append(part.column("id").to_numpy())
+                    vectors.append(_matrix(part.column("v"), dims))
+                    kth.append(part.column("kth").to_numpy())
+                elif ids:
+                    if best is None:
+                        q = np.concatenate(vectors)
+                        best = Best(len(q), k, np.concatenate(kth))
+                    for data in part.column("tree"):
+                        BallTree.load(data.as_py()).search(np.concatenate(ids), q, best)
+        yield from answer()
+
+    dealt = meetings.repartition("a", "b").sortWithinPartitions("a", "b", "kind")
+    return dealt.select("a", "b", "kind", "id", "v", "kth", "tree").mapInArrow(run, "query_id long, vec_id long, score long")
 
 
 def search(spark: SparkSession, df: DataFrame, is_query: Column, k: int = 10, scale: float = 1024.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all rows for each row of df where is_query holds."""
     rows, _ = store(quantised(df, id_col, vector_col, scale), "vectors")
-    n, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    n, dims, n_queries = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.sum(is_query.cast("long")), F.lit(0))).first()
+    shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n_queries // BLOCK_ROWS))
+    groups = max(-(-shards // GROUP_TREES), min(shards, spark.sparkContext.defaultParallelism))
     dims = max(dims, 1)
-    forest, _ = store(trees(rows, dims, max(1, -(-n // SHARD_ROWS))).withColumn("n", F.monotonically_increasing_id()), "trees")
+    forest, _ = store(trees(rows, dims, shards), "trees")
     queries = rows.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
-    n_queries = queries.count()
-    waves = max(1, -(-n_queries // (WAVE // 2)))
-    dealt, _ = store(queries.withColumn("wave", F.pmod(F.xxhash64("id"), F.lit(waves))), "queries")
-    n_trees = max(1, forest.count())
-    numbered = forest.select("tree", F.pmod(F.xxhash64("n"), F.lit(n_trees)).alias("home"))
-
-    parts = []
-    for wave in range(waves):
-        taken = dealt.where(F.col("wave") == wave).select("id", "v").toArrow()  # about WAVE / 2 rows
-        if not len(taken):
-            continue
-        qid, q = taken.column("id").to_numpy(), _matrix(taken.column("v"), dims)
-        first = _searched(numbered, qid, q, k, None, n_trees)
-        kth = np.full(len(qid), -np.inf)
-        for r in first.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).where(F.col("n") == k).collect():
-            kth[r["query"]] = r["kth"]
-        parts.append(_searched(numbered, qid, q, k, kth, 0))
-    if not parts:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.union(p)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.select("query_id", "vec_id", "score").withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-
-def _searched(forest: DataFrame, qid: np.ndarray, q: np.ndarray, k: int, kth: np.ndarray | None, homes: int) -> DataFrame:
-    """query (row of q), query_id, vec_id, score. With homes, each query searches one tree only."""
-
-    def run(batches):
-        shared = None if kth is None else kth.copy()
-        for b in batches:
-            for home, data in zip(b.column("home").to_pylist(), b.column("tree")):
-                rows = np.arange(len(qid)) if not homes else np.flatnonzero(np.arange(len(qid)) % homes == home % homes)
-                best = Best(len(rows), k, None if shared is None else shared[rows])
-                BallTree.load(data.as_py()).search(qid[rows], q[rows], best)
-                if shared is not None:
-                    shared[rows] = best.kth
-                r, c = np.nonzero(best.scores != Best.NONE)
-                yield pa.record_batch([pa.array(rows[r]), pa.array(qid[rows[r]]), pa.array(best.ids[r, c]), pa.array(best.scores[r, c])], ["query", "query_id", "vec_id", "score"])
-
-    return forest.select("home", "tree").mapInArrow(run, "query long, query_id long, vec_id long, score long")
+    def meeting(a, b, kind, **columns):
+        types = {"id": "long", "v": "array<double>", "kth": "double", "tree": "binary"}
+        return a.cast("long").alias("a"), b.cast("long").alias("b"), F.lit(kind).alias("kind"), *(columns.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items())
+
+    none = F.lit(float("-inf"))
+    home, zero = F.pmod(F.xxhash64("id"), F.lit(shards)), F.lit(0)
+    first = _searched(queries.select(*meeting(home, zero, 0, id=F.col("id"), v=F.col("v"), kth=none)).union(forest.where("part = 0").select(*meeting(F.col("shard"), zero, 1, tree=F.col("tree")))), dims, k)
+    shared = first.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).where(F.col("n") == k).select("id", "kth")
+    known, _ = store(queries.join(shared, "id", "left").select("id", "v", F.coalesce(F.col("kth").cast("double"), none).alias("kth")), "queries")
+    each_group, each_block = (F.explode(F.sequence(F.lit(0), F.lit(m - 1))) for m in (groups, blocks))
+    asked = known.select(each_group.alias("group"), F.pmod(F.xxhash64(F.col("id"), F.lit(1)), F.lit(blocks)).alias("block"), "id", "v", "kth")
+    held = forest.select(F.pmod("shard", F.lit(groups)).alias("group"), each_block.alias("block"), "tree")
+    meetings = asked.select(*meeting(F.col("group"), F.col("block"), 0, id=F.col("id"), v=F.col("v"), kth=F.col("kth"))).union(held.select(*meeting(F.col("group"), F.col("block"), 1, tree=F.col("tree"))))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    best = _searched(meetings, dims, k).withColumn("rank", rank).where(F.col("rank") <= k)
+    fits = F.when(F.col("score") > BELOW, F.col("score")).otherwise(F.raise_error(F.lit("a score is too small for a long")).cast("long"))
+    return best.select("query_id", "rank", "vec_id", fits.alias("score"))
