@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions import rect
@@ -22,22 +22,48 @@ def clip_to_tiles(objects: DataFrame, tiles: DataFrame, cell: float, factor: flo
     return intersection(objects, shrunk, cell, keys)
 
 
+#: Rectangles in a cell up to which their union is one expression over an array.
+CROWD = 64
+
+
+def _covered(rects: str) -> Column:
+    """Area of the union of a sorted array of (miny, maxy, minx, maxx): strips between neighbouring x edges, and
+    in each the merged y intervals."""
+    xs = F.array_sort(F.array_distinct(F.concat(F.transform(rects, lambda r: r["minx"]), F.transform(rects, lambda r: r["maxx"]))))
+    zero = F.lit(0).cast("long")
+
+    def strip(x0: Column, x1: Column) -> Column:
+        inside = F.filter(rects, lambda r: (r["minx"] <= x0) & (r["maxx"] >= x1))
+        merge = lambda s, r: F.struct((s["sum"] + F.greatest(r["maxy"] - F.greatest(r["miny"], s["reach"]), zero)).alias("sum"), F.greatest(s["reach"], r["maxy"]).alias("reach"))
+        return F.aggregate(inside, F.struct(zero.alias("sum"), F.lit(-(2**62)).alias("reach")), merge)["sum"] * (x1 - x0)
+
+    steps = F.zip_with(F.slice(xs, 1, F.size(xs) - 1), F.slice(xs, 2, F.size(xs) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    many = F.aggregate(steps, zero, lambda t, s: t + strip(s["a"], s["b"]))
+    one = F.element_at(rects, 1)
+    return F.when(F.size(rects) == 1, (one["maxx"] - one["minx"]) * (one["maxy"] - one["miny"])).otherwise(many)
+
+
 def union_area(df: DataFrame, by: list[str], cell: int) -> DataFrame:
-    """by, area of the union of each group's rectangles.
+    """by, area of the union of each group's rectangles, whose bounds are whole numbers.
 
-    Rectangles are cut at grid lines, so that each cell is a task-sized problem whatever the group's
-    size; within a cell, every strip between two neighbouring x edges sums the merged y intervals."""
+    Rectangles are cut at grid lines, so that each cell is a small problem whatever the group's size. Up to
+    CROWD rectangles of a cell are united in one expression; in a more crowded cell, which isn't gathered,
+    every strip between two neighbouring x edges sums the merged y intervals by window functions."""
     at = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("long")
     inner = lambda c: F.floor((F.col(c) - 1) / F.lit(cell)).cast("long")  # noqa: E731  the far edge belongs to the cell before
-    cut = df.where(rect.area() > 0).select(*by, *rect.SIDES, F.explode(F.sequence(at("minx"), inner("maxx"))).alias("cx")).withColumn("cy", F.explode(F.sequence(at("miny"), inner("maxy"))))
-    inside = cut.select(*by, "cx", "cy", F.greatest("minx", F.col("cx") * cell).alias("minx"), F.greatest("miny", F.col("cy") * cell).alias("miny"), F.least("maxx", (F.col("cx") + 1) * cell).alias("maxx"), F.least("maxy", (F.col("cy") + 1) * cell).alias("maxy")).distinct()
+    cut = df.where(rect.area() > 0).select(*by, *(F.col(s).cast("long").alias(s) for s in rect.SIDES), F.explode(F.sequence(at("minx"), inner("maxx"))).alias("cx")).withColumn("cy", F.explode(F.sequence(at("miny"), inner("maxy"))))
+    inside = cut.select(*by, "cx", "cy", F.greatest("minx", F.col("cx") * cell).alias("minx"), F.greatest("miny", F.col("cy") * cell).alias("miny"), F.least("maxx", (F.col("cx") + 1) * cell).alias("maxx"), F.least("maxy", (F.col("cy") + 1) * cell).alias("maxy"))
     group = [*by, "cx", "cy"]
-    edges = inside.select(*group, F.explode(F.array("minx", "maxx")).alias("x")).distinct()
+    counted = inside.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*group)))
+    few = counted.where(F.col("__n") <= CROWD).groupBy(*group).agg(F.sort_array(F.collect_set(F.struct("miny", "maxy", "minx", "maxx"))).alias("rects"))
+    crowd = counted.where(F.col("__n") > CROWD).drop("__n").distinct()
+    edges = crowd.select(*group, F.explode(F.array("minx", "maxx")).alias("x")).distinct()
     strips = edges.withColumn("x1", F.lead("x").over(Window.partitionBy(*group).orderBy("x"))).where("x1 IS NOT NULL")
-    runs = inside.join(strips, group).where((F.col("minx") <= F.col("x")) & (F.col("maxx") >= F.col("x1"))).select(*group, "x", "x1", "miny", "maxy")
+    runs = crowd.join(strips, group).where((F.col("minx") <= F.col("x")) & (F.col("maxx") >= F.col("x1"))).select(*group, "x", "x1", "miny", "maxy")
     before = Window.partitionBy(*group, "x").orderBy("miny", "maxy").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.col("maxy") - F.greatest(F.col("miny"), F.coalesce(F.max("maxy").over(before), F.col("miny")))
-    return runs.withColumn("fresh", F.greatest(fresh, F.lit(0)) * (F.col("x1") - F.col("x"))).groupBy(*by).agg(F.sum("fresh").alias("area"))
+    fresh = F.greatest(F.col("maxy") - F.greatest(F.col("miny"), F.coalesce(F.max("maxy").over(before), F.col("miny"))), F.lit(0)) * (F.col("x1") - F.col("x"))
+    parts = few.select(*by, _covered("rects").alias("part")).union(runs.select(*by, fresh.alias("part")))
+    return parts.groupBy(*by).agg(F.sum("part").alias("area"))
 
 
 def difference_area(left: DataFrame, right: DataFrame, id_col: str, cell: int) -> DataFrame:

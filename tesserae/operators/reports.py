@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,14 +30,29 @@ def pivot_counts(df: DataFrame, row: str, column: str, values: list[str]) -> Dat
     return got.select(row, *(F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(v) for v in values))
 
 
+def quantiles(df: DataFrame, by: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """by, n and a column for each share: exact quantiles, interpolated between neighbours. Values are counted
+    before they travel, so that what a group sends is its distinct values; nulls don't count."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(by, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    upto, whole = Window.partitionBy(by).orderBy("__v"), Window.partitionBy(by)
+    ranked = counts.withColumn("__upto", F.sum("__c").over(upto)).withColumn("n", F.sum("__c").over(whole))
+    at = {k: (F.col("n") - 1) * F.lit(q) for k, q in shares.items()}
+    value_at = lambda rank: F.min(F.when(F.col("__upto") > rank, F.col("__v"))).cast("double")
+    ends = ranked.groupBy(by, "n").agg(*(x for k, p in at.items() for x in (value_at(F.floor(p)).alias(f"__a_{k}"), value_at(F.ceil(p)).alias(f"__b_{k}"))))
+    return ends.select(by, "n", *((F.col(f"__a_{k}") + (F.col(f"__b_{k}") - F.col(f"__a_{k}")) * (p - F.floor(p))).alias(k) for k, p in at.items()))
+
+
 def yearly_medians(df: DataFrame, year: str, columns: list[str]) -> DataFrame:
-    return df.groupBy(year).agg(*(F.median(c).alias(f"median_{c}") for c in columns))
+    """The median of each column by year; null where a year has no value."""
+    out = df.select(year).distinct()
+    for c in columns:
+        out = out.join(quantiles(df, year, c, {f"median_{c}": 0.5}).drop("n"), year, "left")
+    return out
 
 
 def box_statistics(df: DataFrame, by: str, value: str) -> DataFrame:
     """Quartiles, and whiskers at the last values within 1.5 interquartile ranges."""
-    q = df.groupBy(by).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.count(value).alias("n"))
-    q = q.select(by, "n", *(F.col("q")[k].alias(n) for k, n in enumerate(("q1", "median", "q3"))))
+    q = quantiles(df, by, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     ends = df.join(q, by).where((F.col(value) >= F.col("q1") - reach) & (F.col(value) <= F.col("q3") + reach)).groupBy(by).agg(F.min(value).alias("low"), F.max(value).alias("high"))
     return q.join(ends, by)

@@ -3,18 +3,26 @@
 A range predicate alone would be a nested loop. Both sides are therefore laid over a grid and joined by
 cell (and any equal keys); a pair is kept only in the cell of the lower left corner of its common part,
 so that it appears once without a distinct. Cells come from `sequence`, everything stays in generated
-code, and adaptive execution can split a crowded cell.
+code, and adaptive execution can split a crowded cell. Only the columns that are used later travel, and a
+table that is joined with itself is laid over the grid once.
+
+Shapes far wider than a cell would cover too many cells: `area_pairs` gives each of them a grid of its own
+size instead. Rows without bounds meet nothing.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.functions import rect
-from tesserae.storage import store
+from tesserae.storage import drop, store
+
+#: Rows of an area table up to which it is sent to every task, and parts that a wider table's cells are dealt to.
+SMALL_AREAS, SALTS = 10_000, 64
 
 
 def cell_size(df: DataFrame, share: float = 0.95) -> int:
@@ -23,23 +31,47 @@ def cell_size(df: DataFrame, share: float = 0.95) -> int:
     return max(1, int(got or 1))
 
 
-def _on_grid(df: DataFrame, cell: float, name: str) -> DataFrame:
+def _on_grid(df: DataFrame, cell: float, keys: list[str]) -> DataFrame:
     at = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("long")
-    boxed = df.select(F.struct(*df.columns).alias(name), F.explode(F.sequence(at("minx"), at("maxx"))).alias("cx"), at("miny").alias("__y0"), at("maxy").alias("__y1"))
-    return boxed.select(name, "cx", F.explode(F.sequence("__y0", "__y1")).alias("cy"))
+    laid = df.select("*", *(F.col(x).alias(f"__k{k}") for k, x in enumerate(keys)), F.explode(F.sequence(at("minx"), at("maxx"))).alias("__cx"))
+    return laid.select("*", F.explode(F.sequence(at("miny"), at("maxy"))).alias("__cy"))
+
+
+def _sides(left: DataFrame, right: DataFrame) -> tuple[Column, Column]:
+    return F.struct(*(F.col(f"l.{c}") for c in left.columns)).alias("l"), F.struct(*(F.col(f"r.{c}") for c in right.columns)).alias("r")
 
 
 def pairs(left: DataFrame, right: DataFrame, cell: float, keys: list[tuple[str, str]] = (), predicate: Callable[[str, str], Column] = rect.intersects, where: Column | None = None) -> DataFrame:
     """Structs l and r of all pairs that meet the predicate (which implies that they intersect), agree in
     keys (left and right column) and meet `where` (over l.* and r.*)."""
-    a, b = _on_grid(left, cell, "l"), _on_grid(right, cell, "r")
-    for k, (x, y) in enumerate(keys):
-        a, b = a.withColumn(f"k{k}", F.col(f"l.{x}")), b.withColumn(f"k{k}", F.col(f"r.{y}"))
-    joined = a.join(b, ["cx", "cy", *(f"k{k}" for k in range(len(keys)))])
+    a, b = _on_grid(left, cell, [x for x, _ in keys]).alias("l"), _on_grid(right, cell, [y for _, y in keys]).alias("r")
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__cx", "__cy", *(f"__k{k}" for k in range(len(keys))))]
     common = rect.intersection("l.", "r.")
-    once = (F.floor(common["minx"] / F.lit(cell)) == F.col("cx")) & (F.floor(common["miny"] / F.lit(cell)) == F.col("cy"))
-    kept = joined.where(rect.intersects("l.", "r.") & once & predicate("l.", "r."))
-    return (kept if where is None else kept.where(where)).select("l", "r")
+    once = (F.floor(common["minx"] / F.lit(cell)) == F.col("l.__cx")) & (F.floor(common["miny"] / F.lit(cell)) == F.col("l.__cy"))
+    kept = a.join(b, on).where(rect.intersects("l.", "r.") & once & predicate("l.", "r."))
+    return (kept if where is None else kept.where(where)).select(*_sides(left, right))
+
+
+def area_pairs(left: DataFrame, areas: DataFrame, cell: float) -> DataFrame:
+    """Structs l and r of all pairs that intersect, where areas may be of any size.
+
+    An area lies on the grid whose cells are the least doubling of `cell` that is as wide as the area, where
+    it covers four cells at most; left rows lie on each of the grids that occur. A table of up to
+    SMALL_AREAS areas is sent to every task; beyond, a cell is dealt to SALTS parts by left rows."""
+    at = lambda c: F.floor(F.col(c) / (F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("__level")))).cast("long")
+    level = F.greatest(F.ceil(F.log2(F.greatest(rect.width(), rect.height()).cast("double") / F.lit(float(cell)))), F.lit(0)).cast("int")
+    placed = areas.withColumn("__level", F.when(rect.width().isNotNull() & rect.height().isNotNull(), F.coalesce(level, F.lit(0))))
+    found = placed.where("__level IS NOT NULL").groupBy("__level").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each doubling
+    small = sum(r["n"] for r in found) <= SMALL_AREAS
+    cells = lambda d: d.select("*", F.explode(F.sequence(at("minx"), at("maxx"))).alias("__cx")).select("*", F.explode(F.sequence(at("miny"), at("maxy"))).alias("__cy"))
+    salt = F.lit(0) if small else F.pmod(F.xxhash64("minx", "miny", "maxx", "maxy"), F.lit(SALTS)).cast("int")
+    a = cells(left.select("*", F.explode(F.array(*(F.lit(r["__level"]) for r in found)).cast("array<int>")).alias("__level"), salt.alias("__salt"))).alias("l")
+    b = cells(placed.select("*", F.explode(F.array(F.lit(0)) if small else F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")))
+    b = (F.broadcast(b) if small else b).alias("r")
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__level", "__salt", "__cx", "__cy")]
+    common, side = rect.intersection("l.", "r."), F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("l.__level"))
+    once = (F.floor(common["minx"] / side) == F.col("l.__cx")) & (F.floor(common["miny"] / side) == F.col("l.__cy"))
+    return a.join(b, on).where(rect.intersects("l.", "r.") & once).select(*_sides(left, areas))
 
 
 def self_pairs(df: DataFrame, id_col: str, cell: float, same: list[str] = (), strict: bool = False) -> DataFrame:
@@ -59,21 +91,34 @@ def nearest(left: DataFrame, right: DataFrame, id_col: str, right_id: str, start
     """l, r, distance of the nearest right rows of each left row; ties give several rows.
 
     The reach doubles until every left row has a neighbour within it: those who have one are done, since
-    nothing nearer can lie outside. The number of rounds is the logarithm of the longest distance."""
-    extent = right.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy"), F.count(F.lit(1))).first()
-    if not extent[4]:
+    nothing nearer can lie outside. The number of rounds is the logarithm of the longest distance, and no
+    round goes beyond the extent of both tables. Rows without bounds, on either side, have no nearest row;
+    neither has any row if the other side is empty."""
+    sound = " AND ".join(f"{s} IS NOT NULL" for s in rect.SIDES)
+    left, right = left.where(sound), right.where(sound)
+    ends = lambda d: d.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy")).first()
+    a, b = ends(left), ends(right)
+    if a[0] is None or b[0] is None:
         return pairs(left, right, start).withColumn("distance", F.lit(0.0)).limit(0)
-    waiting, reach, parts = left, start, []
+    longest = math.hypot(*(float(max(a[k + 2], b[k + 2]) - min(a[k], b[k])) for k in (0, 1)))
+    waiting, waiting_path, reach, parts = left, None, float(start), []
     while True:
         grown = waiting.select(F.struct(*left.columns).alias("own"), *(c.alias(s) for s, c in rect.grown(reach).items()))
         met = pairs(grown, right, reach).select(F.col("l.own").alias("l"), "r").withColumn("distance", rect.distance("l.", "r.")).where(F.col("distance") <= reach)
         best = met.groupBy(F.col(f"l.{id_col}").alias("__id")).agg(F.min("distance").alias("__d"))
         done, _ = store(met.join(best, (F.col(f"l.{id_col}") == F.col("__id")) & (F.col("distance") == F.col("__d"))).drop("__id", "__d"), "nearest")
         parts.append(done)
-        waiting, _ = store(waiting.join(done.select(F.col(f"l.{id_col}").alias(id_col)).distinct(), id_col, "left_anti").select(*left.columns), "waiting")
+        if reach > longest:
+            break
+        still, path = store(waiting.join(done.select(F.col(f"l.{id_col}").alias(id_col)).distinct(), id_col, "left_anti").select(*left.columns), "waiting")
+        if waiting_path:
+            drop(left.sparkSession, waiting_path)
+        waiting, waiting_path = still, path
         if waiting.isEmpty():
             break
         reach *= 2
+    if waiting_path:
+        drop(left.sparkSession, waiting_path)
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)

@@ -309,9 +309,8 @@ def lifespan_counts(spark, d):
 
 @query(with_clause("fx_det", "fx_aoi") + f" SELECT d.merged_id, a.canton, greatest(d.minx, a.minx) AS minx, greatest(d.miny, a.miny) AS miny, least(d.maxx, a.maxx) AS maxx, least(d.maxy, a.maxy) AS maxy FROM fx_det d JOIN fx_aoi a ON {sql_meets('d', 'a')} WHERE {sql_shared('d', 'a')} > 0")
 def overlay_intersection(spark, d):
-    """Detections cut to the areas of interest: two wide rectangles, which no grid helps, so they are sent to every task."""
-    aoi = F.broadcast(frame(spark, d, "fx_aoi").alias("r"))
-    met = det(spark, d).alias("l").join(aoi, rect.intersects("l.", "r."))
+    """Detections cut to the areas of interest, two very wide rectangles."""
+    met = spatial.area_pairs(det(spark, d), frame(spark, d, "fx_aoi"), CELL)
     out = met.select("l.merged_id", "r.canton", *(c.alias(s) for s, c in rect.intersection("l.", "r.").items()))
     return out.where(rect.area() > 0)
 

@@ -111,8 +111,7 @@ def filter_and_enrich(dets: DataFrame, aoi: DataFrame, dem: DataFrame, layers: d
     A detection that two areas cut counts as two parts, each with its own shares. Numbers are rounded to
     three digits at the end."""
     rows = dets.where("tag <> 'FN' OR tag IS NULL") if "tag" in dets.columns else dets
-    area = F.broadcast(aoi.select(F.struct(*aoi.columns).alias("r")))  # a row for each region
-    met = rows.select(F.struct(*rows.columns).alias("l")).join(area, rect.intersects("l.", "r."))
+    met = spatial.area_pairs(rows, aoi, cell)
     common = rect.intersection("l.", "r.")
     parts = met.select(*(F.col(f"l.{c}").alias(c) for c in rows.columns if c not in rect.SIDES), rect.area("l.").alias("original_area"), F.col("r.canton").alias("canton"), *(c.alias(s) for s, c in common.items())).where(rect.area() > 0)
     parts = parts.withColumn("det_part_id", F.concat_ws("-", id_col, "canton", "minx", "miny"))
