@@ -21,7 +21,7 @@ SOURCE = Path(__file__).parent / "java" / "Geo.java"
 BIN, NUM, YES = T.BinaryType(), T.DoubleType(), T.BooleanType()
 FUNCTIONS = {
     "Area": NUM, "Length": NUM, "IsValid": YES, "IsEmpty": YES, "MakeValid": BIN, "Centroid": BIN, "Bounds": T.ArrayType(NUM), "Parts": T.ArrayType(BIN), "UnionAll": BIN,
-    "Intersection": BIN, "Difference": BIN, "Union": BIN, "Intersects": YES, "Contains": YES, "Distance": NUM, "Iou": NUM, "Buffer": BIN, "Scale": BIN,
+    "Intersection": BIN, "Difference": BIN, "Union": BIN, "Intersects": YES, "Contains": YES, "Distance": NUM, "Iou": NUM, "Buffer": BIN, "Scale": BIN, "Rectangle": BIN,
 }
 
 

@@ -65,11 +65,11 @@ def _profiles(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataF
 
 
 def _stretches(docs: DataFrame, wanted: DataFrame, length: int, text_col: str) -> DataFrame:
-    """key, body, starts and ends of the stretches of each wanted text (slot, known: its hashes that repeat).
-    Copies of a text become one before they travel; texts that share a slot are tried with the hashes of both."""
+    """key, body, starts and ends of the stretches of each wanted text (key, known: its hashes that repeat).
+    Copies of a text become one before they travel."""
     widths_ = widths(length)
     texts = docs.select(F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8").alias("body")).where(F.length("body") >= length).withColumn("key", F.unhex(F.sha2("body", 256)))
-    found = texts.groupBy(_slot("key").alias("slot"), "key").agg(F.first("body").alias("body")).join(wanted, "slot")
+    found = texts.groupBy("key").agg(F.first("body").alias("body")).join(wanted, "key")
 
     def run(batches):
         for b in batches:
@@ -343,17 +343,18 @@ def cleaned(spark: SparkSession, docs: DataFrame, length: int = 400, with_text:
     if length < LEAST:
         raise ValueError(f"length is at least {LEAST}")
     profiles, _ = store(_profiles(docs, length, id_col, text_col), "profiles")
-    texts, texts_path = store(profiles.groupBy("key").agg(F.min(F.struct("hashes", "twice")).alias("p")).select(_slot("key").alias("slot"), "p.*"), "texts")
+    texts, texts_path = store(profiles.groupBy("key").agg(F.min(F.struct("hashes", "twice")).alias("p")).select("key", _slot("key").alias("slot"), "p.*"), "texts")
     each = texts.select("slot", F.explode("hashes").alias("hash"))
     counted = texts.select(F.explode("hashes").alias("hash")).union(texts.select(F.explode("twice").alias("hash"))).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    wanted = each.join(counted, "hash", "left_semi").groupBy("slot").agg(F.collect_list("hash").alias("known"))  # at most a text's own hashes
+    known = each.join(counted, "hash", "left_semi").groupBy("slot").agg(F.collect_list("hash").alias("known"))  # at most a text's own hashes
+    wanted = texts.select("slot", "key").join(known, "slot").select("key", "known")  # texts that share a slot are tried with the hashes of both
     stretched, stretched_path = store(_stretches(docs, wanted, length, text_col), "stretches")
     drop(spark, texts_path)
 
     pieces, pieces_path = store(_pieces(stretched, length), "pieces")
     distinct = pieces.groupBy("piece").agg(F.first("least").alias("least"), F.first("bytes").alias("bytes"))
     volume = pieces.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
-    tasks = 1 + max(volume // TASK_BYTES, min(4 * spark.sparkContext.defaultParallelism, volume // SHARD_BYTES))
+    tasks = 1 + max(volume // TASK_BYTES, min(32 * spark.sparkContext.defaultParallelism, 2 * volume // SHARD_BYTES))
     shards, shards_path = store(_shards(distinct, length, int(tasks)), "shards")
     coarse = shards.select("shard", F.explode("coarse").alias("hash"))
     several = coarse.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
@@ -374,7 +375,8 @@ def cleaned(spark: SparkSession, docs: DataFrame, length: int = 400, with_text:
     copies = profiles.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length) & (F.col("n_words") >= words)
     empty = F.sha2(F.lit(""), 256)
-    out = profiles.select("id", "key", "n_bytes", "n_words").join(copies, "key").join(done, "key", "left")
+    each_text = copies.join(done, "key", "left")
+    out = profiles.select("id", "key", "n_bytes", "n_words").join(each_text, "key")  # the one join that copies make uneven
     out = out.withColumn("n_removed", F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0)))).withColumn("n_spans", F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long")).withColumn("kept_sha256", F.when(whole, empty).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("key")))))
     if with_text:
         out = out.withColumn("kept_text", F.when(whole, "").otherwise(F.when(F.col("n_removed") > 0, F.col("kept_text"))))

@@ -25,8 +25,7 @@ def tagged(dets: DataFrame, labels: DataFrame, cell: float, iou_min: float = 0.2
     0, labels from 1."""
     parts = []
     if area_min is not None:
-        small = lambda d, key: d.where(rect.area() < area_min).select(F.lit("small polygon").alias("tag"), *(F.col(c) if c in (key, f"{key[:-3]}_class") else F.lit(None).cast(t).alias(c) for c, t in (("det_id", "long"), ("label_id", "long"), ("iou", "double"), ("det_class", "int"), ("label_class", "int"))))
-        parts += [small(dets, "det_id"), small(labels, "label_id")]
+        parts = [_small(dets, "det", area_min), _small(labels, "label", area_min)]
         dets, labels = dets.where(rect.area() >= area_min), labels.where(rect.area() >= area_min)
     met = spatial.pairs(dets, labels, cell).select(F.col("l.det_id").alias("det_id"), F.col("r.label_id").alias("label_id"), F.col("l.det_class").alias("det_class"), F.col("r.label_class").alias("label_class"), F.col("l.year_det").alias("year_det"), F.col("r.year_label").alias("year_label"), rect.iou("l.", "r.").alias("iou"))
     same = met.where("year_det = year_label")
@@ -46,14 +45,32 @@ def tagged(dets: DataFrame, labels: DataFrame, cell: float, iou_min: float = 0.2
     return out
 
 
-def class_counts(tags: DataFrame, classes: DataFrame) -> DataFrame:
-    """label_class, tp, fp, fn. A wrong class is a false positive of the class detected and a false
-    negative of the label's class."""
-    rows = tags.select(F.explode(F.array(
+def _small(df: DataFrame, what: str, area_min: float) -> DataFrame:
+    """The rows of df that are too small to take part, in the columns of `tagged`."""
+    types = {"det_id": "long", "label_id": "long", "iou": "double", "det_class": "int", "label_class": "int"}
+    own = (f"{what}_id", f"{what}_class")
+    columns = (F.col(c) if c in own else F.lit(None).cast(t).alias(c) for c, t in types.items())
+    return df.where(rect.area() < area_min).select(F.lit("small polygon").alias("tag"), *columns)
+
+
+def with_dataset(tags: DataFrame, dets: DataFrame, labels: DataFrame) -> DataFrame:
+    """tags with the dataset of the detection, or of the label where there is no detection."""
+    of_det, of_label = dets.select("det_id", F.col("dataset").alias("__d")), labels.select("label_id", F.col("dataset").alias("__l"))
+    both = tags.join(of_det, "det_id", "left").join(of_label, "label_id", "left")
+    return both.withColumn("dataset", F.coalesce("__d", "__l")).drop("__d", "__l")
+
+
+def class_counts(tags: DataFrame, classes: DataFrame, by: list[str] = ()) -> DataFrame:
+    """by, label_class, tp, fp, fn. A wrong class is a false positive of the class detected and a false
+    negative of the label's class. Every group that occurs has a row for each class."""
+    rows = tags.select(*by, F.explode(F.array(
         F.struct(F.when(F.col("tag").isin("TP", "FN", "wrong class"), F.col("label_class")).alias("k"), F.when(F.col("tag") == "TP", "tp").otherwise("fn").alias("what")),
-        F.struct(F.when(F.col("tag").isin("FP", "wrong class"), F.col("det_class") + 1).alias("k"), F.lit("fp").alias("what")))).alias("x")).select("x.*").where("k IS NOT NULL")
-    counts = rows.groupBy("k").agg(*(F.count_if(F.col("what") == w).alias(w) for w in ("tp", "fp", "fn")))
-    return classes.join(counts, classes["label_class"] == counts["k"], "left").select("label_class", *(F.coalesce(w, F.lit(0)).alias(w) for w in ("tp", "fp", "fn")))
+        F.struct(F.when(F.col("tag").isin("FP", "wrong class"), F.col("det_class") + 1).alias("k"), F.lit("fp").alias("what")))).alias("x")).select(*by, "x.*").where("k IS NOT NULL")
+    counts = rows.groupBy(*by, F.col("k").alias("label_class")).agg(*(F.count_if(F.col("what") == w).alias(w) for w in ("tp", "fp", "fn")))
+    wanted = classes.select("label_class")
+    if by:  # a row for each class and group
+        wanted = tags.select(*by).distinct().withColumn("label_class", F.explode(F.array(*(F.lit(r[0]) for r in wanted.distinct().collect()))))
+    return wanted.join(counts, [*by, "label_class"], "left").select(*by, "label_class", *(F.coalesce(w, F.lit(0)).alias(w) for w in ("tp", "fp", "fn")))
 
 
 def _ratio(a, b):
@@ -66,8 +83,8 @@ def class_metrics(counts: DataFrame) -> DataFrame:
     return counts.select("*", _ratio(tp, tp + fp).alias("precision"), _ratio(tp, tp + fn).alias("recall"), _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
-def averages(metrics: DataFrame, method: str = "micro-average") -> DataFrame:
-    """One row: accuracy, precision, recall, f1. 'macro-weighted-average' weighs classes by their labels and
+def averages(metrics: DataFrame, method: str = "micro-average", by: list[str] = ()) -> DataFrame:
+    """One row, or one for each group: accuracy, precision, recall, f1. 'macro-weighted-average' weighs classes by their labels and
     then divides by the number of classes once more, as the established figures do. Accuracy is null when
     there is nothing to count."""
     tp, fp, fn = (F.sum(c) for c in ("tp", "fp", "fn"))
@@ -80,7 +97,7 @@ def averages(metrics: DataFrame, method: str = "micro-average") -> DataFrame:
         p, r = (_ratio(F.sum(F.col(c) * w), F.sum(w)) / F.count(F.lit(1)) for c in ("precision", "recall"))
     else:
         raise ValueError(f"unknown method {method!r}")
-    one = metrics.agg(F.try_divide(tp.cast("double"), (tp + fp + fn).cast("double")).alias("accuracy"), p.alias("precision"), r.alias("recall"))
+    one = metrics.groupBy(*by).agg(F.try_divide(tp.cast("double"), (tp + fp + fn).cast("double")).alias("accuracy"), p.alias("precision"), r.alias("recall"))
     return one.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
 
 
@@ -98,3 +115,12 @@ def calibration(dets: DataFrame, score: str = "score", right: str = "is_right")
     """lower, upper, n, share of right rows in each half-open bin (lower, upper] that has rows."""
     bins = dets.sparkSession.createDataFrame(BIN_EDGES, "lower double, upper double")
     return dets.join(F.broadcast(bins), (F.col(score) > F.col("lower")) & (F.col(score) <= F.col("upper"))).groupBy("lower", "upper").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(right).cast("double")).alias("share"))
+
+
+def write_metrics(metrics: DataFrame, path: str, overwrite: bool = True) -> None:
+    """Metrics as CSV with a header, numbers in full."""
+    metrics.write.mode("overwrite" if overwrite else "ignore").option("header", "true").csv(path)
+
+
+def read_metrics(spark, path: str, schema) -> DataFrame:
+    return spark.read.option("header", "true").schema(schema).csv(path)

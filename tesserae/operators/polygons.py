@@ -13,6 +13,11 @@ from tesserae.functions import rect
 from tesserae.operators import spatial
 from tesserae.operators.components import connected_components
 
+#: Tasks that a crowded group is dealt to; levels of a union's tree, and how much wider a level's cells are.
+BUCKETS, LEVELS, FAN = 16, 4, 8
+#: Negative segments ask the geometry library for sharp corners, up to that many times the distance away.
+MITRE = -5
+
 
 def with_bounds(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """df with minx, miny, maxx, maxy of its geometry; rows with empty geometry go."""
@@ -31,18 +36,48 @@ def iou_edges(df: DataFrame, id_col: str, threshold: float, cell: float, same: l
     return scored.where(F.col("iou") >= threshold)
 
 
+def _unite():
+    return F.call_function("geo_unionall", F.collect_list("geometry")).alias("geometry")
+
+
+def _united(df: DataFrame, by: list[str]) -> DataFrame:
+    """by, geometry: unions in two steps, so that a crowded group is dealt to BUCKETS tasks first."""
+    dealt = df.withColumn("__bucket", F.pmod(F.xxhash64("geometry"), F.lit(BUCKETS)))
+    return dealt.groupBy(*by, "__bucket").agg(_unite()).groupBy(*by).agg(_unite())
+
+
+def union_parts(df: DataFrame, by: list[str], cell: float) -> DataFrame:
+    """by, cx, cy, geometry: the union of each group, cut at the lines of a grid. Parts don't overlap, so areas
+    can be summed and overlays done part by part, and no task holds more than a cell of a group."""
+    at = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("long")
+    laid = df.select(*by, "geometry", *rect.SIDES, F.explode(F.sequence(at("minx"), at("maxx"))).alias("cx")).select("*", F.explode(F.sequence(at("miny"), at("maxy"))).alias("cy"))
+    box = [(F.col(c) * cell).cast("double") for c in ("cx", "cy")] + [((F.col(c) + 1) * cell).cast("double") for c in ("cx", "cy")]
+    inside = (F.col("minx") >= box[0]) & (F.col("miny") >= box[1]) & (F.col("maxx") <= box[2]) & (F.col("maxy") <= box[3])
+    cut = F.when(inside, F.col("geometry")).otherwise(F.call_function("geo_intersection", F.col("geometry"), F.call_function("geo_rectangle", *box)))
+    pieces = laid.select(*by, "cx", "cy", cut.alias("geometry")).where(F.call_function("geo_area", F.col("geometry")) > 0)
+    return _united(pieces, [*by, "cx", "cy"])
+
+
 def union_by(df: DataFrame, by: list[str], cell: float) -> DataFrame:
-    """by, geometry: the union of each group. Parts are united by cell of their lower left corner first, so
-    that no task holds a large group's raw parts, then across cells."""
-    corner = [F.floor(F.col(c) / F.lit(cell)).alias(f"__{c}") for c in ("minx", "miny")]
-    unite = lambda: F.call_function("geo_unionall", F.collect_list("geometry")).alias("geometry")
-    near = df.select(*by, "geometry", *corner).groupBy(*by, "__minx", "__miny").agg(unite())
-    return near.groupBy(*by).agg(unite())
+    """by, geometry: the union of each group as one geometry. Parts are united by cell of their lower left corner,
+    then by cells FAN times as wide, level by level, so that a task holds one cell's parts at a time. Where
+    areas or overlays are all that is needed, `union_parts` never builds the whole."""
+    level = df.select(*by, "geometry", *(F.floor(F.col(c) / F.lit(cell)).cast("long").alias(n) for c, n in (("minx", "__x"), ("miny", "__y"))))
+    for _ in range(LEVELS):
+        level = _united(level, [*by, "__x", "__y"]).withColumns({n: F.floor(F.col(n) / FAN).cast("long") for n in ("__x", "__y")})
+    return level.groupBy(*by).agg(_unite())
+
+
+def single_parts(df: DataFrame) -> DataFrame:
+    """A row for each part of a collection; the other columns repeat. Empty geometries go."""
+    others = [c for c in df.columns if c != "geometry"]
+    return df.select(*others, F.explode(F.call_function("geo_parts", F.col("geometry"))).alias("geometry")).select(*df.columns)
 
 
 def difference(left: DataFrame, right: DataFrame, id_col: str, cell: float) -> DataFrame:
     """left with its geometry less everything of right that it meets; rows left empty go."""
-    hits = pairs(left, right, cell).groupBy(F.col(f"l.{id_col}").alias("__id")).agg(F.call_function("geo_unionall", F.collect_list("r.geometry")).alias("__taken"))
+    met = pairs(left.select(id_col, "geometry", *rect.SIDES), right.select("geometry", *rect.SIDES), cell)
+    hits = _united(met.select(F.col(f"l.{id_col}").alias("__id"), F.col("r.geometry").alias("geometry")), ["__id"]).withColumnRenamed("geometry", "__taken")
     joined = left.join(hits, F.col(id_col) == F.col("__id"), "left").drop("__id")
     cut = joined.withColumn("geometry", F.when(F.col("__taken").isNull(), F.col("geometry")).otherwise(F.call_function("geo_difference", "geometry", "__taken")))
     return cut.drop("__taken").where(~F.call_function("geo_isempty", F.col("geometry")))
@@ -54,17 +89,29 @@ def intersection(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
     return cut.where(F.call_function("geo_area", F.col("geometry")) > 0)
 
 
-def closing(df: DataFrame, id_col: str, distance: float, cell: float, segments: int = 2, same: list[str] = (), shrink: float | None = None) -> DataFrame:
-    """Proximity merge: grown by distance, united where the grown shapes share more than a point, shrunk
-    again. A result in several parts stays one row. group_id is the smallest id of the members."""
-    grown = with_bounds(df.select(id_col, *same, F.call_function("geo_buffer", F.col("geometry"), F.lit(float(distance)), F.lit(segments)).alias("geometry")))
+def _grown(df: DataFrame, columns: list[str], distance: float, segments: int) -> DataFrame:
+    return with_bounds(df.select(*columns, F.call_function("geo_buffer", F.col("geometry"), F.lit(float(distance)), F.lit(segments)).alias("geometry")))
+
+
+def proximity_groups(df: DataFrame, id_col: str, distance: float, cell: float, same: list[str] = (), segments: int = 2, square: bool = False) -> DataFrame:
+    """id, group_id: components of shapes that share more than a point once grown; group_id is the smallest id.
+    Square growth keeps corners sharp."""
+    grown = _grown(df, [id_col, *same], distance, MITRE if square else segments)
     met = spatial.self_pairs(grown, id_col, cell, list(same))
     common = F.call_function("geo_intersection", F.col("l.geometry"), F.col("r.geometry"))
     joined = met.where(F.call_function("geo_length", common) > 0)
     groups = connected_components(joined.select(F.col(f"l.{id_col}").alias("src"), F.col(f"r.{id_col}").alias("dst")))
-    named = grown.join(groups.select(F.col("node").alias(id_col), F.col("component").alias("group_id")), id_col)
+    return groups.select(F.col("node").alias(id_col), F.col("component").alias("group_id"))
+
+
+def closing(df: DataFrame, id_col: str, distance: float, cell: float, segments: int = 2, same: list[str] = (), shrink: float | None = None, single: bool = False) -> DataFrame:
+    """Proximity merge: grown by distance, united where the grown shapes share more than a point, shrunk
+    again. A result in several parts stays one row unless single parts are asked for."""
+    groups = proximity_groups(df, id_col, distance, cell, same, segments)
+    named = _grown(df, [id_col, *same], distance, segments).join(groups, id_col)
     united = union_by(named, ["group_id", *same], cell)
-    return united.withColumn("geometry", F.call_function("geo_buffer", F.col("geometry"), F.lit(-float(distance if shrink is None else shrink)), F.lit(segments)))
+    shrunk = united.withColumn("geometry", F.call_function("geo_buffer", F.col("geometry"), F.lit(-float(distance if shrink is None else shrink)), F.lit(segments)))
+    return single_parts(shrunk) if single else shrunk
 
 
 def repaired(df: DataFrame, correct: bool = True) -> DataFrame:

@@ -30,12 +30,14 @@ def cumulative(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return counts.select(*by, value, "n", (F.sum("n").over(up) / F.sum("n").over(all_)).alias("cdf"))
 
 
-def match_histogram(source: DataFrame, reference: DataFrame, by: list[str], value: str) -> DataFrame:
-    """by, value, matched: the least reference value whose cumulated share reaches the source value's."""
-    s = cumulative(source, by, value).select(*by, F.col(value).alias("v"), "cdf")
+def match_histogram(source: DataFrame, reference: DataFrame, by: list[str], value: str, each: list[str] = ()) -> DataFrame:
+    """each, by, value, matched: the least reference value whose cumulated share reaches the source value's.
+    `each` names columns of the source alone, such as the image that is matched. Both sides are histograms
+    when they meet, with as many rows as a band has values."""
+    s = cumulative(source, [*each, *by], value).select(*each, *by, F.col(value).alias("v"), "cdf")
     r = cumulative(reference, by, value).select(*by, F.col(value).alias("matched"), F.col("cdf").alias("reached"))
     near = s.join(r, by).where(F.col("reached") >= F.col("cdf") - 1e-12)
-    return near.groupBy(*by, F.col("v").alias(value)).agg(F.min("matched").alias("matched"))
+    return near.groupBy(*each, *by, F.col("v").alias(value)).agg(F.min("matched").alias("matched"))
 
 
 def mosaic(chunks: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesserae.config import BEST_THRESHOLDS
 from tesserae.functions import rect
 from tesserae.operators import fusion, matching, merging, overlay, raster, reports, spatial, tiling
 from tesserae.plans.fixtures import frame, with_clause
@@ -15,8 +16,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 CELL, IOU = 256, 0.5
-#: Score thresholds with the best F1 by model: fixed values.
-THRESHOLDS = {68: 0.5, 72: 0.4, 75: 0.2, 92: 0.25, 102: 0.35}
 AREA = "({0}.maxx - {0}.minx) * ({0}.maxy - {0}.miny)"
 MEETS = "{0}.minx <= {1}.maxx AND {1}.minx <= {0}.maxx AND {0}.miny <= {1}.maxy AND {1}.miny <= {0}.maxy"
 SHARED = "greatest(least({0}.maxx, {1}.maxx) - greatest({0}.minx, {1}.minx), 0) * greatest(least({0}.maxy, {1}.maxy) - greatest({0}.miny, {1}.miny), 0)"
@@ -79,12 +78,12 @@ def scan_union_dataset(spark, d):
     return out.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.sum(rect.area()).alias("total_area"))
 
 
-_thd = "CASE model " + " ".join(f"WHEN {k} THEN CAST({v} AS DOUBLE)" for k, v in THRESHOLDS.items()) + " END"
+_thd = "CASE model " + " ".join(f"WHEN {k} THEN CAST({v} AS DOUBLE)" for k, v in BEST_THRESHOLDS.items()) + " END"
 
 
 @query(with_clause("fx_det") + f" SELECT merged_id, model, {_thd} AS threshold FROM fx_det WHERE score > {_thd}")
 def threshold_lookup(spark, d):
-    known = spark.createDataFrame([*THRESHOLDS.items()], "model int, threshold double")
+    known = spark.createDataFrame([*BEST_THRESHOLDS.items()], "model int, threshold double")
     return det(spark, d).join(F.broadcast(known), "model").where("score > threshold").select("merged_id", "model", "threshold")
 
 
@@ -126,8 +125,11 @@ def sjoin_right(spark, d):
     return spatial.left_pairs(labels(spark, d), det(spark, d), "label_id", CELL, keys=[("year_label", "year_det")]).select("r.merged_id", "l.label_id")
 
 
-_inside = "SELECT DISTINCT d.merged_id, t.tile_id FROM fx_det d JOIN fx_tile t ON CAST(floor((d.minx - 10) / 400) AS BIGINT) - t.tx BETWEEN 0 AND 1 AND CAST(floor((d.miny - 10) / 400) AS BIGINT) - t.ty BETWEEN 0 AND 1 AND t.minx <= d.minx - 10 AND t.maxx >= d.maxx + 10 AND t.miny <= d.miny - 10 AND t.maxy >= d.maxy + 10"
-_inside = _inside.replace("CAST(floor((d.minx - 10) / 400) AS BIGINT) - t.tx BETWEEN 0 AND 1", "t.tx = CAST(floor((d.minx - 10) / 400) AS BIGINT)").replace("CAST(floor((d.miny - 10) / 400) AS BIGINT) - t.ty BETWEEN 0 AND 1", "t.ty = CAST(floor((d.miny - 10) / 400) AS BIGINT)")
+_inside = (
+    "SELECT DISTINCT d.merged_id, t.tile_id FROM fx_det d JOIN fx_tile t"
+    " ON t.tx = CAST(floor((d.minx - 10) / 400) AS BIGINT) AND t.ty = CAST(floor((d.miny - 10) / 400) AS BIGINT)"
+    " AND t.minx <= d.minx - 10 AND t.maxx >= d.maxx + 10 AND t.miny <= d.miny - 10 AND t.maxy >= d.maxy + 10"
+)
 
 
 @query(with_clause("fx_det", "fx_tile") + " " + _inside)
@@ -531,11 +533,16 @@ def grey_band(spark, d):
     return raster.grey(frame(spark, d, "fx_pixel")).select("image_id", "pixel", "grey")
 
 
-@query(with_clause("fx_pixel", more="hs AS (SELECT r AS v, count(*) AS n FROM fx_pixel WHERE image_id % 2 = 1 GROUP BY r), s AS (SELECT v, sum(n) OVER (ORDER BY v) / (SELECT sum(n) FROM hs)::DOUBLE AS cdf FROM hs), hr AS (SELECT g AS v, count(*) AS n FROM fx_pixel WHERE image_id % 2 = 0 GROUP BY g), r AS (SELECT v, sum(n) OVER (ORDER BY v) / (SELECT sum(n) FROM hr)::DOUBLE AS cdf FROM hr)") + " SELECT 1 AS band, s.v AS value, min(r.v) AS matched FROM s JOIN r ON r.cdf >= s.cdf - 1e-12 GROUP BY s.v")
+_bands = "bp AS (SELECT image_id, unnest(['r', 'g', 'b']) AS band, unnest([r, g, b]) AS value FROM fx_pixel)"
+_image_cdf = "ih AS (SELECT image_id, band, value, count(*) AS n FROM bp GROUP BY ALL), ic AS (SELECT image_id, band, value, sum(n) OVER (PARTITION BY image_id, band ORDER BY value) / sum(n) OVER (PARTITION BY image_id, band)::DOUBLE AS cdf FROM ih)"
+_pooled_cdf = "ph AS (SELECT band, value, count(*) AS n FROM bp GROUP BY ALL), pc AS (SELECT band, value, sum(n) OVER (PARTITION BY band ORDER BY value) / sum(n) OVER (PARTITION BY band)::DOUBLE AS cdf FROM ph)"
+
+
+@query(with_clause("fx_pixel", more=f"{_bands}, {_image_cdf}, {_pooled_cdf}") + " SELECT image_id, band, ic.value, min(pc.value) AS matched FROM ic JOIN pc USING (band) WHERE pc.cdf >= ic.cdf - 1e-12 GROUP BY image_id, band, ic.value")
 def histogram_match(spark, d):
-    """The red band of odd images matched to the green band of even ones."""
-    p = frame(spark, d, "fx_pixel").withColumn("band", F.lit(1))
-    return raster.match_histogram(p.where("image_id % 2 = 1").select("band", F.col("r").alias("value")), p.where("image_id % 2 = 0").select("band", F.col("g").alias("value")), ["band"], "value")
+    """Every image's bands matched to those of all images pooled."""
+    p = frame(spark, d, "fx_pixel").select("image_id", F.explode(F.create_map(F.lit("r"), "r", F.lit("g"), "g", F.lit("b"), "b")).alias("band", "value"))
+    return raster.match_histogram(p, p, ["band"], "value", each=["image_id"])
 
 
 @query(with_clause("fx_pixel", more="h AS (SELECT image_id, r AS value, count(*) AS n FROM fx_pixel GROUP BY ALL)") + f" SELECT image_id, value, n, {sql_r6('sum(n) OVER (PARTITION BY image_id ORDER BY value) / sum(n) OVER (PARTITION BY image_id)::DOUBLE')} AS cdf FROM h")

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sqlite3
 import struct
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
@@ -55,7 +57,9 @@ class _Reader(DataSourceReader):
         fs, p = _fs(path)
         if fs.get_file_info(p).type == FileType.File:
             return [_File(path)]
-        found = [f.path for f in fs.get_file_info(FileSelector(p, recursive=True)) if f.type == FileType.File and f.path.lower().endswith(self.suffix)]
+        found = [f.path for f in fs.get_file_info(FileSelector(p, recursive=True)) if f.type == FileType.File and f.path.lower().endswith(self.suffix) and "/_drafts-" not in f.path]
+        if not found:
+            raise FileNotFoundError(f"no {self.suffix} file below {path}")
         scheme = path.split("://")[0] + "://" if "://" in path else ""
         return [_File(scheme + f) for f in sorted(found)]
 
@@ -146,60 +150,90 @@ def read_dbf(data: bytes):
         yield row
 
 
-class _Committed(WriterCommitMessage):
-    pass
+class _Written(WriterCommitMessage):
+    def __init__(self, draft: str):
+        self.draft = draft
 
 
-class GeoJsonWriter(DataSourceWriter):
-    """One FeatureCollection per task, in the folder of the path."""
+class _Writer(DataSourceWriter):
+    """Tasks write drafts below the path under names of their own; the driver moves those of the tasks that
+    counted into place once all have ended. `append` leaves what is there, `overwrite` removes it first."""
 
-    def __init__(self, options: dict):
-        self.path = options["path"]
+    def __init__(self, options: dict, overwrite: bool, suffix: str):
+        self.path, self.overwrite, self.suffix, self.job = options["path"], overwrite, suffix, uuid.uuid4().hex[:12]
+
+    def _drafts(self) -> str:
+        return f"{_fs(self.path)[1]}/_drafts-{self.job}"
 
     def write(self, rows):
-        from pyspark import TaskContext
+        fs, _ = _fs(self.path)
+        fs.create_dir(self._drafts(), recursive=True)
+        draft = f"{self._drafts()}/{uuid.uuid4().hex}{self.suffix}"
+        self.fill(fs, draft, rows)
+        return _Written(draft)
+
+    def commit(self, messages):
+        from pyarrow.fs import FileSelector, FileType
 
         fs, p = _fs(self.path)
         fs.create_dir(p, recursive=True)
-        name = f"{p}/part-{TaskContext.get().partitionId():05d}.geojson"
-        features = [{"type": "Feature", "geometry": wkb.loads(bytes(r["geometry"])) if r["geometry"] else None, "properties": dict(r["properties"] or {})} for r in rows]
-        with fs.open_output_stream(f"{name}.draft") as out:
-            out.write(json.dumps({"type": "FeatureCollection", "features": features}).encode())
-        fs.move(f"{name}.draft", name)
-        return _Committed()
+        if self.overwrite:
+            for f in fs.get_file_info(FileSelector(p)):
+                if f.type == FileType.File:
+                    fs.delete_file(f.path)
+        for k, m in enumerate(m for m in messages if m):
+            fs.move(m.draft, f"{p}/part-{self.job}-{k:05d}{self.suffix}")
+        fs.delete_dir(self._drafts()) if fs.get_file_info(self._drafts()).type == FileType.Directory else None
 
+    def abort(self, messages):
+        from pyarrow.fs import FileType
 
-class GeoPackageWriter(DataSourceWriter):
-    """One GeoPackage per task, one layer in each."""
+        fs, _ = _fs(self.path)
+        if fs.get_file_info(self._drafts()).type == FileType.Directory:
+            fs.delete_dir(self._drafts())
 
-    def __init__(self, options: dict):
-        self.path, self.layer, self.srid = options["path"], options.get("layer", "features"), int(options.get("srid", "2056"))
 
-    def write(self, rows):
-        from pyspark import TaskContext
+class GeoJsonWriter(_Writer):
+    """One FeatureCollection per task, written feature by feature."""
+
+    def fill(self, fs, draft, rows):
+        with fs.open_output_stream(draft) as out:
+            out.write(b'{"type": "FeatureCollection", "features": [')
+            for k, r in enumerate(rows):
+                feature = {"type": "Feature", "geometry": wkb.loads(bytes(r["geometry"])) if r["geometry"] else None, "properties": dict(r["properties"] or {})}
+                out.write((", " if k else "").encode() + json.dumps(feature).encode())
+            out.write(b"]}")
 
-        rows = [(r["geometry"], dict(r["properties"] or {})) for r in rows]
-        keys = sorted({k for _, p in rows for k in p} - {"fid", "geom", "layer"})
+
+class GeoPackageWriter(_Writer):
+    """One GeoPackage per task, one layer in each; a column for each property, added as it first occurs."""
+
+    def __init__(self, options: dict, overwrite: bool, suffix: str):
+        super().__init__(options, overwrite, suffix)
+        self.layer, self.srid = options.get("layer", "features"), int(options.get("srid", "2056"))
+
+    def fill(self, fs, draft, rows):
         quoted = lambda s: '"{}"'.format(s.replace('"', '""'))
         with tempfile.TemporaryDirectory() as folder:
-            local = f"{folder}/x.gpkg"
+            local, known = f"{folder}/x.gpkg", {"fid", "geom", "layer"}
             with sqlite3.connect(local) as db:
                 db.execute("PRAGMA application_id = 1196444487")
                 db.execute("CREATE TABLE gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT, identifier TEXT, srs_id INTEGER)")
                 db.execute("CREATE TABLE gpkg_geometry_columns (table_name TEXT PRIMARY KEY, column_name TEXT, geometry_type_name TEXT, srs_id INTEGER, z TINYINT, m TINYINT)")
                 db.execute("INSERT INTO gpkg_contents VALUES (?, 'features', ?, ?)", (self.layer, self.layer, self.srid))
                 db.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'GEOMETRY', ?, 0, 0)", (self.layer, self.srid))
-                db.execute(f"CREATE TABLE {quoted(self.layer)} (fid INTEGER PRIMARY KEY, geom BLOB{''.join(f', {quoted(k)} TEXT' for k in keys)})")
-                marks = ", ".join("?" * (1 + len(keys)))
-                db.executemany(f"INSERT INTO {quoted(self.layer)} (geom{''.join(', ' + quoted(k) for k in keys)}) VALUES ({marks})", [(to_gpkg(bytes(g), self.srid) if g else None, *(p.get(k) for k in keys)) for g, p in rows])
+                db.execute(f"CREATE TABLE {quoted(self.layer)} (fid INTEGER PRIMARY KEY, geom BLOB)")
+                for r in rows:
+                    p = {k: v for k, v in dict(r["properties"] or {}).items() if k not in ("fid", "geom", "layer")}
+                    for k in p:
+                        if k not in known:
+                            db.execute(f"ALTER TABLE {quoted(self.layer)} ADD COLUMN {quoted(k)} TEXT")
+                            known.add(k)
+                    names, marks = "".join(", " + quoted(k) for k in p), ", ".join("?" * (1 + len(p)))
+                    db.execute(f"INSERT INTO {quoted(self.layer)} (geom{names}) VALUES ({marks})", (to_gpkg(bytes(r["geometry"]), self.srid) if r["geometry"] else None, *p.values()))
             db.close()
-            fs, p = _fs(self.path)
-            fs.create_dir(p, recursive=True)
-            name = f"{p}/part-{TaskContext.get().partitionId():05d}.gpkg"
-            with fs.open_output_stream(f"{name}.draft") as out, open(local, "rb") as f:
-                out.write(f.read())
-            fs.move(f"{name}.draft", name)
-        return _Committed()
+            with fs.open_output_stream(draft) as out, open(local, "rb") as f:
+                shutil.copyfileobj(f, out)
 
 
 def _source(label: str, suffix: str, reader_class, writer_class=None):
@@ -217,7 +251,7 @@ def _source(label: str, suffix: str, reader_class, writer_class=None):
         def writer(self, schema, overwrite):
             if writer_class is None:
                 raise ValueError(f"{label} is read only")
-            return writer_class(dict(self.options))
+            return writer_class(dict(self.options), overwrite, suffix[0] if isinstance(suffix, tuple) else suffix)
 
     return Source
 
@@ -244,6 +278,60 @@ def output_name(stem: str, **numbers: float) -> str:
     return stem + "".join(f"_{k}_{str(v).replace('.', 'dot')}" for k, v in numbers.items())
 
 
+def with_threshold_in_name(df: DataFrame, kind: str) -> DataFrame:
+    """Rows of a file scan whose files were written for that kind of score threshold: 'conservative' names hold
+    0dot05, 'optimal' ones don't. The condition is on the file alone, so that other files aren't opened."""
+    from pyspark.sql import functions as F
+
+    if kind not in ("conservative", "optimal"):
+        raise ValueError(f"unknown score type {kind!r}")
+    low = F.col("_metadata.file_name").contains("0dot05")
+    return df.where(low if kind == "conservative" else ~low)
+
+
+def rows_per_file(df: DataFrame) -> DataFrame:
+    """files, rows and the average number of rows of a file scan. Files without rows aren't seen."""
+    from pyspark.sql import functions as F
+
+    each = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return each.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.avg("n").alias("average"))
+
+
+def year_in_name(name):
+    """The first number of four digits between 1900 and 2099 in a file's name, as a column; null without one."""
+    from pyspark.sql import functions as F
+
+    found = F.regexp_extract(F.element_at(F.split(name, "/"), -1), r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)", 1)
+    return F.when(found != "", found.cast("int"))
+
+
+def names_from(spark: SparkSession, path: str, sheet: str | None = None) -> list[tuple[str, str]]:
+    """(argument, name) rows of a mapping table: CSV with a header, or one sheet of a workbook (.xlsx)."""
+    if not path.endswith(".xlsx"):
+        rows = spark.read.option("header", "true").csv(path).select("argument", "name").where("argument IS NOT NULL")
+        return [(r["argument"], r["name"]) for r in rows.collect()]  # a row for each attribute
+    import io
+    import zipfile
+    from xml.etree import ElementTree as X
+
+    with zipfile.ZipFile(io.BytesIO(_read(path))) as book:
+        parse = lambda name: X.fromstring(book.read(name)) if name in book.namelist() else None
+        text = lambda node: "".join(t.text or "" for t in node.iter() if t.tag.endswith("}t"))
+        shared = parse("xl/sharedStrings.xml")
+        strings = [text(n) for n in shared] if shared is not None else []
+        sheets = [n.get("name") for n in parse("xl/workbook.xml").iter() if n.tag.endswith("}sheet")]
+        place = sheets.index(sheet) + 1 if sheet else 1
+        lines = []
+        for row in (n for n in parse(f"xl/worksheets/sheet{place}.xml").iter() if n.tag.endswith("}row")):
+            cells = {}
+            for c in row:
+                value = next((n.text for n in c if n.tag.endswith("}v")), None)
+                cells["".join(ch for ch in c.get("r") if ch.isalpha())] = strings[int(value)] if c.get("t") == "s" else text(c) if c.get("t") == "inlineStr" else value
+            lines.append(cells)
+    head = {v: k for k, v in lines[0].items()}
+    return [(r[head["argument"]], r.get(head["name"])) for r in lines[1:] if r.get(head["argument"])]
+
+
 def year_folders(root: str, years: list[int], exists=os.path.isdir) -> list[str]:
     """Paths of the years that are there."""
     return [p for y in years if exists(p := f"{root}/year={y}")]

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a temporary folder only where it is unset."""
+    """The session's spark.checkpoint.dir. Where it is unset, a temporary folder for a local session, whose
+    driver and tasks share a disk; on a cluster an error."""
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tesserae-"))
         root = spark.sparkContext.getCheckpointDir()
     return root
