@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tesserae.functions import rect, wkb
-from tesserae.operators import fusion, matching, merging, overlay, raster, reports, spatial, tiling
+from tesserae.operators import fusion, matching, merging, overlay, raster, reports, selection, spatial, tiling
 from tesserae.operators.components import connected_components
 
 BOX = "id long, minx long, miny long, maxx long, maxy long"
@@ -165,3 +165,68 @@ def test_wkb_round_trip():
         assert wkb.loads(wkb.dumps(g)) == g
     assert wkb.bounds(wkb.dumps(square)) == (0.0, 0.0, 4.0, 3.0)
     assert wkb.bounds(wkb.dumps({"type": "Point", "coordinates": []})) is None
+
+
+def test_nearest_ends_on_rows_without_bounds(spark):
+    left = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0), (2, None, None, None, None), (3, 500.0, 500.0, 501.0, 501.0)], "id long, minx double, miny double, maxx double, maxy double")
+    right = spark.createDataFrame([(7, 3.0, 0.0, 4.0, 1.0), (8, None, 1.0, 2.0, 3.0)], "rid long, minx double, miny double, maxx double, maxy double")
+    got = sorted((r["l"]["id"], r["r"]["rid"], round(r["distance"], 6)) for r in spatial.nearest(left, right, "id", "rid", 1).collect())
+    assert got == [(1, 7, 2.0), (3, 7, round((496.0**2 + 499.0**2) ** 0.5, 6))]
+    assert spatial.nearest(left, right.where("rid = 8"), "id", "rid", 1).count() == 0
+    assert spatial.nearest(left.where("id = 2"), right, "id", "rid", 1).count() == 0
+
+
+@pytest.mark.parametrize("small", [10_000, 0])
+def test_areas_of_any_size(spark, monkeypatch, small):
+    monkeypatch.setattr(spatial, "SMALL_AREAS", small)
+    rng = random.Random(3)
+    box = lambda n: [(i, x := rng.randrange(-3000, 3000), y := rng.randrange(-3000, 3000), x + rng.choice([0, 3, 40, 900, 5000]), y + rng.choice([0, 5, 70, 2000])) for i in range(n)]
+    schema = "id long, minx long, miny long, maxx long, maxy long"
+    a, b = [*box(120), (900, None, None, None, None)], [*box(30), (901, None, None, None, None)]
+    got = sorted((r["l"]["id"], r["r"]["id"]) for r in spatial.area_pairs(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), 16).collect())
+    meets = lambda p, q: None not in p and None not in q and p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]
+    assert got == sorted((p[0], q[0]) for p in a for q in b if meets(p, q))
+
+
+@pytest.mark.parametrize("crowd", [64, 3])
+def test_union_area_of_crowded_cells(spark, monkeypatch, crowd):
+    monkeypatch.setattr(overlay, "CROWD", crowd)
+    rng = random.Random(5)
+    rows = [(i % 3, x := rng.randrange(60), y := rng.randrange(60), x + rng.randrange(25), y + rng.randrange(25)) for i in range(120)]
+    rows += rows[:10]
+    got = {r["k"]: r["area"] for r in overlay.union_area(spark.createDataFrame(rows, "k int, minx int, miny int, maxx int, maxy int"), ["k"], 20).collect()}
+    for k in range(3):
+        assert got[k] == len({(u, v) for g, a, b, c, d in rows if g == k for u in range(a, c) for v in range(b, d)})
+
+
+def test_quantiles(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = [(int(g), float(v) if v > -1.5 else None) for g, v in zip(rng.integers(0, 4, 300), rng.normal(size=300).round(1))] + [(9, 2.0)]
+    got = {r["g"]: r for r in reports.quantiles(spark.createDataFrame(rows, "g int, v double"), "g", "v", {"a": 0.25, "b": 0.5, "c": 0.9}).collect()}
+    for g in (0, 1, 2, 3, 9):
+        values = [v for k, v in rows if k == g and v is not None]
+        assert got[g]["n"] == len(values) and [got[g][c] for c in "abc"] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.9]).tolist())
+
+
+def test_selections_and_guards(spark):
+    df = spark.createDataFrame([(1, "a", None, "x"), (2, None, "b", "y"), (3, "c", "d", None)], "id int, p string, q string, tag string")
+    assert [r["id"] for r in selection.without_values(df, "tag", ["x"]).orderBy("id").collect()] == [2, 3]
+    assert [r["id"] for r in selection.without_class(df, "tag", "y").orderBy("id").collect()] == [1, 3]
+    named = selection.coalesced(df, {"name": ("p", "q")})
+    assert named.columns == ["id", "tag", "name"] and [r["name"] for r in named.orderBy("id").collect()] == ["a", "b", "c"]
+    assert selection.final(df, ["tag", "key", "gone"], {"id": "key", "no": "x"}).columns == ["tag", "key"]
+    assert selection.or_else(df.where("false"), df).count() == 3 and selection.or_else(df.limit(1), df).count() == 1
+    selection.require_same_crs(a="EPSG:2056", b=2056)
+    selection.require_same_count(df, [df.where("id = 1"), df.where("id > 1")], "split")
+    for bad in (lambda: selection.require_rows(df.where("false"), "t"), lambda: selection.require_same_crs(a=2056, b=3857), lambda: selection.require_same_count(df, [df.limit(1)], "t"), lambda: selection.require_all_joined(df, "p", "t")):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_clip_by_year_in_the_file_name(spark):
+    layer = spark.createDataFrame([(1, "/d/lakes_1999.shp", 0, 0, 10, 10), (2, "/d/lakes.shp", 0, 0, 10, 10), (3, "lakes-2004.shp", 50, 50, 60, 60)], "id int, file string, minx int, miny int, maxx int, maxy int")
+    mask = spark.createDataFrame([(5, 5, 100, 55)], "minx int, miny int, maxx int, maxy int")
+    got = sorted((r["id"], r["year"], r["minx"], r["miny"], r["maxx"], r["maxy"]) for r in selection.clipped_by_year(layer, mask, 16).collect())
+    assert got == [(1, 1999, 5, 5, 10, 10), (3, 2004, 50, 50, 60, 55)]
