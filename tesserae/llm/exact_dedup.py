@@ -51,7 +51,7 @@ def _arrivals(located: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _run_stream(spark: SparkSession, arrivals: DataFrame, path: str, files_per_batch: int) -> DataFrame:
-    """State after all files: digest, keep (points, -id, at), n."""
+    """State after all files: digest, keep (points, id with its bits turned so that the least is the greatest, at), n."""
     session = spark.newSession()
     for key, value in (
         ("spark.sql.streaming.stateStore.providerClass", ROCKSDB),
@@ -63,7 +63,7 @@ def _run_stream(spark: SparkSession, arrivals: DataFrame, path: str, files_per_b
     ):
         session.conf.set(key, value)
     stream = session.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    order = F.struct("points", (-F.coalesce("id", F.lit(LAST))).alias("minus_id"), F.struct("at.file", "at.row").alias("at"))
+    order = F.struct("points", F.bitwise_not(F.coalesce("id", F.lit(LAST))).alias("turned_id"), F.struct("at.file", "at.row").alias("at"))
     state = stream.groupBy("digest").agg(F.max(order).alias("keep"), F.count(F.lit(1)).alias("n"))
     checkpoint = scratch(spark, "dedup-state")
     query = state.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -83,7 +83,7 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
 def _classes(spark: SparkSession, located: DataFrame, id_col: str, text_col: str, files_per_batch: int = 1000) -> DataFrame:
     arrivals, path = store(_arrivals(located, id_col, text_col), "arrivals")
     state = _run_stream(spark, arrivals, path, files_per_batch)
-    state = state.select("digest", F.col("keep.at").alias("keep_at"), F.when(F.col("keep.minus_id") > -LAST, -F.col("keep.minus_id")).alias("keep_id"), F.col("n").alias("group_size"))
+    state = state.select("digest", F.col("keep.at").alias("keep_at"), F.when(F.col("keep.turned_id") > -LAST - 1, F.bitwise_not(F.col("keep.turned_id"))).alias("keep_id"), F.col("n").alias("group_size"))
     out = arrivals.join(state, "digest").select("id", "at", "keep_id", "keep_at", "group_size", "digest")
 
     # Hits: the texts themselves decide. The least and the greatest text of a digest are combined before
@@ -97,10 +97,10 @@ def _classes(spark: SparkSession, located: DataFrame, id_col: str, text_col: str
     kept = texts.join(clashes, "digest").join(state.select("digest", F.col("keep_at").alias("at")), ["digest", "at"]).select("digest", F.col("body").alias("kept_body"))
     other = texts.join(clashes, "digest").join(kept, "digest").where(F.col("body") != F.col("kept_body")).select("at", "digest", "body")
     own = other.join(arrivals.drop("digest"), "at")
-    best = F.max(F.struct("points", (-F.coalesce("id", F.lit(LAST))).alias("minus_id"), "at"))
+    best = F.max(F.struct("points", F.bitwise_not(F.coalesce("id", F.lit(LAST))).alias("turned_id"), "at"))
     parts = own.groupBy("body").agg(best.alias("keep"), F.count(F.lit(1)).alias("n"))
     split = own.join(parts, "body").select(
-        "at", F.col("keep.at").alias("keep_at2"), F.when(F.col("keep.minus_id") > -LAST, -F.col("keep.minus_id")).alias("keep_id2"), F.col("n").alias("n2"))
+        "at", F.col("keep.at").alias("keep_at2"), F.when(F.col("keep.turned_id") > -LAST - 1, F.bitwise_not(F.col("keep.turned_id"))).alias("keep_id2"), F.col("n").alias("n2"))
     gone = other.groupBy("digest").agg(F.count(F.lit(1)).alias("gone"))
     return out.join(split, "at", "left").join(gone, "digest", "left").select(
         "id", "at", F.when(F.col("n2").isNull(), F.col("keep_id")).otherwise(F.col("keep_id2")).alias("keep_id"),

@@ -67,6 +67,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_bpe, op4_topk, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards, op9_toxicity, op10_suffix_dedup)}
 
 ORACLE_SQL = {
+    "op1_near_dedup": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+             s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                          ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh FROM w),
+             n AS (SELECT doc_id, len(sh) AS n FROM s), e AS (SELECT doc_id, unnest(sh) AS g FROM s),
+             c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+             l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)),
+             sym AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+             r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, sym.y FROM r JOIN sym ON r.b = sym.x)
+        SELECT a AS doc_id, any_value(n.n)::BIGINT AS n_shingles, min(b) AS component_id, a = min(b) AS kept FROM r JOIN n ON n.doc_id = r.a GROUP BY a""",
     "op4_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
                    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -80,4 +90,15 @@ ORACLE_SQL = {
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
                doc_id = first_value(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)""",
+    "op10_suffix_dedup": """
+        WITH z AS (SELECT doc_id, encode(coalesce(text, '')) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+             w AS (SELECT doc_id, i, md5(h[i + 1 : i + 400]) AS m FROM z, unnest(range(0, n - 399)) AS t(i)),
+             g AS (SELECT m FROM w GROUP BY m HAVING count(*) > 1), p AS (SELECT doc_id, i FROM w WHERE m IN (SELECT m FROM g)),
+             q AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER o + 400 OR lag(i) OVER o IS NULL THEN 1 ELSE 0 END AS fresh FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+             r AS (SELECT doc_id, run, min(i) AS a, max(i) + 400 AS b FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM q) GROUP BY ALL),
+             k AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM r UNION ALL SELECT doc_id, max(b), max(n) FROM r JOIN z USING (doc_id) GROUP BY doc_id),
+             t AS (SELECT doc_id, string_agg(hex(h[x + 1 : y]), '' ORDER BY x) AS kept FROM k JOIN z USING (doc_id) GROUP BY doc_id),
+             u AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS gone, count(*) AS spans FROM r GROUP BY doc_id)
+        SELECT z.doc_id, z.n AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(coalesce(unhex(kept), h)) AS kept_sha256
+        FROM z LEFT JOIN u USING (doc_id) LEFT JOIN t USING (doc_id)""",
 }

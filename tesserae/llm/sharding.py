@@ -1,6 +1,7 @@
 """Shards along a Hilbert curve.
 
-Several metadata columns are quantised (categories by a hash of their value, numbers by quantiles of
+Several metadata columns are quantised (categories by their place in a dictionary, spread over the axis by
+their counts, or by a hash of their value where more than DICTIONARY values occur; numbers by quantiles of
 the table) and interleaved into a curve index. Sorted by it, neighbouring rows agree in all dimensions,
 so runs cut from the order have narrow ranges in each and files can be skipped on any of them.
 
@@ -8,6 +9,9 @@ Only slim rows are sorted: a range exchange on (curve, identifier, checksum), in
 split by identifier. Each task numbers its own rows; the tasks' totals, one row each, make the numbers
 global. Two laws: `rows` cuts runs whose counts differ by one at most, `bytes` runs of near equal size.
 
+The order is by curve cell, then identifier, so that equal texts of one cell may part where a run is cut.
+Only the named columns are read, under names of the operator's own.
+
 Null text has size 1 (as empty text has); null metadata is a category of its own. Repeated rows keep a
 place each. Equal texts have equal lengths and, where their other metadata agree, one curve cell.
 """
@@ -24,7 +28,7 @@ from pyspark.sql import types as T
 
 from tesserae.llm.common import store, text_or_empty
 
-BITS = 8
+BITS, DICTIONARY = 8, 4096
 
 
 def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -61,14 +65,38 @@ def curve(df: DataFrame, categories: list[Column], numbers: list[Column], bits:
         got = df.agg(*(F.percentile_approx(n, share, 10_000).alias(f"q{i}") for i, n in enumerate(numbers))).first()
         cuts = [np.unique(np.array(q or [], float)) for q in got]
     n_cat = len(categories)
+    named = [F.coalesce(c.cast("string"), F.lit("\0null")) for c in categories]
+    places = [_dictionary(df, c, bits) for c in named]
 
     @F.pandas_udf("long")
     def index(cols: pd.DataFrame) -> pd.Series:
-        cells = [cols.iloc[:, i].to_numpy() if i < n_cat else np.searchsorted(cuts[i - n_cat], cols.iloc[:, i].fillna(-1).to_numpy(float), "right") for i in range(cols.shape[1])]
-        return pd.Series(hilbert(np.stack(cells, 1), bits))
+        def cell(i: int) -> np.ndarray:
+            column = cols.iloc[:, i]
+            if i >= n_cat:
+                return np.searchsorted(cuts[i - n_cat], column.fillna(-1).to_numpy(float), "right")
+            return column.to_numpy(np.int64) if places[i] is None else column.map(places[i]).to_numpy(np.int64)
+
+        return pd.Series(hilbert(np.stack([cell(i) for i in range(cols.shape[1])], 1), bits))
+
+    cells = [c if p is not None else F.pmod(F.xxhash64(c), F.lit(1 << bits)) for c, p in zip(named, places)]
+    return index(F.struct(*(c.alias(f"c{i}") for i, c in enumerate([*cells, *numbers]))))
+
+
+def _dictionary(df: DataFrame, value: Column, bits: int) -> dict[str, int] | None:
+    """The cell of each value: the middle of its share of all rows, in the order of the values. None where there
+    are more than DICTIONARY values."""
+    counts = df.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n")).limit(DICTIONARY + 1).collect()
+    if len(counts) > DICTIONARY:
+        return None
+    counts = sorted((r["v"], r["n"]) for r in counts)
+    upto = np.cumsum([0, *(n for _, n in counts)])
+    return {v: int((upto[k] + upto[k + 1]) * (1 << bits) // (2 * max(1, upto[-1]))) for k, (v, _) in enumerate(counts)}
+
 
-    hashed = [F.pmod(F.xxhash64(F.coalesce(c.cast("string"), F.lit("\0null"))), F.lit(1 << bits)) for c in categories]
-    return index(F.struct(*(c.alias(f"c{i}") for i, c in enumerate([*hashed, *numbers]))))
+def shards_met(placed: DataFrame, docs: DataFrame, column: str, id_col: str = "doc_id") -> DataFrame:
+    """value, shards: how many shards hold rows of each value of a column, which is what a scan for it opens."""
+    met = docs.select(F.col(id_col).alias("__id"), F.col(column).alias("value")).join(placed.select(F.col("id").alias("__id"), "shard"), "__id")
+    return met.groupBy("value").agg(F.count_distinct("shard").alias("shards"))
 
 
 def ranked(df: DataFrame, order: list[str], weight: str) -> tuple[DataFrame, int, int]:

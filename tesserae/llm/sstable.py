@@ -79,7 +79,8 @@ def _probes(key: bytes, size: int) -> list[int]:
 class Writer:
     """Builds one file in memory, bounded by FILE_BYTES and its longest document."""
 
-    def __init__(self):
+    def __init__(self, block_bytes: int = BLOCK_BYTES):
+        self.block_bytes = block_bytes
         self.data, self.block, self.index, self.keys, self.last, self.ids = bytearray(), bytearray(), [], [], b"", 0
 
     def add(self, key: bytes, ids: np.ndarray) -> None:
@@ -91,7 +92,7 @@ class Writer:
         self.block += varint(shared) + varint(len(key) - shared) + varint(2 * len(ids) + wide) + key[shared:] + ids.astype("<u4" if wide else "<u2").tobytes()
         self.last, self.ids = key, self.ids + len(ids)
         self.keys.append(key)
-        if len(self.block) >= BLOCK_BYTES:
+        if len(self.block) >= self.block_bytes:
             self._close_block()
 
     def _close_block(self) -> None:
@@ -114,24 +115,44 @@ class Writer:
 
 
 class Table:
-    """A file read back. Only get() or scan() touch data blocks, and each block's checksum is verified."""
-
-    def __init__(self, data: bytes):
-        self.data = memoryview(data).cast("B")
-        index_at, index_n, bloom_at, bloom_n, self.n_docs, self.n_ids, magic = FOOTER.unpack(self.data[-FOOTER.size :])
+    """A file read back, from its bytes or, with open(), by ranges: footer, then index and filter, then the
+    data blocks that get() or scan() need. Each block's checksum is verified."""
+
+    def __init__(self, data: bytes | None = None, fetch=None, size: int | None = None):
+        self.bytes_read = 0
+        if fetch is None:
+            data = memoryview(data).cast("B")
+            fetch, size = lambda at, n: data[at : at + n], len(data)
+        self._fetch = fetch
+        index_at, index_n, bloom_at, bloom_n, self.n_docs, self.n_ids, magic = FOOTER.unpack(self._read(size - FOOTER.size, FOOTER.size))
         if magic != MAGIC:
             raise ValueError("not a token table")
-        self.bloom, self.last, self.blocks, at = self.data[bloom_at : bloom_at + bloom_n], [], [], index_at
-        while at < index_at + index_n:
-            n, at = read_varint(self.data, at)
-            self.last.append(bytes(self.data[at : at + n]))
-            self.blocks.append(struct.unpack("<QQ", self.data[at + n : at + n + 16]))
+        both = self._read(index_at, index_n + bloom_n)  # they stand side by side
+        self.bloom, self.last, self.blocks, at = both[index_n:], [], [], 0
+        while at < index_n:
+            n, at = read_varint(both, at)
+            self.last.append(bytes(both[at : at + n]))
+            self.blocks.append(struct.unpack("<QQ", both[at + n : at + n + 16]))
             at += n + 16
 
+    @classmethod
+    def open(cls, path: str) -> Table:
+        """The file at a path of any file system that pyarrow knows; data blocks are read when they are needed."""
+        from pyarrow.fs import FileSystem
+
+        fs, p = FileSystem.from_uri(path)
+        file = fs.open_input_file(p)
+        return cls(fetch=lambda at, n: memoryview(file.read_at(n, at)), size=file.size())
+
+    def _read(self, at: int, n: int):
+        self.bytes_read += n
+        return self._fetch(at, n)
+
     def _entries(self, block: int):
         at, n = self.blocks[block]
-        body = self.data[at : at + n - 4]
-        if zlib.crc32(body) != struct.unpack("<I", self.data[at + n - 4 : at + n])[0]:
+        whole = self._read(at, n)
+        body = whole[: n - 4]
+        if zlib.crc32(body) != struct.unpack("<I", whole[n - 4 :])[0]:
             raise ValueError(f"block {block} is damaged")
         body, p, key = memoryview(zstandard.decompress(bytes(body))), 0, b""
         while p < len(body):
@@ -166,14 +187,14 @@ def _put(folder: str, name: str, data: bytes) -> None:
     from pyarrow.fs import FileSystem
 
     fs, path = FileSystem.from_uri(folder)
-    draft = f"{path}/.{name}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(draft) as out:
+    with fs.open_output_stream(f"{path}/{name}") as out:
         out.write(data)
-    fs.move(draft, f"{path}/{name}")
 
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the files and returns their list, stored: file, task, part, n_docs, n_ids."""
+    """Writes the files and returns their list, stored: file, task, part, n_docs, n_ids, first_id, last_id. Every
+    attempt of a task names its files anew, and only those of the list count: what a lost attempt left
+    behind is in no result."""
     from pyspark.sql import types as T
 
     spark = docs.sparkSession
@@ -186,12 +207,14 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_col: st
         from tesserae.llm.common import _slices
         from tesserae.llm.tokens import encoder
 
-        enc, task, part, writer = encoder(vocabulary), TaskContext.get().partitionId(), 0, Writer()
+        enc, task, part, writer = encoder(vocabulary), TaskContext.get().partitionId(), 0, Writer(BLOCK_BYTES)
+        attempt = uuid.uuid4().hex[:12]
 
         def close():
-            name = f"part-{task:06d}-{part:04d}.sst"
+            name = f"part-{task:06d}-{part:04d}-{attempt}.sst"
             _put(folder, name, writer.finish())
-            return pa.record_batch([[name], [task], [part], [len(writer.keys)], [writer.ids]], ["file", "task", "part", "n_docs", "n_ids"])
+            ends = [pa.array([id_of(writer.keys[k])], pa.int64()) for k in (0, -1)]
+            return pa.record_batch([pa.array([x]) for x in (name, task, part, len(writer.keys), writer.ids)] + ends, ["file", "task", "part", "n_docs", "n_ids", "first_id", "last_id"])
 
         for batch in batches:
             text = batch.column(1)
@@ -202,11 +225,11 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_col: st
                     writer.add(key_of(doc_id), flat[x:y])
                     if len(writer.data) >= FILE_BYTES:
                         yield close()
-                        part, writer = part + 1, Writer()
+                        part, writer = part + 1, Writer(BLOCK_BYTES)
         if writer.keys:
             yield close()
 
-    schema = T.StructType().add("file", "string").add("task", "long").add("part", "long").add("n_docs", "long").add("n_ids", "long")
+    schema = T.StructType().add("file", "string").add("task", "long").add("part", "long").add("n_docs", "long").add("n_ids", "long").add("first_id", "long").add("last_id", "long")
     return store(in_order.mapInArrow(run, schema), "sst-list")[0]
 
 
@@ -244,6 +267,22 @@ def with_global_start(rows: DataFrame, listed: DataFrame) -> DataFrame:
     return rows.join(base, "file").withColumn("start", F.col("start") + F.col("base")).drop("base")
 
 
+def lookup(folder: str, listed: DataFrame, doc_id: int | None) -> tuple[list[np.ndarray], int]:
+    """The ids of every document with this identifier, and the bytes read for them. The list names the files
+    whose range holds it, in all but odd cases one; of each the footer, index and filter are read, and one block
+    (more where a document's copies go over its end)."""
+    if doc_id is None:  # nulls sort first
+        holds = F.col("first_id").isNull()
+    else:
+        holds = (F.col("first_id").isNull() | (F.col("first_id") <= doc_id)) & (F.col("last_id") >= doc_id)
+    out, read_ = [], 0
+    for r in listed.where(holds).select("file", "task", "part").orderBy("task", "part").collect():  # the files that hold one identifier
+        table = Table.open(f"{folder}/{r['file']}")
+        out += table.get(doc_id)
+        read_ += table.bytes_read
+    return out, read_
+
+
 def written(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes docs as tables into the shared folder and reads them back: id, start, n_tokens, ids_crc32."""
     folder = scratch(spark, "sst")

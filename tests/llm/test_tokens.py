@@ -11,7 +11,7 @@ P = pytest.importorskip("public_tokenizers")
 
 from tesserae.llm import bpe_codec, packing, sharding, sstable, token_counts  # noqa: E402
 from tesserae.llm.bpe import Decoder  # noqa: E402
-from tesserae.llm.common import scratch  # noqa: E402
+from tesserae.llm.common import store, scratch  # noqa: E402
 from tesserae.llm.tokens import BYTE, WORD, Encoder  # noqa: E402
 
 BYTES, WORDS = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
@@ -136,12 +136,48 @@ def test_table_lookup():
     assert len(t.get(1)) == 2 and len(t.get(None)) == 1 and t.get(-5)[0].tolist() == [1, 92]
     assert t.get(101) == [] and all(len(t.get(i)) == 1 for i in range(100, 3000, 3))
     assert t.n_docs == 972 and t.n_ids == 1944
-    broken = bytearray(t.data)
+    broken = bytearray(w.finish())
     broken[3] ^= 1
     with pytest.raises(ValueError):
         sstable.Table(bytes(broken)).get(None)
 
 
+def test_lookup_opens_one_file_and_one_block(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(sstable, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(sstable, "FILE_BYTES", 4000)
+    folder = scratch(spark, "t")
+    listed = sstable.write(docs, folder, BYTES, 2)
+    sstable._put(folder, "part-000000-0000-lost.sst", b"what a lost attempt left behind")  # in no list
+    sizes = {f.split("/")[-1]: n for f, n in ((r["path"], r["length"]) for r in spark.read.format("binaryFile").load(folder).select("path", "length").collect())}
+    total, files = sum(sizes.values()), listed.count()
+    assert files > 1
+    want = defaultdict(list)
+    for i, ids in expected_ids(rows, BYTES):
+        want[i].append([*ids, 2])
+    for i in [*want, -1, 10**6, None]:
+        found, read = sstable.lookup(folder, listed, i)
+        assert sorted(v.tolist() for v in found) == sorted(want.get(i, []))
+        assert read <= max(sizes.values()) or len(found) > 1
+        if i == 3:
+            assert 0 < read < total / 2
+
+
+def test_sharding_skips_files(spark, tmp_path, monkeypatch):
+    """Rows of one source and language lie in few of the written folders; statistics let scans skip the rest."""
+    rng = random.Random(11)
+    rows = [(i, "x" * rng.randrange(1, 400), rng.choice(["en", "de", "fr", "es", None]), rng.choice(["web", "news", "code", "books"]), "s") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, shard string").drop("shard")
+    placed, _ = store(sharding.shards(spark, docs, 16), "placed")
+    for column in ("lang", "source"):
+        met = {r["value"]: r["shards"] for r in sharding.shards_met(placed, docs, column).collect()}
+        assert sum(met.values()) / len(met) <= 10 and max(met.values()) <= 13, met
+    sharding.write(docs, placed, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert Counter((r["doc_id"], r["text"], r["shard"]) for r in back.collect()) == Counter((r["doc_id"], r["text"], r["shard"]) for r in docs.join(placed, docs["doc_id"] == placed["id"]).collect())
+    monkeypatch.setattr(sharding, "DICTIONARY", 2)  # beyond it, values are hashed
+    assert sharding.shards(spark, docs, 16).count() == 2000
+
+
 def test_hilbert_neighbours_touch():
     for dims, bits in ((2, 4), (3, 3)):
         grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims), -1).reshape(-1, dims)
