@@ -37,6 +37,14 @@ def from_swiss(east: Column, north: Column) -> tuple[Column, Column]:
     return lon * 100 / 36, lat * 100 / 36
 
 
+def projected(df: DataFrame, system: str) -> DataFrame:
+    """df with its bounds, in longitude and latitude, as the bounds of their corners in 'swiss' or 'mercator'."""
+    project = {"swiss": swiss, "mercator": mercator}[system]
+    corners = [project(F.col(x).cast("double"), F.col(y).cast("double")) for x in ("minx", "maxx") for y in ("miny", "maxy")]
+    ends = {s: (F.least if s.startswith("min") else F.greatest)(*(c[s.endswith("y")] for c in corners)) for s in rect.SIDES}
+    return df.select(*(ends[c].alias(c) if c in ends else F.col(c) for c in df.columns))
+
+
 def tile_cover(df: DataFrame, zoom: int, id_col: str) -> DataFrame:
     """id, x, y, tile_id and the bounds (web mercator, metres) of every tile that the rectangle meets."""
     side = 2 * HALF / (1 << zoom)

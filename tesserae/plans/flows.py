@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tesserae.config import Artifacts, Assess, Enrich, Fuse, Merge, Years
 from tesserae.functions import rect
-from tesserae.operators import fusion, matching, merging, overlay, raster, reports, spatial, tiling
+from tesserae.operators import fusion, matching, merging, overlay, raster, reports, selection, spatial, tiling
 from tesserae.storage import store
 
 CELL = 256
@@ -16,8 +16,11 @@ CELL = 256
 # --- preparation -------------------------------------------------------------------------------------
 
 
-def area_of_interest(region: DataFrame, footprint: DataFrame, canton: str, year: int, cell: float) -> DataFrame:
-    """The region cut to the images' footprint, with where and when."""
+def area_of_interest(region: DataFrame, footprint: DataFrame, canton: str, year: int, cell: float, system: str | None = None) -> DataFrame:
+    """The region cut to the images' footprint, with where and when. With a system ('swiss' or 'mercator') both
+    come in longitude and latitude and are projected first."""
+    if system is not None:
+        region, footprint = (tiling.projected(d, system) for d in (region, footprint))
     cut = overlay.intersection(region, footprint, cell).select(*rect.SIDES)
     return cut.withColumn("canton", F.lit(canton)).withColumn("flight_year", F.lit(year).cast("int"))
 
@@ -60,8 +63,9 @@ def empty_tiles(aoi: DataFrame, id_col: str, zoom: int, year: int | tuple[int, i
     return tiles.withColumn("year", tiling.random_year(F.col("tile_id"), *year, seed) if isinstance(year, tuple) else F.lit(year).cast("int"))
 
 
-def filtered_tiles(tiles: DataFrame, waters: DataFrame | None, dem: DataFrame | None, shrink: int = 420, elevation_max: float = 1000, cell: float = 400, dem_size: int = 400) -> DataFrame:
-    """Tiles whose centre lies in no water (shrunk, so that shores stay) and below the elevation."""
+def filtered_tiles(tiles: DataFrame, waters: DataFrame | None, dem: DataFrame | None, shrink: int = 420, elevation_max: float = 1000, cell: float = 400, dem_size: int = 400, or_all: bool = False) -> DataFrame:
+    """Tiles whose centre lies in no water (shrunk, so that shores stay) and below the elevation. With `or_all`
+    a filter that leaves no tile is not applied."""
     at = tiles.withColumn("x", (F.col("minx") + F.col("maxx")) / 2).withColumn("y", (F.col("miny") + F.col("maxy")) / 2)
     if waters is not None:
         inner = waters.select(*(c.alias(s) for s, c in rect.grown(-shrink).items())).where("minx < maxx AND miny < maxy")
@@ -69,7 +73,8 @@ def filtered_tiles(tiles: DataFrame, waters: DataFrame | None, dem: DataFrame |
         at = at.join(spatial.pairs(centres, inner, cell).select("l.tile_id").distinct(), "tile_id", "left_anti")
     if dem is not None:
         at = raster.sample(at, dem, dem_size).where(F.col("elevation") < elevation_max)
-    return at.drop("x", "y")
+    left = at.drop("x", "y")
+    return selection.or_else(left, tiles) if or_all else left
 
 
 # --- detections --------------------------------------------------------------------------------------
@@ -146,7 +151,8 @@ def renamed(df: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
 
 
 def assess(dets: DataFrame, truth: DataFrame, tiles: DataFrame | None, classes: DataFrame, settings: Assess = Assess(), cell: float = CELL) -> dict[str, DataFrame]:
-    """tagged rows, metrics by class, averages, geometric metrics and calibration."""
+    """tagged rows, metrics by class, averages (by dataset too, where both sides name one), geometric metrics and
+    calibration."""
     if tiles is not None:
         cut = lambda d: overlay.clip_to_tiles(d, tiles, cell).select(*(F.col(f"l.{c}").alias(c) for c in d.columns if c not in rect.SIDES), *rect.SIDES)
         truth, dets = cut(truth), cut(dets)
@@ -155,10 +161,23 @@ def assess(dets: DataFrame, truth: DataFrame, tiles: DataFrame | None, classes:
     tags = matching.tagged(dets, truth, cell, settings.iou, settings.area_min)
     by_class = matching.class_metrics(matching.class_counts(tags, classes))
     scored = tags.where("tag IN ('TP', 'FP', 'wrong class')").join(dets.select("det_id", "score"), "det_id").withColumn("is_right", F.col("tag") == "TP")
-    return {
+    out = {
         "tagged": tags, "by_class": by_class, "average": matching.averages(by_class, settings.method), "calibration": matching.calibration(scored),
         "geometric": matching.geometric_metrics(dets.withColumn("k", F.lit(1)), truth.withColumn("k", F.lit(1)), ["k"], int(cell)).drop("k"),
     }
+    if "dataset" in dets.columns and "dataset" in truth.columns:
+        each = matching.class_counts(matching.with_dataset(tags, dets, truth), classes, ["dataset"])
+        out["by_dataset"] = matching.averages(matching.class_metrics(each), settings.method, ["dataset"])
+    return out
+
+
+def write_assessment(tables: dict[str, DataFrame], folder: str, overwrite: bool = True) -> None:
+    """Metrics as CSV, a folder for each table; the tagged rows as Parquet with their final columns."""
+    for name, df in tables.items():
+        if name == "tagged":
+            write(selection.final(df, ["tag", "det_id", "label_id", "iou", "det_class", "label_class"]), f"{folder}/{name}", overwrite)
+        else:
+            matching.write_metrics(df, f"{folder}/{name}", overwrite)
 
 
 def charts(dets: DataFrame, elevation: str | None = "elevation") -> dict[str, DataFrame]:

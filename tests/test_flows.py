@@ -67,3 +67,26 @@ def test_years_on_disk(spark, tmp_path):
     flows.write(df, str(tmp_path / "y"), by_year="year")
     flows.write(df.limit(0), str(tmp_path / "y"), overwrite=False)
     assert sorted(r["id"] for r in flows.compile_years(spark, str(tmp_path / "y"), [2001, 2003, 1999]).collect()) == [1, 3]
+
+
+def test_assessment_by_dataset_and_its_tables(spark, tmp_path):
+    dets = frame(spark, SF, "fx_det").withColumnRenamed("merged_id", "det_id")
+    classes = spark.createDataFrame([(1,), (2,)], "label_class int")
+    got = flows.assess(dets, frame(spark, SF, "fx_label"), None, classes)
+    assert sorted(r["dataset"] for r in got["by_dataset"].collect()) == ["trn", "tst", "val"]
+    flows.write_assessment({k: got[k] for k in ("tagged", "by_dataset")}, str(tmp_path))
+    back = spark.read.option("header", "true").csv(str(tmp_path / "by_dataset"))
+    assert back.count() == 3 and spark.read.parquet(str(tmp_path / "tagged")).columns == ["tag", "det_id", "label_id", "iou", "det_class", "label_class"]
+
+
+def test_projected_area_and_tiles_that_no_filter_leaves(spark):
+    box = "minx double, miny double, maxx double, maxy double"
+    region, footprint = spark.createDataFrame([(7.0, 46.0, 8.0, 47.0)], box), spark.createDataFrame([(7.5, 46.5, 9.0, 48.0)], box)
+    (got,) = flows.area_of_interest(region, footprint, "vaud", 2001, 50_000, "swiss").collect()
+    assert got["canton"] == "vaud" and 2_600_000 < got["minx"] < 2_610_000 and 1_145_000 < got["miny"] < 1_155_000
+    tiles = frame(spark, SF, "fx_tile").limit(5)
+    dem = tiles.select("tx", "ty").withColumn("elevation", F.lit(5000.0))
+    assert flows.filtered_tiles(tiles, None, dem).count() == 0
+    assert flows.filtered_tiles(tiles, None, dem, or_all=True).count() == 5
+    low = dem.withColumn("elevation", F.lit(10.0))
+    assert sorted(r["tile_id"] for r in flows.filtered_tiles(tiles, None, low).collect()) == sorted(r["tile_id"] for r in tiles.collect())
