@@ -109,6 +109,10 @@ def _classes(spark: SparkSession, located: DataFrame, id_col: str, text_col: str
 
 def deduplicated(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with the columns of docs."""
-    located = with_locator(docs)
+    aside, taken = "__at_", {c.lower() for c in docs.columns}
+    while aside in taken:
+        aside += "_"
+    located = with_locator(docs.withColumnRenamed("__at", aside))  # a column of that name waits under another
     stay = _classes(spark, located, id_col, text_col).where("at = keep_at").select(F.col("at").alias("__at"))
-    return located.join(stay, "__at", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    kept = located.join(stay, "__at", "left_semi")
+    return kept.select(*(F.col(aside).alias(c) if c.lower() == "__at" else F.col(f"`{c}`") for c in docs.columns))

@@ -96,3 +96,11 @@ def test_pairs_inside_a_crowd(spark):
     assert share(0, 1) < 0.8 and all(0.8 <= share(far - i, i) < 0.9 for i in sets if i > 3000)
     got = {r["id"]: r["component_id"] for r in near_dedup.components(spark, spark.createDataFrame(rows, SCHEMA).repartition(4), 5, 80).collect()}
     assert got == {i: min(i, far - i) if i > 3000 else i for i in sets}
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(4)
+    long = [str(rng.randrange(10**6)) for _ in range(400_000)]
+    rows = [(1, " ".join(long), "x", 1, 2), (2, " ".join(["new", *long[1:]]), "x", 1, 2), (3, "a" * 2_000_000, "x", 1, 2)]
+    got = near_dedup.components(spark, spark.createDataFrame(rows, SCHEMA))
+    assert sorted((r["id"], r["component_id"]) for r in got.collect()) == [(1, 1), (2, 1), (3, 3)]

@@ -43,3 +43,32 @@ def test_run_equals_brute_force(spark, tmp_path):
     assert sum(r["length"] for r in got) == sum(want.values())
     assert len({(r["sequence_id"], r["offset"]) for r in got}) == len(got)
     assert {i: [t for r in sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["start"]) for t in r["ids"]] for i in want} == ids
+
+
+EXTRA = ["__gone", "__of", "__key", "__kept", "__at", "id", "key", "cluster", "set", "digest", "body", "toxic", "task"]
+
+
+def test_odd_tables(spark, tmp_path):
+    """Extra columns of any name, a very long text, repeated rows, nulls; then no row at all."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    texts = [" ".join(word() for _ in range(40)) for _ in range(12)] + [" ".join(word() for _ in range(250_000)), None, ""]
+    rows = [(i, t, "en", "s", len(t or ""), *(f"{c}{i}" for c in EXTRA)) for i, t in enumerate(texts)]
+    rows += [rows[3], rows[3], (None, texts[0] + " more", "en", "s", 1, *EXTRA)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in EXTRA)
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    want = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got, _ = corpus_pipeline.store(stage(spark, want, str(tmp_path)), name)
+        assert got.columns == docs.columns, name
+        want = got
+    left = {r["doc_id"]: r for r in want.collect()}
+    assert sorted(left, key=str) == sorted([*range(14), None], key=str)  # blank texts are copies; the longest with the smallest id stays
+    assert all(r[c] == f"{c}{i}" for i, r in left.items() if i is not None for c in EXTRA)
+    assert left[12]["text"] == texts[12]
+    pieces = corpus_pipeline.pack(spark, want, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in pieces} == set(left)
+    none = docs.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0, name
