@@ -26,25 +26,35 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicated(spark, docs)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest identifier. Documents without an
-    identifier or without words stay."""
+    identifier or without words stay. Rows that repeat an identifier are one document."""
+    name = _free(docs, "__gone")
     found = near_dedup.components(spark, docs, SHINGLE, PERCENT)
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their runs of WORDS or more words whose every byte lies in a repeated string of REPEAT
     bytes; n_chars follows. Every row stays."""
+    of, key, kept = (_free(docs, n) for n in ("__of", "__key", "__kept"))
     found = suffix_dedup.cleaned(spark, docs, REPEAT, with_text=True, words=WORDS)
-    changed = found.where("kept_text IS NOT NULL").select(F.col("key").alias("__key"), F.col("kept_text").alias("__kept")).dropDuplicates(["__key"])
-    keyed = docs.withColumn("__of", F.unhex(F.sha2(F.encode(text_or_empty(), "utf-8"), 256)))
-    joined = keyed.join(changed, F.col("__of") == F.col("__key"), "left")
-    new = {"text": F.coalesce("__kept", "text")}
+    changed = found.where("kept_text IS NOT NULL").select(F.col("key").alias(key), F.col("kept_text").alias(kept)).dropDuplicates([key])
+    keyed = docs.withColumn(of, F.unhex(F.sha2(F.encode(text_or_empty(), "utf-8"), 256)))
+    joined = keyed.join(changed, F.col(of) == F.col(key), "left")
+    new = {"text": F.coalesce(kept, "text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("__kept").cast(dict(docs.dtypes)["n_chars"]))
-    return joined.withColumns(new).select(*docs.columns)
+        new["n_chars"] = F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(F.length(kept).cast(dict(docs.dtypes)["n_chars"]))
+    return joined.withColumns(new).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
