@@ -70,7 +70,7 @@ def difference_area(left: DataFrame, right: DataFrame, id_col: str, cell: int) -
     """id, area and left_area: what each left rectangle keeps when all right ones are taken away. Only
     the right rectangles that a left one meets are united, cut to it."""
     hits = intersection(left, right, cell).select(F.col(f"l.{id_col}").alias(id_col), *rect.SIDES)
-    lost = union_area(hits, [id_col], cell).withColumnRenamed("area", "lost")
+    lost = union_area(hits, [id_col], 4 * cell).withColumnRenamed("area", "lost")
     return left.select(id_col, rect.area().alias("area")).join(lost, id_col, "left").select(id_col, "area", (F.col("area") - F.coalesce("lost", F.lit(0))).alias("left_area"))
 
 

@@ -16,6 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 CELL, IOU = 256, 0.5
+#: Unions cut shapes at the lines of a wider grid, so that few are cut.
+UNION_CELL = 1024
 AREA = "({0}.maxx - {0}.minx) * ({0}.maxy - {0}.miny)"
 MEETS = "{0}.minx <= {1}.maxx AND {1}.minx <= {0}.maxx AND {0}.miny <= {1}.maxy AND {1}.miny <= {0}.maxy"
 SHARED = "greatest(least({0}.maxx, {1}.maxx) - greatest({0}.minx, {1}.minx), 0) * greatest(least({0}.maxy, {1}.maxy) - greatest({0}.miny, {1}.miny), 0)"
@@ -340,7 +342,7 @@ cov AS (SELECT DISTINCT {by}, x, x1, y, y1 FROM {source} s JOIN xs USING ({by})
 
 @query(with_clause("fx_det", more=_sql_union("fx_det", "year_det, site")) + " SELECT year_det, CAST(sum((x1 - x) * (y1 - y)) AS BIGINT) AS area FROM cov GROUP BY year_det")
 def union_area_by_year(spark, d):
-    return overlay.union_area(det(spark, d), ["year_det"], CELL)
+    return overlay.union_area(det(spark, d), ["year_det"], UNION_CELL)
 
 
 @query(with_clause("fx_det", "fx_layer") + f" SELECT d.merged_id, {sql_r6(f'coalesce(sum(CASE WHEN {sql_meets("d", "l")} THEN CAST({sql_shared("d", "l")} AS DOUBLE) / ({sql_area("d")}) END), 0)')} AS ratio FROM fx_det d LEFT JOIN fx_layer l ON l.layer_id // 2 = d.site AND l.layer_key = 'forests' GROUP BY d.merged_id")
@@ -460,7 +462,7 @@ def metrics_weighted(spark, d):
 
 @query(with_clause("fx_det", "fx_label", more=_sql_union("fx_det", "dataset, site") + ", du AS (SELECT dataset, sum((x1 - x) * (y1 - y)) AS a FROM cov GROUP BY dataset), " + _sql_union("fx_label", "dataset, site").replace("xs AS", "xl AS").replace("ys AS", "yl AS").replace("cov AS", "covl AS").replace("JOIN xs", "JOIN xl").replace("JOIN ys", "JOIN yl") + ", lu AS (SELECT dataset, sum((x1 - x) * (y1 - y)) AS a FROM covl GROUP BY dataset), cb AS (SELECT a.dataset, a.site, greatest(a.minx, b.minx) AS minx, greatest(a.miny, b.miny) AS miny, least(a.maxx, b.maxx) AS maxx, least(a.maxy, b.maxy) AS maxy FROM fx_det a JOIN (SELECT DISTINCT site, dataset, minx, miny, maxx, maxy FROM fx_label) b ON a.site = b.site AND a.dataset = b.dataset WHERE least(a.maxx, b.maxx) > greatest(a.minx, b.minx) AND least(a.maxy, b.maxy) > greatest(a.miny, b.miny)), " + _sql_union("cb", "dataset, site").replace("xs AS", "xb AS").replace("ys AS", "yb AS").replace("cov AS", "covb AS").replace("JOIN xs", "JOIN xb").replace("JOIN ys", "JOIN yb") + ", bu AS (SELECT dataset, CAST(sum((x1 - x) * (y1 - y)) AS DOUBLE) AS a FROM covb GROUP BY dataset)") + f" SELECT dataset, {sql_r6('bu.a / (du.a + lu.a - bu.a)')} AS iou, {sql_r6('bu.a / du.a')} AS geom_precision, {sql_r6('bu.a / lu.a')} AS geom_recall, {sql_r6('(du.a - lu.a) / lu.a::DOUBLE')} AS area_error FROM du JOIN lu USING (dataset) JOIN bu USING (dataset)")
 def geometric_metrics(spark, d):
-    got = matching.geometric_metrics(det(spark, d), labels(spark, d).select("dataset", *rect.SIDES).distinct(), ["dataset"], CELL)
+    got = matching.geometric_metrics(det(spark, d), labels(spark, d).select("dataset", *rect.SIDES).distinct(), ["dataset"], UNION_CELL)
     return got.select("dataset", *(r6(c).alias(c) for c in ("iou", "geom_precision", "geom_recall", "area_error")))
 
 
