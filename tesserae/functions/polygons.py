@@ -1,22 +1,26 @@
 """Exact polygon functions: thin JVM functions on the geometry library that ships with Spark.
 
-`register(spark)` compiles `java/Geo.java` once for a Spark version into the temporary folder of the
-driver and adds the archive to the session; executors get it from there and no Python worker is involved.
-Without a compiler it raises, and everything on rectangles works as before.
+`register(spark)` compiles `java/Geo.java` once for a session, stores the archive in the shared folder and adds
+it to the session; executors get it from there and no Python worker is involved. Without a compiler it
+raises, and everything on rectangles works as before.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
 import os
 import shutil
 import subprocess
 import tempfile
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from tesserae.storage import scratch, write_bytes
+
 SOURCE = Path(__file__).parent / "java" / "Geo.java"
 BIN, NUM, YES = T.BinaryType(), T.DoubleType(), T.BooleanType()
 FUNCTIONS = {
@@ -25,28 +29,35 @@ FUNCTIONS = {
 }
 
 
-def archive() -> str:
-    """Path of the compiled archive."""
-    import pyspark
-
-    jars = Path(pyspark.__file__).parent / "jars"
-    mark = hashlib.sha256(SOURCE.read_bytes() + pyspark.__version__.encode()).hexdigest()[:16]
-    path = Path(tempfile.gettempdir()) / f"tesserae-geo-{mark}.jar"
-    if path.exists():
-        return str(path)
+def archive(spark: SparkSession) -> bytes:
+    """The compiled classes as an archive. The class path is the driver's own: Python may have taken pyspark from
+    a zip that holds no jars."""
+    jvm_path = spark._jvm.java.lang.System.getProperty("java.class.path")
     javac = shutil.which("javac") or str(Path(os.environ.get("JAVA_HOME", "/nowhere")) / "bin" / "javac")
     if not Path(javac).exists():
         raise RuntimeError("polygon functions need a Java compiler on the driver")
-    with tempfile.TemporaryDirectory() as out:
-        subprocess.run([javac, "-nowarn", "-cp", f"{jars}/*", "-d", out, str(SOURCE)], check=True, capture_output=True)
-        draft = f"{path}.{os.getpid()}"
-        subprocess.run([str(Path(javac).with_name("jar")) if Path(javac).with_name("jar").exists() else "jar", "cf", draft, "-C", out, "."], check=True, capture_output=True)
-        os.replace(draft, path)
-    return str(path)
+    with tempfile.TemporaryDirectory(prefix="tesserae-geo-") as work:
+        options = Path(work) / "options"
+        options.write_text(f'-cp\n"{jvm_path}"\n'.replace("\\", "\\\\"))
+        out = Path(work) / "classes"
+        done = subprocess.run([javac, "-nowarn", f"@{options}", "-d", str(out), str(SOURCE)], capture_output=True, text=True)
+        if done.returncode:
+            raise RuntimeError(f"polygon functions don't compile: {done.stderr[-2000:]}")
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as jar:
+            for f in sorted(out.rglob("*.class")):
+                jar.write(f, f.relative_to(out).as_posix())
+        return packed.getvalue()
 
 
 def register(spark: SparkSession) -> None:
-    """Makes geo_area, geo_intersection, geo_buffer and so on known to the session."""
-    spark.sql(f"ADD JAR '{archive()}'")
+    """Makes geo_area, geo_intersection, geo_buffer and so on known to the session; compiled once in it."""
+    mark = hashlib.sha256(SOURCE.read_bytes()).hexdigest()
+    if spark.conf.get("tesserae.geo", None) == mark:
+        return
+    path = f"{scratch(spark, 'geo')}.jar"
+    write_bytes(spark, path, archive(spark))
+    spark.sql(f"ADD JAR '{path}'")
     for name, kind in FUNCTIONS.items():
         spark.udf.registerJavaFunction(f"geo_{name.lower()}", f"tesserae.Geo${name}", kind)
+    spark.conf.set("tesserae.geo", mark)

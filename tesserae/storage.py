@@ -32,6 +32,16 @@ def drop(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def write_bytes(spark: SparkSession, at: str, data: bytes) -> None:
+    """A small file, through Hadoop's file systems."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write df as Parquet into the shared folder and read it again: lineage ends there, and a lost
     executor costs no recomputation. Returns the frame and its path, for drop()."""

@@ -1,5 +1,11 @@
 import math
+import os
+import subprocess
+import sys
+import zipfile
+from pathlib import Path
 
+import pyspark
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +83,23 @@ def test_repair_and_waters(geo):
         polygons.repaired(bow, correct=False).select(F.call_function("geo_area", F.col("geometry"))).collect()
     tiles, lake = frame(geo, [box(0, 0, 10, 10), box(90, 90, 110, 110)]), frame(geo, [box(0, 0, 200, 200)])
     assert [r["id"] for r in polygons.away_from(tiles, lake, 42, 64, "id").collect()] == [0]
+
+
+def test_python_may_take_pyspark_from_a_zip(geo, tmp_path):
+    """The jars aren't where the Python package is: the class path is asked from the JVM."""
+    site = Path(pyspark.__file__).parent
+    with zipfile.ZipFile(tmp_path / "pyspark.zip", "w") as z:
+        for f in site.rglob("*"):
+            if f.is_file() and "jars" not in f.relative_to(site).parts and f.suffix != ".pyc":
+                z.write(f, f.relative_to(site.parent))
+    code = (
+        "import pyspark; assert '.zip' in pyspark.__file__\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from tesserae.functions import polygons\n"
+        "polygons.register(s); polygons.register(s)\n"
+        "print('AREA', s.sql('SELECT geo_area(geo_rectangle(0D, 0D, 2D, 3D))').first()[0])\n"
+    )
+    env = {**os.environ, "SPARK_HOME": str(site), "PYTHONPATH": f"{tmp_path / 'pyspark.zip'}:{Path(__file__).resolve().parents[1]}"}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert "AREA 6.0" in done.stdout, done.stderr[-2000:]
