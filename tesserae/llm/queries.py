@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import bpe_codec, exact_dedup, near_dedup, packing, sharding, sstable, suffix_dedup, token_counts, topk, toxicity
+from tesserae.llm import align, bpe_codec, divergence, exact_dedup, mixing, near_dedup, packing, sharding, sstable, suffix_dedup, token_counts, topk, toxicity
 from tesserae.llm.common import table
 
 
@@ -64,7 +64,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_token_counts, op3_bpe, op4_topk, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards, op9_toxicity, op10_suffix_dedup)}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = align.aligned(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = mixing.mixed(spark, table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_near_dedup, op2_token_counts, op3_bpe, op4_topk, op5_packing, op6_exact_dedup, op7_token_tables, op8_hilbert_shards, op9_toxicity, op10_suffix_dedup,
+    op11_alignment, op12_divergence, op13_mixing)}
 
 ORACLE_SQL = {
     "op1_near_dedup": r"""
@@ -101,4 +117,40 @@ ORACLE_SQL = {
              u AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS gone, count(*) AS spans FROM r GROUP BY doc_id)
         SELECT z.doc_id, z.n AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(coalesce(unhex(kept), h)) AS kept_sha256
         FROM z LEFT JOIN u USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op12_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+             g AS (SELECT DISTINCT lang, source FROM d), w AS (SELECT n, lang, source, unnest(ws) AS term FROM d),
+             k AS (SELECT lang, term, count(*) AS q FROM w GROUP BY ALL HAVING count(DISTINCT n) >= 10),
+             c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL),
+             v AS (SELECT lang, count(*) AS v, sum(q) AS nl FROM k GROUP BY lang),
+             t AS (SELECT lang, source, sum(n) AS nt FROM c GROUP BY ALL),
+             x AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(t.nt, 0) + 2 * v.v) AS p,
+                          1 + 1000000000::HUGEINT * (k.q + 2) // (v.nl + 2 * v.v) AS q
+                   FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term LEFT JOIN t ON t.lang = g.lang AND t.source = g.source),
+             m AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+             u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(m.value, 0)::BIGINT AS value
+                   FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+                   UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM x WHERE n > 0 AND p > q),
+             r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM u)
+        SELECT * FROM r WHERE part = 'pair' OR rank <= 10""",
+    "op13_mixing": r"""
+        WITH z AS (SELECT doc_id AS id, source, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS key,
+                          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(concat_ws('/', CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS tick FROM documents),
+             s AS (SELECT key, CAST(sum(size) AS BIGINT) AS source_size FROM z GROUP BY key),
+             r AS (SELECT *, 2.0::DOUBLE * source_size AS cap, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY key) - 1) % 3 + 1]::DOUBLE AS weight FROM s),
+             l AS (SELECT *, cap / weight AS ratio, 1.5::DOUBLE * sum(source_size) OVER () AS budget, sum(weight) OVER () AS weights FROM r),
+             o AS (SELECT *, (budget - coalesce(sum(cap) OVER w, 0)) / (weights - coalesce(sum(weight) OVER w, 0)) <= ratio AS open
+                   FROM l WINDOW w AS (ORDER BY ratio, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+             a AS (SELECT key, source_size, CASE WHEN NOT open THEN cap ELSE weight * (budget - coalesce(sum(cap) FILTER (NOT open) OVER (), 0)) / (sum(weight) FILTER (open) OVER ()) END AS target FROM o),
+             p AS (SELECT id, source, key, size, CAST(coalesce(sum(size) OVER (PARTITION BY key ORDER BY tick, id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM z WHERE size > 0
+                   UNION ALL SELECT id, source, key, size, 0 FROM z WHERE size = 0),
+             t AS (SELECT key, target, size, turn * source_size + start AS first FROM p JOIN a USING (key), unnest([0, 1]) AS u(turn) WHERE size > 0 AND target > 0),
+             e AS (SELECT *, CASE WHEN CAST(first + size AS DOUBLE) / target <= 1 THEN size ELSE 32 END AS step FROM t),
+             c AS (SELECT key, target, least(step, size - k * step) AS words, first + k * step + least(step, size - k * step) AS ends FROM (SELECT *, unnest(range((size - 1) // step + 1)) AS k FROM e)),
+             q AS (SELECT key, words, coalesce(sum(words) OVER (ORDER BY CAST(ends AS DOUBLE) / target, key, ends ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS position FROM c),
+             g AS (SELECT key, sum(least(words, (SELECT 3 * sum(size) // 2 FROM z) - position)) AS got FROM q WHERE position < (SELECT 3 * sum(size) // 2 FROM z) GROUP BY key)
+        SELECT id AS doc_id, size, source_size, coalesce(target, 0) AS target,
+               CAST(greatest(0, least(size, coalesce(got, 0) - start)) + greatest(0, least(size, coalesce(got, 0) - source_size - start)) AS BIGINT) AS taken
+        FROM p JOIN a USING (key) LEFT JOIN g USING (key)""",
 }

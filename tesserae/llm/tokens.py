@@ -77,6 +77,10 @@ class Cutter:
         keep = kind[begin] != END
         if self.kind == WORD:
             keep &= kind[begin] != BLANK
+        return *self._numbered(joined, code, begin, end, keep), np.diff(np.searchsorted(begin[keep], ends), prepend=0)
+
+    def _numbered(self, joined: str, code: np.ndarray, begin: np.ndarray, end: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, list[str]]:
+        """A number for each word that is kept, and the distinct words."""
         sums = self._sums(code, begin, end)[keep]
         begin, end = begin[keep], end[keep]
         number, distinct = pd.factorize(sums)
@@ -84,8 +88,7 @@ class Cutter:
         lead[number[::-1]] = np.arange(len(number) - 1, -1, -1)
         if not self._same(code, begin, end, lead[number]):
             number, lead = self._by_text(joined, begin, end)
-        words = [joined[a:b] for a, b in zip(begin[lead].tolist(), end[lead].tolist())]
-        return number, words, np.diff(np.searchsorted(begin, ends), prepend=0)
+        return number, [joined[a:b] for a, b in zip(begin[lead].tolist(), end[lead].tolist())]
 
     @staticmethod
     def _contractions(code, kind, first, last, of, start) -> None:
