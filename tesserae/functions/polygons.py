@@ -23,9 +23,12 @@ from tesserae.storage import scratch, write_bytes
 
 SOURCE = Path(__file__).parent / "java" / "Geo.java"
 BIN, NUM, YES = T.BinaryType(), T.DoubleType(), T.BooleanType()
+#: A pair that meets: see Geo.Meet.
+MET = T.StructType([T.StructField("l", T.LongType()), T.StructField("r", T.LongType()), T.StructField("shared", NUM), T.StructField("area_l", NUM), T.StructField("area_r", NUM), T.StructField("geometry", BIN)])
 FUNCTIONS = {
-    "Area": NUM, "Length": NUM, "IsValid": YES, "IsEmpty": YES, "MakeValid": BIN, "Centroid": BIN, "Bounds": T.ArrayType(NUM), "Parts": T.ArrayType(BIN), "UnionAll": BIN,
+    "Area": NUM, "Length": NUM, "IsValid": YES, "IsEmpty": YES, "MakeValid": BIN, "Centroid": BIN, "Bounds": T.ArrayType(NUM), "Parts": T.ArrayType(BIN),
     "Intersection": BIN, "Difference": BIN, "Union": BIN, "Intersects": YES, "Contains": YES, "Distance": NUM, "Iou": NUM, "Buffer": BIN, "Scale": BIN, "Rectangle": BIN,
+    "Meet": T.ArrayType(MET), "Subdivide": T.ArrayType(BIN), "CentroidXY": T.ArrayType(NUM), "Affine": BIN, "Polygonal": BIN,
 }
 
 
@@ -51,7 +54,8 @@ def archive(spark: SparkSession) -> bytes:
 
 
 def register(spark: SparkSession) -> None:
-    """Makes geo_area, geo_intersection, geo_buffer and so on known to the session; compiled once in it."""
+    """Makes geo_area, geo_intersection, geo_buffer and so on, and the aggregate geo_union_of, known to the session;
+    compiled once in it."""
     mark = hashlib.sha256(SOURCE.read_bytes()).hexdigest()
     if spark.conf.get("tesserae.geo", None) == mark:
         return
@@ -60,4 +64,8 @@ def register(spark: SparkSession) -> None:
     spark.sql(f"ADD JAR '{path}'")
     for name, kind in FUNCTIONS.items():
         spark.udf.registerJavaFunction(f"geo_{name.lower()}", f"tesserae.Geo${name}", kind)
+    session, functions = spark._jsparkSession, spark._jvm.org.apache.spark.sql.functions
+    union = session.artifactManager().classloader().loadClass("tesserae.Geo$UnionOf").getDeclaredConstructors()[0]
+    made = union.newInstance(spark.sparkContext._gateway.new_array(spark._jvm.java.lang.Object, 0))
+    session.udf().register("geo_union_of", functions.udaf(made, spark._jvm.org.apache.spark.sql.Encoders.BINARY()))
     spark.conf.set("tesserae.geo", mark)

@@ -1,49 +1,115 @@
 """The spatial operators on polygons: a `geometry` column (well-known binary) beside its bounds.
 
-Bounds do the grid join in generated code; only pairs whose bounds meet reach an exact function. Call
+Shapes are laid over a grid by their bounds and gathered in pages of at most PAGE shapes of a cell. Two pages of a
+cell meet in one call: one goes into a packed R-tree of prepared shapes, the other is probed against it,
+so a shape is read and prepared once a page and not once a pair. Very wide areas are cut into pieces first.
+Unions are an aggregate whose buffers are partial unions, made before and after the exchange. Call
 `tesserae.functions.polygons.register` first.
+
+Rows with a null or empty geometry have no bounds and meet nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions import rect
-from tesserae.operators import spatial
 from tesserae.operators.components import connected_components
 
-#: Tasks that a crowded group is dealt to; levels of a union's tree, and how much wider a level's cells are.
-BUCKETS, LEVELS, FAN = 16, 4, 8
+#: Shapes of a page; levels of a union's tree, and how much wider a level's cells are.
+PAGE, LEVELS, FAN = 256, 4, 8
 #: Negative segments ask the geometry library for sharp corners, up to that many times the distance away.
 MITRE = -5
 
 
+def geo(name: str, *args) -> Column:
+    return F.call_function(f"geo_{name}", *(F.col(a) if isinstance(a, str) else a for a in args))
+
+
+def area(geometry: str = "geometry") -> Column:
+    return geo("area", geometry)
+
+
 def with_bounds(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """df with minx, miny, maxx, maxy of its geometry; rows with empty geometry go."""
-    b = df.withColumn("__b", F.call_function("geo_bounds", F.col(geometry))).where("__b IS NOT NULL")
+    b = df.withColumn("__b", geo("bounds", geometry)).where("__b IS NOT NULL")
     return b.withColumns({s: F.col("__b")[k] for k, s in enumerate(rect.SIDES)}).drop("__b")
 
 
-def pairs(left: DataFrame, right: DataFrame, cell: float, predicate: str = "intersects", keys: list[tuple[str, str]] = ()) -> DataFrame:
-    """Structs l and r of all pairs that meet the exact predicate ('intersects' or 'contains')."""
-    return spatial.pairs(left, right, cell, keys).where(F.call_function(f"geo_{predicate}", F.col("l.geometry"), F.col("r.geometry")))
+def grown(df: DataFrame, columns: list[str], distance: float, segments: int = 16) -> DataFrame:
+    """The columns, geometry and bounds of df with its shapes grown, or shrunk by a negative distance; what
+    vanishes goes."""
+    return with_bounds(df.select(*columns, geo("buffer", "geometry", F.lit(float(distance)), F.lit(segments)).alias("geometry")))
+
+
+# --- meetings ----------------------------------------------------------------------------------------
+
+
+def _pages(df: DataFrame, id_col: str, cell: float, keys: list[str]) -> DataFrame:
+    """Keys, cell, number and shapes of every page. A cell is numbered in a sorted stream, so it may be of any size."""
+    at = lambda c: F.floor(F.col(c) / F.lit(float(cell))).cast("long")
+    slim = df.select(F.col(id_col).cast("long").alias("__id"), "geometry", *rect.SIDES, *(F.col(k).alias(f"__k{n}") for n, k in enumerate(keys))).where(" AND ".join(f"{s} IS NOT NULL" for s in rect.SIDES))
+    laid = slim.withColumn("__cx", F.explode(F.sequence(at("minx"), at("maxx")))).withColumn("__cy", F.explode(F.sequence(at("miny"), at("maxy"))))
+    group = [*(f"__k{n}" for n in range(len(keys))), "__cx", "__cy"]
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("__id")) - 1
+    return laid.withColumn("__page", F.floor(place / PAGE)).groupBy(*group, "__page").agg(F.collect_list(F.struct("__id", "geometry")).alias("__shapes"))
+
+
+def _met(a: DataFrame, b: DataFrame, cell: float, n_keys: int, mode: str, one_table: bool) -> DataFrame:
+    group = [*(f"__k{n}" for n in range(n_keys)), "__cx", "__cy"]
+    left, right = a.alias("l"), b.withColumnsRenamed({"__page": "__other", "__shapes": "__theirs"}).alias("r")
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in group]
+    if one_table:
+        on.append(F.col("l.__page") >= F.col("r.__other"))
+        same = F.when(F.col("l.__page") == F.col("r.__other"), 2).otherwise(1)
+    else:
+        same = F.lit(0)
+    met = left.join(right, on)
+    pairs = geo("meet", F.col("l.__shapes"), F.col("r.__theirs"), F.lit(mode), F.col("l.__cx"), F.col("l.__cy"), F.lit(float(cell)), same)
+    return met.select(F.inline(pairs))
+
+
+def meetings(left: DataFrame, right: DataFrame, left_id: str, right_id: str, cell: float, mode: str = "intersects", keys: list[tuple[str, str]] = ()) -> DataFrame:
+    """l, r (identifiers), shared, area_l, area_r, geometry of all pairs that agree in keys and meet by the mode:
+    'intersects', 'contains' (l holds r), 'shared' (with the common area), 'touch' (more than a point in common), 'clip' (geometry
+    is the common part) or 'take' (geometry is r's). Identifiers are unique in their tables."""
+    a = _pages(left, left_id, cell, [x for x, _ in keys])
+    return _met(a, _pages(right, right_id, cell, [y for _, y in keys]), cell, len(keys), mode, False)
+
+
+def self_meetings(df: DataFrame, id_col: str, cell: float, mode: str = "shared", same: list[str] = ()) -> DataFrame:
+    """meetings of a table with itself, l >= r, a row with itself included; it is laid over the grid once."""
+    pages = _pages(df, id_col, cell, list(same))
+    return _met(pages, pages, cell, len(same), mode, True)
+
+
+def pieces(areas: DataFrame, id_col: str, side: float) -> DataFrame:
+    """areas cut into pieces of at most `side`, with `of` (the area's identifier) in place of it, a number for each
+    piece and its bounds: wide shapes then cover few cells each."""
+    others = [c for c in areas.columns if c not in (id_col, "geometry", *rect.SIDES)]
+    cut = areas.select(F.col(id_col).alias("of"), *others, F.posexplode(geo("subdivide", "geometry", F.lit(float(side)))).alias("__n", "geometry"))
+    return with_bounds(cut.withColumn("piece", F.xxhash64("of", "__n")).drop("__n"))
+
+
+def iou(met: str = "") -> Column:
+    """Intersection over union of a 'shared' meeting; null for two shapes without area."""
+    s, a, b = (F.col(f"{met}{c}") for c in ("shared", "area_l", "area_r"))
+    return F.when(a + b - s > 0, s / (a + b - s))
 
 
 def iou_edges(df: DataFrame, id_col: str, threshold: float, cell: float, same: list[str] = ()) -> DataFrame:
-    met = spatial.self_pairs(df, id_col, cell, list(same))
-    scored = met.select(F.col(f"l.{id_col}").alias("src"), F.col(f"r.{id_col}").alias("dst"), F.call_function("geo_iou", F.col("l.geometry"), F.col("r.geometry")).alias("iou"))
+    """src >= dst, iou of pairs (a row with itself included) with at least the threshold."""
+    scored = self_meetings(df, id_col, cell, "shared", same).select(F.col("l").alias("src"), F.col("r").alias("dst"), iou().alias("iou"))
     return scored.where(F.col("iou") >= threshold)
 
 
-def _unite():
-    return F.call_function("geo_unionall", F.collect_list("geometry")).alias("geometry")
+# --- unions ------------------------------------------------------------------------------------------
 
 
-def _united(df: DataFrame, by: list[str]) -> DataFrame:
-    """by, geometry: unions in two steps, so that a crowded group is dealt to BUCKETS tasks first."""
-    dealt = df.withColumn("__bucket", F.pmod(F.xxhash64("geometry"), F.lit(BUCKETS)))
-    return dealt.groupBy(*by, "__bucket").agg(_unite()).groupBy(*by).agg(_unite())
+def union_of(geometry: str = "geometry") -> Column:
+    """Aggregate: the union of a group's shapes."""
+    return geo("union_of", geometry)
 
 
 def union_parts(df: DataFrame, by: list[str], cell: float) -> DataFrame:
@@ -53,9 +119,9 @@ def union_parts(df: DataFrame, by: list[str], cell: float) -> DataFrame:
     laid = df.select(*by, "geometry", *rect.SIDES, F.explode(F.sequence(at("minx"), at("maxx"))).alias("cx")).select("*", F.explode(F.sequence(at("miny"), at("maxy"))).alias("cy"))
     box = [(F.col(c) * cell).cast("double") for c in ("cx", "cy")] + [((F.col(c) + 1) * cell).cast("double") for c in ("cx", "cy")]
     inside = (F.col("minx") >= box[0]) & (F.col("miny") >= box[1]) & (F.col("maxx") <= box[2]) & (F.col("maxy") <= box[3])
-    cut = F.when(inside, F.col("geometry")).otherwise(F.call_function("geo_intersection", F.col("geometry"), F.call_function("geo_rectangle", *box)))
-    pieces = laid.select(*by, "cx", "cy", cut.alias("geometry")).where(F.call_function("geo_area", F.col("geometry")) > 0)
-    return _united(pieces, [*by, "cx", "cy"])
+    cut = F.when(inside, F.col("geometry")).otherwise(geo("intersection", "geometry", geo("rectangle", *box)))
+    parts = laid.select(*by, "cx", "cy", cut.alias("geometry")).where(area() > 0)
+    return parts.groupBy(*by, "cx", "cy").agg(union_of().alias("geometry"))
 
 
 def union_by(df: DataFrame, by: list[str], cell: float) -> DataFrame:
@@ -64,65 +130,104 @@ def union_by(df: DataFrame, by: list[str], cell: float) -> DataFrame:
     areas or overlays are all that is needed, `union_parts` never builds the whole."""
     level = df.select(*by, "geometry", *(F.floor(F.col(c) / F.lit(cell)).cast("long").alias(n) for c, n in (("minx", "__x"), ("miny", "__y"))))
     for _ in range(LEVELS):
-        level = _united(level, [*by, "__x", "__y"]).withColumns({n: F.floor(F.col(n) / FAN).cast("long") for n in ("__x", "__y")})
-    return level.groupBy(*by).agg(_unite())
+        level = level.groupBy(*by, "__x", "__y").agg(union_of().alias("geometry")).withColumns({n: F.floor(F.col(n) / FAN).cast("long") for n in ("__x", "__y")})
+    return level.groupBy(*by).agg(union_of().alias("geometry"))
+
+
+def union_area(df: DataFrame, by: list[str], cell: float) -> DataFrame:
+    """by, area of each group's union."""
+    return union_parts(df, by, cell).groupBy(*by).agg(F.sum(area()).alias("area"))
+
+
+def dissolve_first(df: DataFrame, by: str, order: list[Column | str], columns: list[str]) -> DataFrame:
+    """A row for each group: the union of its shapes and, of each column, the first non-null value in order.
+    Columns are looked at one by one, so a row may mix sources."""
+    rank = F.struct(*order)
+    firsts = (F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(c) for c in columns)
+    return df.groupBy(by).agg(*firsts, union_of().alias("geometry"))
+
+
+# --- overlays ----------------------------------------------------------------------------------------
 
 
 def single_parts(df: DataFrame) -> DataFrame:
     """A row for each part of a collection; the other columns repeat. Empty geometries go."""
     others = [c for c in df.columns if c != "geometry"]
-    return df.select(*others, F.explode(F.call_function("geo_parts", F.col("geometry"))).alias("geometry")).select(*df.columns)
+    return df.select(*others, F.explode(geo("parts", "geometry")).alias("geometry")).select(*df.columns)
+
+
+def difference(left: DataFrame, right: DataFrame, id_col: str, cell: float, side: float | None = None) -> DataFrame:
+    """left with its geometry less everything of right that it meets; rows left empty go. With `side`, areas wider
+    than it are cut into pieces."""
+    areas = right.select("geometry").withColumn("__area", F.xxhash64("geometry"))
+    cut = pieces(areas, "__area", side or 16 * cell).dropDuplicates(["piece"])
+    hits = meetings(left, cut, id_col, "piece", cell, "take").groupBy("l").agg(union_of().alias("__taken"))
+    joined = left.join(hits, F.col(id_col) == F.col("l"), "left").drop("l")
+    out = joined.withColumn("geometry", F.when(F.col("__taken").isNull(), F.col("geometry")).otherwise(geo("polygonal", geo("difference", "geometry", "__taken"))))
+    return out.drop("__taken").where(~geo("isempty", "geometry"))
+
+
+def intersection(left: DataFrame, right: DataFrame, left_id: str, right_id: str, cell: float, keys: list[tuple[str, str]] = ()) -> DataFrame:
+    """l, r, geometry of the common parts that have area."""
+    return meetings(left, right, left_id, right_id, cell, "clip", keys).select("l", "r", "geometry")
+
+
+def clipped_to(left: DataFrame, areas: DataFrame, left_id: str, area_id: str, cell: float, side: float | None = None) -> DataFrame:
+    """l, of, geometry: what of each left shape lies in each area, whose pieces are put together again."""
+    cut = pieces(areas.select(area_id, "geometry"), area_id, side or 16 * cell)
+    met = meetings(left, cut, left_id, "piece", cell, "clip").select("l", F.col("r").alias("piece"), "geometry")
+    return met.join(cut.select("piece", "of"), "piece").groupBy("l", "of").agg(union_of().alias("geometry"))
+
+
+def overlap_sum(objects: DataFrame, layer: DataFrame, id_col: str, layer_id: str, cell: float, side: float | None = None) -> DataFrame:
+    """id, ratio: the sum, over the layer's shapes, of the share of the object that each covers. It can pass 1
+    where the layer overlaps itself."""
+    cut = pieces(layer.select(layer_id, "geometry"), layer_id, side or 16 * cell)
+    sums = meetings(objects, cut, id_col, "piece", cell, "shared").groupBy(F.col("l").alias(id_col)).agg(F.sum(F.try_divide("shared", "area_l")).alias("ratio"))
+    return objects.select(id_col).join(sums, id_col, "left").select(id_col, F.coalesce("ratio", F.lit(0.0)).alias("ratio"))
 
 
-def difference(left: DataFrame, right: DataFrame, id_col: str, cell: float) -> DataFrame:
-    """left with its geometry less everything of right that it meets; rows left empty go."""
-    met = pairs(left.select(id_col, "geometry", *rect.SIDES), right.select("geometry", *rect.SIDES), cell)
-    hits = _united(met.select(F.col(f"l.{id_col}").alias("__id"), F.col("r.geometry").alias("geometry")), ["__id"]).withColumnRenamed("geometry", "__taken")
-    joined = left.join(hits, F.col(id_col) == F.col("__id"), "left").drop("__id")
-    cut = joined.withColumn("geometry", F.when(F.col("__taken").isNull(), F.col("geometry")).otherwise(F.call_function("geo_difference", "geometry", "__taken")))
-    return cut.drop("__taken").where(~F.call_function("geo_isempty", F.col("geometry")))
+# --- merging -----------------------------------------------------------------------------------------
 
 
-def intersection(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
-    """l, r, geometry of the pieces that have area."""
-    cut = pairs(left, right, cell).select("l", "r", F.call_function("geo_intersection", F.col("l.geometry"), F.col("r.geometry")).alias("geometry"))
-    return cut.where(F.call_function("geo_area", F.col("geometry")) > 0)
+def _components(edges: DataFrame, id_col: str) -> DataFrame:
+    return connected_components(edges).select(F.col("node").alias(id_col), F.col("component").alias("group_id"))
 
 
-def _grown(df: DataFrame, columns: list[str], distance: float, segments: int) -> DataFrame:
-    return with_bounds(df.select(*columns, F.call_function("geo_buffer", F.col("geometry"), F.lit(float(distance)), F.lit(segments)).alias("geometry")))
+def group_detections(df: DataFrame, id_col: str, threshold: float, cell: float, same: list[str] = ("year_det",)) -> DataFrame:
+    """df with group_id, the least id of the component of overlapping rows; null if a row overlaps nothing, not even
+    itself. A group_id from an earlier step is replaced."""
+    df = df.drop("group_id")
+    return df.join(_components(iou_edges(df, id_col, threshold, cell, list(same)), id_col), id_col, "left")
 
 
 def proximity_groups(df: DataFrame, id_col: str, distance: float, cell: float, same: list[str] = (), segments: int = 2, square: bool = False) -> DataFrame:
     """id, group_id: components of shapes that share more than a point once grown; group_id is the smallest id.
     Square growth keeps corners sharp."""
-    grown = _grown(df, [id_col, *same], distance, MITRE if square else segments)
-    met = spatial.self_pairs(grown, id_col, cell, list(same))
-    common = F.call_function("geo_intersection", F.col("l.geometry"), F.col("r.geometry"))
-    joined = met.where(F.call_function("geo_length", common) > 0)
-    groups = connected_components(joined.select(F.col(f"l.{id_col}").alias("src"), F.col(f"r.{id_col}").alias("dst")))
-    return groups.select(F.col("node").alias(id_col), F.col("component").alias("group_id"))
+    wide = grown(df, [id_col, *same], distance, MITRE if square else segments)
+    met = self_meetings(wide, id_col, cell, "touch", list(same))
+    return _components(met.select(F.col("l").alias("src"), F.col("r").alias("dst")), id_col)
 
 
 def closing(df: DataFrame, id_col: str, distance: float, cell: float, segments: int = 2, same: list[str] = (), shrink: float | None = None, single: bool = False) -> DataFrame:
     """Proximity merge: grown by distance, united where the grown shapes share more than a point, shrunk
-    again. A result in several parts stays one row unless single parts are asked for."""
+    again. A result in several parts stays one row unless single parts are asked for; what vanishes goes."""
     groups = proximity_groups(df, id_col, distance, cell, same, segments)
-    named = _grown(df, [id_col, *same], distance, segments).join(groups, id_col)
-    united = union_by(named, ["group_id", *same], cell)
-    shrunk = united.withColumn("geometry", F.call_function("geo_buffer", F.col("geometry"), F.lit(-float(distance if shrink is None else shrink)), F.lit(segments)))
+    united = union_by(grown(df, [id_col, *same], distance, segments).join(groups, id_col), ["group_id", *same], cell)
+    shrunk = grown(united, ["group_id", *same], -float(distance if shrink is None else shrink), segments).drop(*rect.SIDES)
     return single_parts(shrunk) if single else shrunk
 
 
 def repaired(df: DataFrame, correct: bool = True) -> DataFrame:
     """df with valid geometries. Without `correct` an invalid one raises when its row is computed."""
-    valid = F.call_function("geo_isvalid", F.col("geometry"))
-    fixed = F.call_function("geo_makevalid", F.col("geometry")) if correct else F.when(F.assert_true(valid, F.lit("invalid geometry")).isNull(), F.col("geometry"))
+    valid = geo("isvalid", "geometry")
+    fixed = geo("makevalid", "geometry") if correct else F.when(F.assert_true(valid, F.lit("invalid geometry")).isNull(), F.col("geometry"))
     return df.withColumn("geometry", F.when(valid, F.col("geometry")).otherwise(fixed))
 
 
 def away_from(points: DataFrame, areas: DataFrame, shrink: float, cell: float, id_col: str) -> DataFrame:
     """Rows whose centroid lies outside the areas, shrunk first (large waters without their shores)."""
-    inner = with_bounds(areas.select(F.call_function("geo_buffer", F.col("geometry"), F.lit(-float(shrink)), F.lit(16)).alias("geometry")))
-    centres = with_bounds(points.select(id_col, F.call_function("geo_centroid", F.col("geometry")).alias("geometry")))
-    return points.join(pairs(centres, inner, cell).select(F.col(f"l.{id_col}").alias(id_col)).distinct(), id_col, "left_anti")
+    inner = grown(areas, [], -float(shrink), 16).withColumn("__area", F.xxhash64("geometry"))
+    centres = with_bounds(points.select(id_col, geo("centroid", "geometry").alias("geometry")))
+    held = meetings(centres, pieces(inner, "__area", 16 * cell).dropDuplicates(["piece"]), id_col, "piece", cell).select(F.col("l").alias(id_col)).distinct()
+    return points.join(held, id_col, "left_anti")

@@ -48,15 +48,16 @@ def polygon_union_by_year(spark, d):
 @query(c.ORACLE_SQL["difference_area"])
 def polygon_difference(spark, d):
     dets = det_shapes(spark, d)
-    left = polygons.difference(dets, _shapes(frame(spark, d, "fx_layer")).select("geometry", *rect.SIDES), "merged_id", c.CELL)
+    left = polygons.difference(dets, _shapes(frame(spark, d, "fx_layer")), "merged_id", c.CELL)
     kept = left.select("merged_id", _area("geometry").alias("left_area"))
     return dets.select("merged_id", rect.area().alias("area")).join(kept, "merged_id", "left").select("merged_id", "area", F.coalesce("left_area", F.lit(0)).alias("left_area"))
 
 
 @query(with_clause("fx_det", "fx_tile") + f" SELECT merged_id, tile_id, {c.sql_shared('d', 't')} AS area FROM fx_det d JOIN fx_tile t ON t.tx BETWEEN d.minx // 400 - 1 AND d.maxx // 400 AND t.ty BETWEEN d.miny // 400 - 1 AND d.maxy // 400 WHERE {c.sql_shared('d', 't')} > 0")
 def polygon_clip_to_tile(spark, d):
-    cut = polygons.intersection(det_shapes(spark, d), _shapes(frame(spark, d, "fx_tile")), 400)
-    return cut.select("l.merged_id", "r.tile_id", _area("geometry").alias("area"))
+    tiles = _shapes(frame(spark, d, "fx_tile")).withColumn("tile_no", F.shiftleft("tx", 32) + F.col("ty"))
+    cut = polygons.intersection(det_shapes(spark, d), tiles, "merged_id", "tile_no", 400)
+    return cut.select(F.col("l").alias("merged_id"), F.format_string("(%d, %d, 16)", F.shiftright("r", 32), F.col("r").bitwiseAND((1 << 32) - 1)).alias("tile_id"), _area("geometry").alias("area"))
 
 
 _parts = "u AS (SELECT label_id, minx - 6 AS minx, miny - 6 AS miny, maxx + 6 AS maxx, maxy + 6 AS maxy FROM fx_label)"

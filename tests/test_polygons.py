@@ -58,11 +58,11 @@ def test_scalars(geo):
 def test_joins_and_overlays(geo):
     left = frame(geo, [box(0, 0, 10, 10), ring((20, 0), (30, 0), (20, 10))])
     right = frame(geo, [box(5, 0, 15, 10), box(27, 7, 30, 10), box(7, 2, 8, 3)])
-    got = polygons.pairs(left, right, 8).select("l.id", F.col("r.id").alias("o")).collect()
+    got = polygons.meetings(left, right, "id", "id", 8).select("l", "r").collect()
     assert sorted(map(tuple, got)) == [(0, 0), (0, 2)]  # the triangle's bounds alone meet the third
     cut = polygons.difference(left, right, "id", 8).select("id", F.call_function("geo_area", F.col("geometry"))).collect()
     assert dict(map(tuple, cut)) == {0: 50.0, 1: 50.0}
-    pieces = polygons.intersection(left, right, 8).select(F.call_function("geo_area", F.col("geometry"))).collect()
+    pieces = polygons.intersection(left, right, "id", "id", 8).select(F.call_function("geo_area", F.col("geometry"))).collect()
     assert sorted(r[0] for r in pieces) == [1.0, 50.0]
     union = polygons.union_by(right.withColumn("k", F.lit(1)), ["k"], 8).select(F.call_function("geo_area", F.col("geometry"))).first()[0]
     assert union == 109
@@ -103,3 +103,56 @@ def test_python_may_take_pyspark_from_a_zip(geo, tmp_path):
     env = {**os.environ, "SPARK_HOME": str(site), "PYTHONPATH": f"{tmp_path / 'pyspark.zip'}:{Path(__file__).resolve().parents[1]}"}
     done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
     assert "AREA 6.0" in done.stdout, done.stderr[-2000:]
+
+
+def octagon(x, y, r):
+    k = r * (math.sqrt(2) - 1)
+    return ring((x - r, y - k), (x - k, y - r), (x + k, y - r), (x + r, y - k), (x + r, y + k), (x + k, y + r), (x - k, y + r), (x - r, y + k))
+
+
+def brute_pairs(spark, shapes, others, function):
+    a, b = (spark.createDataFrame([*enumerate(x)], f"{n} long, g{n} binary") for n, x in (("l", shapes), ("r", others)))
+    return sorted(map(tuple, a.crossJoin(b).where(f"geo_{function}(gl, gr)").select("l", "r").collect()))
+
+
+def test_meetings_of_pages_equal_all_pairs(geo, monkeypatch):
+    """Many shapes of a few cells, so that pages meet pages; a shape in many cells is told once."""
+    monkeypatch.setattr(polygons, "PAGE", 7)
+    shapes = [octagon(37 * k % 101, 53 * k % 97, 3 + k % 9) for k in range(90)] + [octagon(50, 50, 60), ring((0, 0), (100, 0), (0, 100))]
+    others = [octagon(41 * k % 103, 29 * k % 95, 2 + k % 7) for k in range(60)]
+    left, right = frame(geo, shapes), frame(geo, others)
+    for mode in ("intersects", "contains"):
+        got = polygons.meetings(left, right, "id", "id", 16, mode).select("l", "r").collect()
+        assert sorted(map(tuple, got)) == brute_pairs(geo, shapes, others, mode)
+    met = polygons.self_meetings(left, "id", 16).collect()
+    assert sorted((r["l"], r["r"]) for r in met) == [p for p in brute_pairs(geo, shapes, shapes, "intersects") if p[0] >= p[1]]
+    assert all(r["shared"] <= min(r["area_l"], r["area_r"]) + 1e-9 for r in met)
+
+
+def test_union_of_a_crowd_without_lists(geo):
+    """Partial unions of one group in many tasks; a null shape changes nothing."""
+    rows = geo.range(3000).repartition(7).selectExpr("id % 2 AS k", "geo_rectangle(double(id), 0D, double(id + 2), 1D) AS geometry").unionByName(geo.sql("SELECT 0L AS k, CAST(NULL AS BINARY) AS geometry"))
+    plan = polygons.with_bounds(rows).groupBy("k").agg(polygons.union_of().alias("geometry"))
+    assert "collect_list" not in plan._jdf.queryExecution().toString()
+    assert {r["k"]: r["a"] for r in plan.select("k", polygons.area().alias("a")).collect()} == {0: 3000.0, 1: 3000.0}
+    assert rows.where("geometry IS NULL").groupBy("k").agg(polygons.union_of().alias("geometry")).select(polygons.geo("isempty", "geometry")).first()[0]
+
+
+def test_wide_areas_are_cut(geo):
+    wide = frame(geo, [ring((0, 0), (1000, 0), (0, 1000)), box(-5, -5, 2000, 3)]).withColumnRenamed("id", "aid")
+    cut = polygons.pieces(wide.select("aid", "geometry"), "aid", 64)
+    assert cut.where("maxx - minx > 64 OR maxy - miny > 64").count() == 0
+    assert {r["of"]: pytest.approx(r["a"]) for r in cut.groupBy("of").agg(F.sum(polygons.area()).alias("a")).collect()} == {0: 500_000.0, 1: 2005 * 8.0}
+    small = frame(geo, [box(490, 490, 510, 510), box(100, 100, 101, 101)])
+    kept = {r["id"]: r["a"] for r in polygons.difference(small, wide.where("aid = 0"), "id", 8).select("id", polygons.area().alias("a")).collect()}
+    assert kept == {0: pytest.approx(200.0)}
+    shares = {r["id"]: r["ratio"] for r in polygons.overlap_sum(small, wide, "id", "aid", 8).collect()}
+    assert shares == {0: pytest.approx(0.5), 1: pytest.approx(1.0)}
+
+
+def test_dissolve_takes_firsts_column_by_column(geo):
+    df = frame(geo, [octagon(0, 0, 10), octagon(5, 0, 10), octagon(100, 0, 10)]).selectExpr("id", "geometry", "CASE WHEN id < 2 THEN 1 ELSE 2 END AS g", "double(id) AS s", "CASE WHEN id = 0 THEN 'x' END AS seen")
+    got = {r["g"]: r for r in polygons.dissolve_first(df, "g", [-F.col("s"), "id"], ["id", "seen"]).withColumn("a", polygons.area()).collect()}
+    one = 8 * 100 * (math.sqrt(2) - 1)
+    assert (got[1]["id"], got[1]["seen"], got[2]["id"], got[2]["seen"]) == (1, "x", 2, None)
+    assert got[2]["a"] == pytest.approx(one) and one < got[1]["a"] < 2 * one
