@@ -10,7 +10,8 @@ packets of QUANTUM words, which keeps each source within a packet or so of its t
 documents are. The packet at the edge is cut. Served words are a prefix of each source's queue, which gives
 every document its part.
 
-Numbers within a source come from sums over slices of the digest, so no task holds a whole source; positions
+Numbers within a source come from sums over slices of the digest and over blocks of slices, so no task holds a
+whole source; positions
 in the global order come from sums over the files of the sorted table. A row for each source and a row for each
 file are the only tables that pass one task.
 
@@ -68,7 +69,10 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
 def placed(rows: DataFrame, sums: DataFrame) -> DataFrame:
     """key, id, size, start (words of the source's shuffled order before the row)."""
-    before = sums.select("key", "slice", F.coalesce(F.sum("n").over(Window.partitionBy("key").orderBy("slice").rowsBetween(*_BEFORE)), F.lit(0)).alias("before"))
+    block = sums.withColumn("block", F.shiftright("slice", SLICE_BITS // 2))
+    sum_before = lambda by, order: F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(order).rowsBetween(*_BEFORE)), F.lit(0))
+    blocks = block.groupBy("key", "block").agg(F.sum("n").alias("n")).select("key", "block", sum_before(["key"], "block").alias("far"))
+    before = block.withColumn("near", sum_before(["key", "block"], "slice")).join(blocks, ["key", "block"]).select("key", "slice", (F.col("far") + F.col("near")).alias("before"))
     within = F.coalesce(F.sum("size").over(Window.partitionBy("key", "slice").orderBy("tick", "id").rowsBetween(*_BEFORE)), F.lit(0))
     filled = rows.where("size > 0").withColumn("within", within).join(before, ["key", "slice"])
     return filled.select("key", "id", "size", (F.col("before") + F.col("within")).alias("start")).unionByName(rows.where("size = 0").select("key", "id", "size", F.lit(0).cast("long").alias("start")))
