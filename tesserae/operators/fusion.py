@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions import rect
@@ -39,10 +39,12 @@ def best_in_group(df: DataFrame, id_col: str) -> DataFrame:
     return df.where("group_id IS NOT NULL").withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
 
 
-def keep_or_remove(df: DataFrame, presence_min: float, score_min: float, small: int, most: int, sure: float = 0.5) -> DataFrame:
-    """df with status: 'kept', 'presence' or 'size', the first rule that removes a row."""
+def keep_or_remove(df: DataFrame, presence_min: float, score_min: float, small: int, most: int, sure: float = 0.5, area: Column | None = None) -> DataFrame:
+    """df with status: 'kept', 'presence' or 'size', the first rule that removes a row. `area` is the rectangle's if none
+    is given."""
+    area = rect.area() if area is None else area
     seen = F.coalesce(F.col("presence") > presence_min, F.lit(False))
-    sound = (F.col("merged_score") > score_min) & ((F.col("merged_score") > sure) | (rect.area() < small)) & (rect.area() < most)
+    sound = (F.col("merged_score") > score_min) & ((F.col("merged_score") > sure) | (area < small)) & (area < most)
     return df.withColumn("status", F.when(~seen, "presence").when(~F.coalesce(sound, F.lit(False)), "size").otherwise("kept"))
 
 

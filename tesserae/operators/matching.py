@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions import rect
 from tesserae.operators import overlay, spatial
+from tesserae.storage import store
 
 #: Lower and upper edges of the calibration bins: fixed values, as repeated addition of 0.1 gives them.
 BIN_EDGES = [
@@ -15,19 +16,21 @@ BIN_EDGES = [
 ]
 
 
-def tagged(dets: DataFrame, labels: DataFrame, cell: float, iou_min: float = 0.25, area_min: float | None = None, year_safe: bool = False) -> DataFrame:
+def tagged(dets: DataFrame, labels: DataFrame, cell: float, iou_min: float = 0.25, area_min: float | None = None, year_safe: bool = False, met=None, area: Column | None = None) -> DataFrame:
     """tag, det_id, label_id, iou, det_class, label_class of every detection and label that is in a set:
 
     TP and 'wrong class' are detections whose best label of the same year overlaps enough and has no better
     detection; FP are detections that meet no label of any year, or no label enough; FN are labels
     likewise. A detection that meets only labels of other years is in no set, unless year_safe asks for the
     corrected form. Rows below area_min are 'small polygon' and take no part. Detections count classes from
-    0, labels from 1."""
+    0, labels from 1. `met` makes the meetings of other shapes than rectangles, `area` is their area; meetings
+    are read several times and stored."""
+    area = rect.area() if area is None else area
     parts = []
     if area_min is not None:
-        parts = [_small(dets, "det", area_min), _small(labels, "label", area_min)]
-        dets, labels = dets.where(rect.area() >= area_min), labels.where(rect.area() >= area_min)
-    met = spatial.pairs(dets, labels, cell).select(F.col("l.det_id").alias("det_id"), F.col("r.label_id").alias("label_id"), F.col("l.det_class").alias("det_class"), F.col("r.label_class").alias("label_class"), F.col("l.year_det").alias("year_det"), F.col("r.year_label").alias("year_label"), rect.iou("l.", "r.").alias("iou"))
+        parts = [_small(dets, "det", area_min, area), _small(labels, "label", area_min, area)]
+        dets, labels = dets.where(area >= area_min), labels.where(area >= area_min)
+    met, _ = store((met or _met)(dets, labels, cell).select("det_id", "label_id", "det_class", "label_class", "year_det", "year_label", "iou"), "met")
     same = met.where("year_det = year_label")
     by_det = Window.partitionBy("det_id").orderBy(F.col("iou").desc(), "label_id")
     best = same.withColumn("n", F.row_number().over(by_det)).where("n = 1").drop("n")
@@ -45,12 +48,18 @@ def tagged(dets: DataFrame, labels: DataFrame, cell: float, iou_min: float = 0.2
     return out
 
 
-def _small(df: DataFrame, what: str, area_min: float) -> DataFrame:
+def _met(dets: DataFrame, labels: DataFrame, cell: float) -> DataFrame:
+    """Every meeting of a detection and a label, with classes, years and overlap."""
+    of = lambda side, c: F.col(f"{side}.{c}").alias(c)
+    return spatial.pairs(dets, labels, cell).select(*(of("l", c) for c in ("det_id", "det_class", "year_det")), *(of("r", c) for c in ("label_id", "label_class", "year_label")), rect.iou("l.", "r.").alias("iou"))
+
+
+def _small(df: DataFrame, what: str, area_min: float, area: Column) -> DataFrame:
     """The rows of df that are too small to take part, in the columns of `tagged`."""
     types = {"det_id": "long", "label_id": "long", "iou": "double", "det_class": "int", "label_class": "int"}
     own = (f"{what}_id", f"{what}_class")
     columns = (F.col(c) if c in own else F.lit(None).cast(t).alias(c) for c, t in types.items())
-    return df.where(rect.area() < area_min).select(F.lit("small polygon").alias("tag"), *columns)
+    return df.where(area < area_min).select(F.lit("small polygon").alias("tag"), *columns)
 
 
 def with_dataset(tags: DataFrame, dets: DataFrame, labels: DataFrame) -> DataFrame:

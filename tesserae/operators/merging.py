@@ -42,6 +42,11 @@ def vote(merged: DataFrame, raw: DataFrame, merged_id: str, cell: float, keys: l
     """merged_id, score, det_class: the mean score of all raw rows that meet a merged one, and the class
     that covers most area among them, ties to the smaller class."""
     met = spatial.pairs(merged, raw, cell, keys).select(F.col(f"l.{merged_id}").alias(merged_id), F.col("r.score").alias("score"), F.col("r.det_class").alias("det_class"), rect.area("r.").alias("area"))
+    return voted(met, merged_id)
+
+
+def voted(met: DataFrame, merged_id: str) -> DataFrame:
+    """merged_id, score, det_class from a row (merged_id, score, det_class, area) for each raw row that a merged one meets."""
     mean = met.groupBy(merged_id).agg(F.avg("score").alias("score"))
     by_class = met.groupBy(merged_id, "det_class").agg(F.sum("area").alias("area"))
     top = by_class.groupBy(merged_id).agg(F.max_by("det_class", F.struct("area", -F.col("det_class"))).alias("det_class"))

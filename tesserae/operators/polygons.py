@@ -15,10 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions import rect
+from tesserae.operators import spatial
 from tesserae.operators.components import connected_components
 
 #: Shapes of a page; levels of a union's tree, and how much wider a level's cells are.
 PAGE, LEVELS, FAN = 256, 4, 8
+#: Points of a piece of an area, and its width in cells.
+POINTS, WIDE = 256, 16
 #: Negative segments ask the geometry library for sharp corners, up to that many times the distance away.
 MITRE = -5
 
@@ -84,14 +87,25 @@ def self_meetings(df: DataFrame, id_col: str, cell: float, mode: str = "shared",
     return _met(pages, pages, cell, len(same), mode, True)
 
 
-def pieces(areas: DataFrame, id_col: str, side: float) -> DataFrame:
-    """areas cut into pieces of at most `side`, with `of` (the area's identifier) in place of it, a number for each
-    piece and its bounds: wide shapes then cover few cells each."""
-    others = [c for c in areas.columns if c not in (id_col, "geometry", *rect.SIDES)]
-    cut = areas.select(F.col(id_col).alias("of"), *others, F.posexplode(geo("subdivide", "geometry", F.lit(float(side)))).alias("__n", "geometry"))
+def pieces(areas: DataFrame, id_col: str, side: float, points: int = 0) -> DataFrame:
+    """of (the area's identifier), geometry, piece (a number) and bounds of areas cut into pieces of at most `side`, or
+    of at most that many points."""
+    cut = areas.select(F.col(id_col).alias("of"), F.posexplode(geo("subdivide", "geometry", F.lit(float(side)), F.lit(points))).alias("__n", "geometry"))
     return with_bounds(cut.withColumn("piece", F.xxhash64("of", "__n")).drop("__n"))
 
 
+def pieces_near(areas: DataFrame, id_col: str, near: DataFrame, side: float) -> DataFrame:
+    """pieces of areas, cut at the lines of a grid and only in cells where `near` has shapes: a wide area then
+    costs what lies in it. Areas of many points are cut into simpler ones first."""
+    at = lambda c: F.floor(F.col(c) / F.lit(float(side))).cast("long")
+    there = near.select(F.explode(F.sequence(at("minx"), at("maxx"))).alias("cx"), "miny", "maxy").select("cx", F.explode(F.sequence(at("miny"), at("maxy"))).alias("cy")).distinct()
+    cells = there.select("cx", "cy", *(((F.col(c) + k) * float(side)).alias(s) for s, c, k in (("minx", "cx", 0), ("miny", "cy", 0), ("maxx", "cx", 1), ("maxy", "cy", 1))))
+    met = spatial.area_pairs(cells, pieces(areas, id_col, side, POINTS), side)
+    inside = rect.contains("l.", "r.")
+    cut = F.when(inside, F.col("r.geometry")).otherwise(geo("polygonal", geo("intersection", F.col("r.geometry"), geo("rectangle", *(F.col(f"l.{s}") for s in rect.SIDES)))))
+    return with_bounds(met.select(F.col("r.of").alias("of"), F.xxhash64("r.piece", "l.cx", "l.cy").alias("piece"), cut.alias("geometry")))
+
+
 def iou(met: str = "") -> Column:
     """Intersection over union of a 'shared' meeting; null for two shapes without area."""
     s, a, b = (F.col(f"{met}{c}") for c in ("shared", "area_l", "area_r"))
@@ -156,11 +170,10 @@ def single_parts(df: DataFrame) -> DataFrame:
     return df.select(*others, F.explode(geo("parts", "geometry")).alias("geometry")).select(*df.columns)
 
 
-def difference(left: DataFrame, right: DataFrame, id_col: str, cell: float, side: float | None = None) -> DataFrame:
-    """left with its geometry less everything of right that it meets; rows left empty go. With `side`, areas wider
-    than it are cut into pieces."""
+def difference(left: DataFrame, right: DataFrame, id_col: str, cell: float) -> DataFrame:
+    """left with its geometry less everything of right that it meets; rows left empty go."""
     areas = right.select("geometry").withColumn("__area", F.xxhash64("geometry"))
-    cut = pieces(areas, "__area", side or 16 * cell).dropDuplicates(["piece"])
+    cut = pieces_near(areas, "__area", left, WIDE * cell)
     hits = meetings(left, cut, id_col, "piece", cell, "take").groupBy("l").agg(union_of().alias("__taken"))
     joined = left.join(hits, F.col(id_col) == F.col("l"), "left").drop("l")
     out = joined.withColumn("geometry", F.when(F.col("__taken").isNull(), F.col("geometry")).otherwise(geo("polygonal", geo("difference", "geometry", "__taken"))))
@@ -172,21 +185,29 @@ def intersection(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     return meetings(left, right, left_id, right_id, cell, "clip", keys).select("l", "r", "geometry")
 
 
-def clipped_to(left: DataFrame, areas: DataFrame, left_id: str, area_id: str, cell: float, side: float | None = None) -> DataFrame:
+def clipped_to(left: DataFrame, areas: DataFrame, left_id: str, area_id: str, cell: float) -> DataFrame:
     """l, of, geometry: what of each left shape lies in each area, whose pieces are put together again."""
-    cut = pieces(areas.select(area_id, "geometry"), area_id, side or 16 * cell)
+    cut = pieces_near(areas, area_id, left, WIDE * cell)
     met = meetings(left, cut, left_id, "piece", cell, "clip").select("l", F.col("r").alias("piece"), "geometry")
     return met.join(cut.select("piece", "of"), "piece").groupBy("l", "of").agg(union_of().alias("geometry"))
 
 
-def overlap_sum(objects: DataFrame, layer: DataFrame, id_col: str, layer_id: str, cell: float, side: float | None = None) -> DataFrame:
+def overlap_sum(objects: DataFrame, layer: DataFrame, id_col: str, layer_id: str, cell: float) -> DataFrame:
     """id, ratio: the sum, over the layer's shapes, of the share of the object that each covers. It can pass 1
     where the layer overlaps itself."""
-    cut = pieces(layer.select(layer_id, "geometry"), layer_id, side or 16 * cell)
+    cut = pieces_near(layer, layer_id, objects, WIDE * cell)
     sums = meetings(objects, cut, id_col, "piece", cell, "shared").groupBy(F.col("l").alias(id_col)).agg(F.sum(F.try_divide("shared", "area_l")).alias("ratio"))
     return objects.select(id_col).join(sums, id_col, "left").select(id_col, F.coalesce("ratio", F.lit(0.0)).alias("ratio"))
 
 
+def nearest(left: DataFrame, areas: DataFrame, id_col: str, start: float, side: float | None = None) -> DataFrame:
+    """id, distance from each shape to the nearest of the areas, which are cut into pieces of `side` first (16 times
+    the start if none is given); 0 where they meet. Without areas there are no rows."""
+    cut = pieces(areas.select("geometry").withColumn("__area", F.xxhash64("geometry")), "__area", side or 16 * start).select("piece", "geometry", *rect.SIDES)
+    near = spatial.nearest(left.select(id_col, "geometry", *rect.SIDES), cut, id_col, "piece", start, geo("distance", F.col("l.geometry"), F.col("r.geometry")))
+    return near.groupBy(F.col(f"l.{id_col}").alias(id_col)).agg(F.min("distance").alias("distance"))
+
+
 # --- merging -----------------------------------------------------------------------------------------
 
 
@@ -229,5 +250,5 @@ def away_from(points: DataFrame, areas: DataFrame, shrink: float, cell: float, i
     """Rows whose centroid lies outside the areas, shrunk first (large waters without their shores)."""
     inner = grown(areas, [], -float(shrink), 16).withColumn("__area", F.xxhash64("geometry"))
     centres = with_bounds(points.select(id_col, geo("centroid", "geometry").alias("geometry")))
-    held = meetings(centres, pieces(inner, "__area", 16 * cell).dropDuplicates(["piece"]), id_col, "piece", cell).select(F.col("l").alias(id_col)).distinct()
+    held = meetings(centres, pieces_near(inner, "__area", centres, WIDE * cell), id_col, "piece", cell).select(F.col("l").alias(id_col)).distinct()
     return points.join(held, id_col, "left_anti")

@@ -87,13 +87,15 @@ def left_pairs(left: DataFrame, right: DataFrame, id_col: str, cell: float, **ho
     return found.unionByName(alone.select(F.struct(*left.columns).alias("l"), F.lit(None).cast(found.schema["r"].dataType).alias("r")))
 
 
-def nearest(left: DataFrame, right: DataFrame, id_col: str, right_id: str, start: float) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, id_col: str, right_id: str, start: float, distance: Column | None = None) -> DataFrame:
     """l, r, distance of the nearest right rows of each left row; ties give several rows.
 
     The reach doubles until every left row has a neighbour within it: those who have one are done, since
     nothing nearer can lie outside. The number of rounds is the logarithm of the longest distance, and no
     round goes beyond the extent of both tables. Rows without bounds, on either side, have no nearest row;
-    neither has any row if the other side is empty."""
+    neither has any row if the other side is empty. `distance`, over l.* and r.*, is the rectangles' if none is given; it
+    is never less than theirs."""
+    away = rect.distance("l.", "r.") if distance is None else distance
     sound = " AND ".join(f"{s} IS NOT NULL" for s in rect.SIDES)
     left, right = left.where(sound), right.where(sound)
     ends = lambda d: d.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy")).first()
@@ -104,7 +106,7 @@ def nearest(left: DataFrame, right: DataFrame, id_col: str, right_id: str, start
     waiting, waiting_path, reach, parts = left, None, float(start), []
     while True:
         grown = waiting.select(F.struct(*left.columns).alias("own"), *(c.alias(s) for s, c in rect.grown(reach).items()))
-        met = pairs(grown, right, reach).select(F.col("l.own").alias("l"), "r").withColumn("distance", rect.distance("l.", "r.")).where(F.col("distance") <= reach)
+        met = pairs(grown, right, reach).select(F.col("l.own").alias("l"), "r").withColumn("distance", away).where(F.col("distance") <= reach)
         best = met.groupBy(F.col(f"l.{id_col}").alias("__id")).agg(F.min("distance").alias("__d"))
         done, _ = store(met.join(best, (F.col(f"l.{id_col}") == F.col("__id")) & (F.col("distance") == F.col("__d"))).drop("__id", "__d"), "nearest")
         parts.append(done)

@@ -140,7 +140,7 @@ def test_union_of_a_crowd_without_lists(geo):
 
 def test_wide_areas_are_cut(geo):
     wide = frame(geo, [ring((0, 0), (1000, 0), (0, 1000)), box(-5, -5, 2000, 3)]).withColumnRenamed("id", "aid")
-    cut = polygons.pieces(wide.select("aid", "geometry"), "aid", 64)
+    cut = polygons.pieces(wide, "aid", 64)
     assert cut.where("maxx - minx > 64 OR maxy - miny > 64").count() == 0
     assert {r["of"]: pytest.approx(r["a"]) for r in cut.groupBy("of").agg(F.sum(polygons.area()).alias("a")).collect()} == {0: 500_000.0, 1: 2005 * 8.0}
     small = frame(geo, [box(490, 490, 510, 510), box(100, 100, 101, 101)])
