@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import drop, map_texts, store
 
 #: Tokens in an event row at most; tokens swept at once; distinct links of documents that make a block.
-STRETCH, SWEPT, BLOCK = 1 << 16, 1 << 20, 1 << 21
+STRETCH, SWEPT, BLOCK = 1 << 16, 1 << 18, 1 << 20
 EVENTS = "key long, id long, side int, at long, ids binary"
 SWEPT_ROWS = "block long, id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary, pair long, docs long"
 
@@ -78,7 +78,7 @@ def events(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", te
         row = np.array(k)
         yield pa.record_batch([pa.array((task << 33) + first + row), ids.take(pa.array(row)), pa.array(side, pa.int32()), pa.array(at, pa.int64()), pa.array(data, pa.binary())], ["key", "id", "side", "at", "ids"])
 
-    return map_texts(docs, run, EVENTS, id_col, text_col)
+    return map_texts(docs, run, EVENTS, id_col, text_col, most=1 << 20)
 
 
 class _Document:

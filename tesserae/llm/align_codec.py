@@ -12,6 +12,8 @@ from tesserae.llm.tokens import BYTE, Cutter, Encoder
 
 #: No id of either vocabulary; ids travel as 16 bits.
 BAD = 0xFFFF
+#: Characters cut at once: a worker holds two vocabularies with their words, so its arrays are kept small.
+SMALL_BLOCK = 1 << 18
 SPACE_MARK = "▁"
 
 
@@ -47,6 +49,8 @@ def _sums(size: np.ndarray, count: np.ndarray) -> np.ndarray:
 class ByteAligned(Encoder):
     """A byte-level vocabulary in which the strings of special tokens are plain text."""
 
+    block = SMALL_BLOCK
+
     def __init__(self, path: str):
         super().__init__(path, BYTE)
         self.tokenizer.encode_special_tokens = True
@@ -83,6 +87,8 @@ class PieceAligned(Encoder):
     """A piece vocabulary with byte fallback and no normalisation of its own, which puts a space in front of every
     text. Spaces within a piece only stand at its start, which the vocabulary is asked for."""
 
+    block = SMALL_BLOCK
+
     def __init__(self, path: str):
         import sentencepiece
 

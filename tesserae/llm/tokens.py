@@ -143,6 +143,8 @@ def _lower(text: str) -> str:
 class Encoder:
     """encode(texts) gives all ids in one array and where each text's ids begin."""
 
+    block = BLOCK
+
     def __init__(self, path: str, kind: str = BYTE):
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
         self.cutter = Cutter(self.tokenizer.pre_tokenizer, kind)
@@ -205,8 +207,8 @@ class Encoder:
 
     def _short(self, text: str, after: int) -> Iterator[tuple[str, int]]:
         a = 0
-        while len(text) - a > BLOCK:
-            b = text.find(" ", a + BLOCK // 2)
+        while len(text) - a > self.block:
+            b = text.find(" ", a + self.block // 2)
             while b > 0 and text[b - 1].isspace():
                 b = text.find(" ", b + 1)
             if b < 0:
@@ -225,7 +227,7 @@ class Encoder:
         parts, sizes, a = [], np.zeros(len(texts), np.int64), 0
         while a < len(pieces):
             b, chars = a, 0
-            while b < len(pieces) and (b == a or chars + len(pieces[b]) <= BLOCK):
+            while b < len(pieces) and (b == a or chars + len(pieces[b]) <= self.block):
                 chars += len(pieces[b])
                 b += 1
             ids, count = self._block(pieces[a:b])
