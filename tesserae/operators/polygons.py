@@ -22,7 +22,7 @@ from tesserae.operators.components import connected_components
 PAGE, LEVELS, FAN = 256, 4, 8
 #: Points of a piece of an area, and its width in cells.
 POINTS, WIDE = 256, 16
-#: Negative segments ask the geometry library for sharp corners, up to that many times the distance away.
+#: Negative segments ask for sharp corners, up to that many times the distance away.
 MITRE = -5
 
 

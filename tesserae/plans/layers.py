@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tesserae.config import Artifacts, Enrich, Fuse, Years
 from tesserae.functions import polygons as geo
 from tesserae.functions import rect
 from tesserae.operators import matching, polygons, selection
 from tesserae.plans import catalog as c
+from tesserae.plans import polygon_flows
 from tesserae.plans.fixtures import frame, with_clause
 from tesserae.sources import raster as tiff
 from tesserae.sources import vector
@@ -80,6 +82,96 @@ def polygon_proximity_groups(spark, d):
     return groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("members"))
 
 
+# --- flows on polygons: leaning shapes keep every area and overlap of the rectangles, so that SQL can judge ------------
+
+#: x' = x + y, y' = y.
+LEANING = (1.0, 1.0, 0.0, 0.0, 1.0, 0.0)
+
+
+def leaning(df):
+    """df with its rectangle as a parallelogram of the same area, and no bounds."""
+    shaped = _shapes(df).withColumn("geometry", F.call_function("geo_affine", F.col("geometry"), F.array(*(F.lit(x) for x in LEANING))))
+    return shaped.drop(*rect.SIDES)
+
+
+def numbered_tiles(spark, d):
+    return frame(spark, d, "fx_tile").withColumn("tile_no", F.shiftleft("tx", 32) + F.col("ty"))
+
+
+def _leaning_dets(spark, d):
+    geo.register(spark)
+    return leaning(c.det(spark, d))
+
+
+@query(c.ORACLE_SQL["model_fusion"].replace("minx, miny, maxx, maxy FROM f", f"{c.sql_area('f')} AS area FROM f"))
+def polygon_model_fusion(spark, d):
+    """The fusion of models on parallelograms."""
+    out = polygon_flows.fuse_models(_leaning_dets(spark, d), Fuse(small=30_000, most=60_000))
+    return out.select("merged_id", "group_id", "year_det", "count_dets", *(c.r6(x).alias(x) for x in ("presence", "merged_score", "second_iou")), _area("geometry").alias("area"))
+
+
+@query(c.ORACLE_SQL["year_fusion"])
+def polygon_year_fusion(spark, d):
+    """The fusion of years with sharp corners, whose unions have the bounds of the rectangles' groups."""
+    geo.register(spark)
+    rows = _shapes(c.det(spark, d)).withColumn("merged_score", F.col("score"))
+    out = polygon_flows.fuse_years(rows, Years(iou=0.8), segments=polygons.MITRE)
+    return out.select("group_id", "first_year", "last_year", "count_years", c.r6("merged_score").alias("score"), *(F.rint(s).cast("long").alias(s) for s in rect.SIDES))
+
+
+@query(with_clause("fx_det", "fx_tile", more=f"ca AS (SELECT * FROM (SELECT *, CAST(1 + merged_id % 4 AS INT) AS count_years FROM fx_det) x WHERE {c.sql_area('x')} > 20000 AND {c.sql_area('x')} < 60000 AND count_years <= 2), ti AS (SELECT ca.merged_id, round_even(max({c.sql_iou('ca', 't')}) * 100, 0) / 100 AS iou FROM ca JOIN fx_tile t ON t.tx BETWEEN ca.minx // 400 - 1 AND ca.maxx // 400 AND t.ty BETWEEN ca.miny // 400 - 1 AND ca.maxy // 400 AND {c.sql_meets('ca', 't')} GROUP BY ca.merged_id)") + " SELECT merged_id, ti.iou, coalesce(ti.iou >= 0.2, false) AS is_artifact FROM fx_det LEFT JOIN ti USING (merged_id)")
+def polygon_artifacts(spark, d):
+    """Tile-shaped detections among parallelograms; the number of years is made up from the id."""
+    dets = _leaning_dets(spark, d).withColumn("count_years", (1 + F.col("merged_id") % 4).cast("int"))
+    return polygon_flows.artifacts(dets, leaning(numbered_tiles(spark, d)), Artifacts(20_000, 60_000, 0.2), "merged_id").select("merged_id", "iou", "is_artifact")
+
+
+@query(with_clause("fx_det", "fx_label", more=c._tags) + " SELECT tag, det_id, label_id, iou, det_class, label_class FROM tg")
+def polygon_match(spark, d):
+    """Detections against ground truth, both parallelograms."""
+    dets, truth = (polygons.with_bounds(x) for x in (_leaning_dets(spark, d).withColumnRenamed("merged_id", "det_id"), leaning(c.labels(spark, d))))
+    return polygon_flows.tagged(dets, truth)
+
+
+@query(c.ORACLE_SQL["geometric_metrics"])
+def polygon_geometric_metrics(spark, d):
+    """Overlap of the unions of detections and labels by dataset."""
+    dets, truth = det_shapes(spark, d), _shapes(c.labels(spark, d).select("dataset", *rect.SIDES).distinct())
+    got = polygon_flows.geometric_metrics(dets, truth, ["dataset"], c.UNION_CELL)
+    return got.select("dataset", *(c.r6(x).alias(x) for x in ("iou", "geom_precision", "geom_recall", "area_error")))
+
+
+_enriched = (
+    "p AS (SELECT d.merged_id, d.site, a.canton, greatest(d.minx, a.minx) AS minx, greatest(d.miny, a.miny) AS miny, least(d.maxx, a.maxx) AS maxx, least(d.maxy, a.maxy) AS maxy, "
+    f"{c.sql_area('d')} AS own FROM fx_det d JOIN fx_aoi a ON {c.sql_meets('d', 'a')} WHERE {c.sql_shared('d', 'a')} > 0), "
+    "e AS (SELECT p.*, m.elevation FROM p JOIN fx_dem m ON m.tx = CAST(floor((minx + maxx) / 2.0 / 400) AS BIGINT) AND m.ty = CAST(floor((miny + maxy) / 2.0 / 400) AS BIGINT) "
+    "WHERE m.elevation <> 0 AND m.elevation < CASE canton WHEN 'ticino' THEN 900 ELSE 1100 END), "
+    "h AS (SELECT e.merged_id, e.canton, l.layer_key, greatest(e.minx, l.minx) AS minx, greatest(e.miny, l.miny) AS miny, least(e.maxx, l.maxx) AS maxx, least(e.maxy, l.maxy) AS maxy "
+    f"FROM e JOIN fx_layer l ON l.layer_id // 2 = e.site AND {c.sql_shared('e', 'l')} > 0), "
+    f"u AS (SELECT merged_id, canton, layer_key, sum({c.sql_area('h')}) AS s, sum({c.sql_area('h')}) - CASE WHEN count(*) = 2 THEN greatest(min(maxx) - max(minx), 0) * greatest(min(maxy) - max(miny), 0) ELSE 0 END AS lost FROM h GROUP BY ALL), "
+    f"v AS (SELECT e.merged_id, e.canton, e.elevation, e.own, {c.sql_area('e')} - coalesce(f.lost, 0) AS valid, coalesce(w.s, 0) AS wet FROM e LEFT JOIN u f ON f.merged_id = e.merged_id AND f.canton = e.canton AND f.layer_key = 'forests' "
+    "LEFT JOIN u w ON w.merged_id = e.merged_id AND w.canton = e.canton AND w.layer_key = 'waters')"
+)
+
+
+@query(with_clause("fx_det", "fx_aoi", "fx_dem", "fx_layer", more=_enriched) + " SELECT merged_id, canton, elevation, CAST(valid AS BIGINT) AS valid_area, round_even(valid / own::DOUBLE * 100, 0) / 100 AS area_ratio, round_even(wet / valid::DOUBLE * 1000, 0) / 1000 AS waters FROM v WHERE valid > 100")
+def polygon_enrich(spark, d):
+    """Detections cut to areas of interest millions of metres wide, less the forests, with the share of waters."""
+    dets = det_shapes(spark, d).select("merged_id", "geometry")
+    layers = {k: _shapes(frame(spark, d, "fx_layer").where(F.col("layer_key") == k)).select("geometry") for k in ("forests", "waters")}
+    settings = Enrich(elevation={"ticino": 900.0, "vaud": 1100.0}, area_ratio=-1.0, exclude=("forests",), overlap=("waters",))
+    out = polygon_flows.filter_and_enrich(dets, _shapes(frame(spark, d, "fx_aoi")), frame(spark, d, "fx_dem"), layers, settings, "merged_id", dem_size=400)
+    return out.select("merged_id", "canton", "elevation", F.rint("valid_area").cast("long").alias("valid_area"), "area_ratio", "waters")
+
+
+@query("")
+def polygon_merge_within_year(spark, d):
+    """Detections that tiles have cut made whole, with round corners: no SQL, golden areas in tests/test_polygon_flows.py."""
+    geo.register(spark)
+    raw, tiles = (_shapes(x) for x in (c.det(spark, d), numbered_tiles(spark, d)))
+    return polygon_flows.merge_within_year(raw, tiles, id_col="merged_id").select("merged_id", "year_det", "det_class", c.r6("score").alias("score"), F.round(polygons.area(), 3).alias("area"))
+
+
 @query(with_clause("fx_dem") + " SELECT CAST(tx AS BIGINT) AS tx, CAST(ty AS BIGINT) AS ty, elevation FROM fx_dem")
 def raster_scan(spark, d):
     """The elevation model written as GeoTIFF files of one row each, and scanned: a pixel is a cell of 400 m."""

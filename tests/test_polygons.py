@@ -49,6 +49,7 @@ def test_scalars(geo):
     assert value(geo, "geo_distance(g0, g1)", square, box(13, 14, 20, 20)) == 5
     assert value(geo, "geo_area(geo_buffer(g0, 10.0D, 16))", square) == pytest.approx(100 + 400 + math.pi * 100, rel=1e-2)
     assert value(geo, "geo_area(geo_buffer(g0, 10.0D, 2))", square) == pytest.approx(100 + 400 + 16 * 50 * math.sin(math.pi / 4) / 2, rel=1e-6)
+    assert value(geo, "geo_area(geo_buffer(g0, 10.0D, -5))", square) == 900
     assert value(geo, "geo_bounds(geo_scale(g0, 0.5D))", square) == [2.5, 2.5, 7.5, 7.5]
     bow = ring((0, 0), (10, 10), (10, 0), (0, 10))
     assert value(geo, "geo_isvalid(g0)", bow) is False and value(geo, "geo_area(geo_makevalid(g0))", bow) == 50
