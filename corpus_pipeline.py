@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxicity
-from tesserae.llm.common import store, table, text_or_empty
+from tesserae.llm.common import drop, store, table, text_or_empty
 from tesserae.llm.queries import vocabulary
 
 #: Five-word shingles, linked from a similarity of 0.8; repeated runs of more than 50 words, found as strings
@@ -35,12 +35,12 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest identifier. Documents without an
-    identifier or without words stay. Rows that repeat an identifier are one document."""
-    name = _free(docs, "__gone")
+    """Of each group of near copies, the document with the smallest identifier. Documents without words stay.
+    Rows are told apart by identifier and text, so those that share an identifier go each by its own text."""
+    gone_id, gone_at = _free(docs, "__gone"), _free(docs, "__at")
     found = near_dedup.components(spark, docs, SHINGLE, PERCENT)
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(name)).distinct()
-    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
+    gone = found.where("NOT kept").select(near_dedup.label("id").alias(gone_id), F.col("at").alias(gone_at)).distinct()
+    return docs.join(gone, (near_dedup.label() == F.col(gone_id)) & (near_dedup.text_hash() == F.col(gone_at)), "left_anti")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,10 +69,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, each one's rows stored before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents table, each one's rows stored before the next, whose input goes then."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = store(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs, path = store(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before:
+            drop(spark, before)
+        before = path
     return docs
 
 

@@ -1,6 +1,7 @@
 """Near-duplicate groups by MinHash and an LSH forest.
 
-1. Documents with the same set of shingles form a class, whose smallest identifier stands for it.
+1. Documents with the same set of shingles form a class. A class is a node of the graph, whatever identifiers its
+   rows have; its row with the smallest identifier and text hash stands for it.
 2. Forest: every class enters each of TREES orders with that tree's DEPTH signature values as its key.
    Orders are range-partitioned and sorted. Neighbours within WINDOW rows whose keys share a prefix of
    MIN_DEPTH values are candidates. Depth adapts by region: where more than WINDOW rows share a prefix,
@@ -16,7 +17,9 @@
 4. Components of the links, labelled by smallest identifier.
 
 Nothing is capped: a group of any size is spread over the ranges of each order. Null, empty and blank
-texts have no shingles and are linked with nothing. Rows that repeat an identifier are one node.
+texts have no shingles and are linked with nothing. Rows that repeat an identifier with other texts are linked as
+their texts are, each on its own, and so are rows without an identifier, whose label is null where none of their group has
+one. Repeated rows are one document. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -32,23 +35,38 @@ from tesserae.operators.components import connected_components
 TREES, DEPTH, MIN_DEPTH, WINDOW = 12, 8, 2, 12
 SMALL_ROWS, SMALL_SHINGLES = 256, 4_000_000
 BLOCK, COUNT_BITS, SHARED_BITS = 1024, 18, 20
+#: Node numbers of classes that have no identifier of their own begin here; the label of rows without one.
+SPARE, NONE = 1 << 62, 2**63 - 1
+
+
+def text_hash(text_col: str = "text"):
+    """Where a row's text is found again, beside its identifier; `sketches` makes the same number."""
+    return F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0))
+
+
+def label(id_col: str = "doc_id"):
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NONE))
 
 
 def sketches(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, digest of the set, signature (TREES * DEPTH little-endian 32-bit values)."""
+    """id, at (hash of the text), n_shingles, digest of the set, signature (TREES * DEPTH little-endian 32-bit values)."""
 
     def run(ids, texts):
         import hashlib
 
+        import xxhash
+
         from tesserae.llm.shingles import shingle_sets, signatures
 
-        sets = shingle_sets([(t or "").encode() for t in texts], k)
+        raw = [(t or "").encode() for t in texts]
+        at = np.array([xxhash.xxh64_intdigest(t, 42) for t in raw], np.uint64).view(np.int64)
+        sets = shingle_sets(raw, k)
         sig = signatures(sets, TREES * DEPTH).astype("<u4")
         yield pa.record_batch(
-            [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]), pa.array([r.tobytes() for r in sig])],
-            ["id", "n_shingles", "digest", "signature"])
+            [ids, pa.array(at), pa.array([len(s) for s in sets], pa.int64()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]), pa.array([r.tobytes() for r in sig])],
+            ["id", "at", "n_shingles", "digest", "signature"])
 
-    return map_texts(docs, run, "id long, n_shingles long, digest binary, signature binary", id_col, text_col, 2 << 20)
+    return map_texts(docs, run, "id long, at long, n_shingles long, digest binary, signature binary", id_col, text_col, 2 << 20)
 
 
 def _order_rows(classes: DataFrame, extra: list[str]) -> DataFrame:
@@ -357,9 +375,10 @@ def _rest_links(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """wanted (id, cluster, ...) with the full set of each."""
-    cols = [c for c in wanted.columns if c != "id"]
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "id")  # the ids grow with the corpus
+    """wanted (id, label, at, cluster, ...) with the full set of each: id, set, cluster, ... Repeated rows give one."""
+    cols = [c for c in wanted.columns if c not in ("id", "label", "at")]
+    rows = docs.select(label(id_col).alias("label"), text_hash(text_col).alias("at"), F.col(text_col).alias("text")).join(wanted.hint("merge"), ["label", "at"])  # they grow with the corpus
+    texts = rows.groupBy("label", "at").agg(*(F.first(c).alias(c) for c in ("id", "text", *cols))).select("id", "text", *cols)
     schema = "id long, set binary, " + ", ".join(f"{c} {dict(wanted.dtypes)[c].replace('bigint', 'long')}" for c in cols)
 
     def run(batches):
@@ -376,19 +395,23 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col
 
 
 def components(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id of each row."""
+    """id, at (hash of the text), n_shingles, component_id, kept of each row. One row of a group is kept, or a row and
+    its repetitions: the one with the smallest identifier, then hash. Rows without shingles are kept."""
     held, held_path = store(sketches(docs, k, id_col, text_col), "sketches")
-    slim = held.select("id", "n_shingles", "digest")
-    grouped = held.where("n_shingles > 0").groupBy("digest").agg(F.min(F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("id"), "n_shingles", "signature")).alias("c"))
-    classes, classes_path = store(grouped.select("digest", "c.*"), "classes")
+    slim = held.select("id", "at", "n_shingles", "digest")
+    grouped = held.where("n_shingles > 0").groupBy("digest").agg(F.min(F.struct(label("id").alias("label"), "at", "n_shingles", "signature")).alias("c"))
+    base, _ = store(grouped.select("digest", "c.*", (F.lit(SPARE) + F.monotonically_increasing_id()).alias("spare")), "classes")
+    twice, twice_path = store(base.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("label", F.lit(True).alias("twice")), "twice")
+    own = F.col("twice").isNull() & (F.col("label") < SPARE)
+    classes = base.join(twice, "label", "left").withColumn("id", F.when(own, F.col("label")).otherwise(F.col("spare"))).drop("twice", "spare")
     made: list[str] = []
     rough, rough_path = store(candidates(classes, percent), "candidates")
     clusters, clusters_path = store(connected_components(rough, made=made), "clusters")
     drop(spark, rough_path, *made)
-    sized = clusters.withColumnRenamed("component", "cluster").withColumnRenamed("node", "id").join(classes.select("id", "n_shingles"), "id")
+    sized = clusters.withColumnRenamed("component", "cluster").withColumnRenamed("node", "id").join(classes.select("id", "label", "at", "n_shingles"), "id")
     total = sized.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles"))
     large, large_path = store(total.where((F.col("rows") > SMALL_ROWS) | (F.col("shingles") > SMALL_SHINGLES)).select("cluster"), "large")
-    wanted = sized.join(large.withColumn("is_large", F.lit(True)), "cluster", "left").select("id", "cluster", F.coalesce("is_large", F.lit(False)).alias("is_large"))
+    wanted = sized.join(large.withColumn("is_large", F.lit(True)), "cluster", "left").select("id", "label", "at", "cluster", F.coalesce("is_large", F.lit(False)).alias("is_large"))
     members, members_path = store(_with_sets(docs, wanted, k, id_col, text_col), "members")
     links, links_path = store(_small_links(members.where("NOT is_large"), percent), "links")
     used = [links_path, clusters_path, large_path, members_path]
@@ -403,9 +426,13 @@ def components(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
             links, used = links.union(exact), [*used, exact_path]
             drop(spark, sharing_path)
         drop(spark, rest_path)
-    made = []
-    reached, _ = store(connected_components(links, made=made), "components")
-    drop(spark, *used, *made)
-    named = classes.select("digest", F.col("id").alias("rep")).join(reached.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    out = slim.join(named, "digest", "left").select("id", "n_shingles", F.when(F.col("component") < 2**63 - 1, F.col("component")).otherwise(F.col("id")).alias("component_id"))
-    return out
+    reached, reached_path = store(connected_components(links, made=used), "components")
+    node = classes.select("digest", F.col("id").alias("node"), F.struct("label", "at").alias("own"))
+    joined = reached.join(node, "node")
+    linked = joined.join(joined.groupBy("component").agg(F.min("own").alias("rep")), "component").select("digest", "rep")
+    named, _ = store(node.select("digest", "own").join(linked, "digest", "left").select("digest", F.coalesce("rep", "own").alias("rep")), "named")
+    drop(spark, *used, reached_path, twice_path)
+    out = slim.join(named, "digest", "left")
+    component = F.when(F.col("rep.label") < NONE, F.col("rep.label")).otherwise(F.col("id"))
+    first = F.col("rep").isNull() | ((label("id") == F.col("rep.label")) & (F.col("at") == F.col("rep.at")))
+    return out.select("id", "at", "n_shingles", component.alias("component_id"), first.alias("kept"))

@@ -4,8 +4,10 @@ Letters may be written as look-alike signs, spelt with gaps or stretched. Where
 these (a token with a letter and a sign, three equal letters in a row, single letters in a row), the stretch
 becomes a lattice of letters: each sign stands for any of its readings, for itself, or for nothing; in
 runs of 2 to MASK stars each stands for any letter. A Viterbi search takes the likeliest path under a
-trigram model of letters times the channel's costs, for all stretches of a batch at once. Tokens of more
-than LONG characters are read in pieces of that many. A stretch without a sign between letters, at the start
+trigram model of letters times the channel's costs, for all stretches of a batch at once. Stretches of more
+than LONG characters are cut where two characters have one reading only, which leaves the path no choice;
+where they have no such place, a search of their own passes on what all paths have in common. Either way the reading is that of the
+whole stretch. A stretch without a sign between letters, at the start
 of a word or four letters in a row may as well be a code or plain: its reading is added to it, and doesn't
 replace it. Everything else has one path and stays as it is.
 
@@ -211,10 +213,10 @@ class Channel:
         """The worth of an end after each state."""
         return np.where(state & 63, self.model.reshape(-1)[state << 6], 0.0)
 
-    def search(self, stretches: list[str]) -> list[str]:
+    def search(self, stretches: list[str], first: list[int] | None = None) -> list[str]:
         """The likeliest reading of each stretch: all of them take a Viterbi step at a time. A state is the
         last two letter classes; of the ways into one, the best stays. Stars at the end, which many stretches
-        have alike, are searched once from all states."""
+        have alike, are searched once from all states. `first` are the states before the stretches."""
         cut = [m.start() if (m := TAIL.search(s)) and m.start() else len(s) for s in stretches]
         order = sorted(range(len(stretches)), key=lambda k: -cut[k])
         size, stop = np.array([len(stretches[k]) for k in order]), np.array([cut[k] for k in order])
@@ -227,7 +229,7 @@ class Channel:
         number = {t: i + 1 for i, t in enumerate(distinct)} | {"": 0}
         which, tails = np.array([number[t] for t in ends]), np.stack(tails)
         n, longest = len(order), int(stop[0])
-        own, state, score = np.arange(n), np.zeros(n, np.int64), np.zeros(n)
+        own, state, score = np.arange(n), np.array(first, np.int64)[order] if first else np.zeros(n, np.int64), np.zeros(n)
         steps, final, closing = [], np.zeros(n, np.int64), np.zeros(n, np.int64)
         for i in range(longest):
             at = begin[own] + i
@@ -254,23 +256,73 @@ class Channel:
             restored[k] = row[row > 0].tobytes().decode("utf-32-le") + (self.tail(t)[1][last] if t else "")
         return restored
 
+    def alone(self, stretch: str, first: int) -> str:
+        """The reading of one stretch of any length. Every LONG characters, what lies before the last state that all
+        paths have passed is settled and forgotten."""
+        code = np.frombuffer(stretch.encode("utf-32-le"), np.uint32).astype(np.int64)
+        kind = self.table.kinds(code, np.zeros(1, np.int64), np.array([len(code)]))
+        state, score, steps, settled = np.array([first]), np.zeros(1), [], []
+
+        def back(upto: int, at: int) -> None:
+            signs = []
+            for source, out in reversed(steps[:upto]):
+                signs.append(int(out[at]))
+                at = int(source[at])  # of the first step that is left, a place in what is settled
+            settled.append("".join(chr(s) for s in reversed(signs) if s))
+
+        for i in range(len(code)):
+            source, out, _, new, worth = self.ways(np.zeros(len(state), np.int64), state, score, np.full(len(state), kind[i]), np.full(len(state), code[i]))
+            best = np.lexsort((-worth, new))
+            best = best[np.concatenate(([True], np.diff(new[best]) != 0))]
+            state, score = new[best], worth[best] - worth[best].max()
+            steps.append((source[best], out[best]))
+            if len(steps) >= 2 * LONG and len(steps) % LONG == 0:
+                at, k = np.arange(len(state)), len(steps)
+                while k and len(at) > 1:
+                    k -= 1
+                    at = np.unique(steps[k][0][at])
+                if k:
+                    back(k, int(at[0]))
+                    steps = steps[k:]
+        back(len(steps), int(np.argmax(score + self.ending(state))))
+        return "".join(settled)
+
+    def cuts(self, stretch: str) -> list[tuple[str, int]]:
+        """A long stretch in pieces with the state before each. Cuts lie behind two characters that have one reading and before a
+        different one, so that neither the path nor a character's kind depends on what lies beyond."""
+        code = np.frombuffer(stretch.encode("utf-32-le"), np.uint32).astype(np.int64)
+        plain = self.table.kinds(code, np.zeros(1, np.int64), np.array([len(code)])) == self.table.PLAIN
+        free = np.flatnonzero(plain[:-2] & plain[1:-1] & (code[2:] != code[1:-1])) + 2
+        cls, out, a, state = letter_class(code), [], 0, 0
+        while len(code) - a > LONG:
+            k = int(np.searchsorted(free, a + LONG // 2))
+            if k == len(free):
+                break
+            b = int(free[k])
+            out.append((stretch[a:b], state))
+            a, state = b, int(cls[b - 2] << 6 | cls[b - 1])
+        return [*out, (stretch[a:], state)]
+
     def readings(self, stretches: list[str]) -> dict[str, str]:
-        """Readings of the distinct stretches. Those of more than LONG characters are read in pieces."""
+        """Readings of the distinct stretches."""
         if len(self.known) > 200_000:
             self.known = {}
         known = self.known
         fresh = [s for s in dict.fromkeys(stretches) if s not in known]
-        pieces = list(dict.fromkeys(s[x : x + LONG] for s in fresh for x in range(0, len(s), LONG)))
-        pieces.sort(key=len)
+        parts = {s: self.cuts(s) if len(s) > LONG else [(s, 0)] for s in fresh}
+        pieces = sorted({p for s in parts.values() for p in s}, key=lambda p: len(p[0]))
         found, x = {}, 0
+        while pieces and len(pieces[-1][0]) > 4 * LONG:
+            longest = pieces.pop()
+            found[longest] = self.alone(*longest)
         while x < len(pieces):
             y = x + 1
             while y < len(pieces) and y - x < 4096:
                 y += 1
-            found.update(zip(pieces[x:y], self.search(pieces[x:y])))
+            found.update(zip(pieces[x:y], self.search([p for p, _ in pieces[x:y]], [s for _, s in pieces[x:y]])))
             x = y
         for s in fresh:
-            known[s] = "".join(found[s[x : x + LONG]] for x in range(0, len(s), LONG))
+            known[s] = "".join(found[p] for p in parts[s])
         return known
 
     def restored(self, texts: list[str]) -> list[str]:

@@ -64,11 +64,26 @@ def test_odd_tables(spark, tmp_path):
         assert got.columns == docs.columns, name
         want = got
     left = {r["doc_id"]: r for r in want.collect()}
-    assert sorted(left, key=str) == sorted([*range(14), None], key=str)  # blank texts are copies; the longest with the smallest id stays
-    assert all(r[c] == f"{c}{i}" for i, r in left.items() if i is not None for c in EXTRA)
+    assert sorted(left) == [*range(14)]  # blank texts are copies, the longest with the smallest id stays; the row without an id is a near copy
+    assert all(r[c] == f"{c}{i}" for i, r in left.items() for c in EXTRA)
     assert left[12]["text"] == texts[12]
     pieces = corpus_pipeline.pack(spark, want, str(tmp_path)).collect()
     assert {r["doc_id"] for r in pieces} == set(left)
     none = docs.where("false")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, str(tmp_path)).count() == 0, name
+
+
+def test_near_copies_go_by_text(spark, tmp_path):
+    """Rows that share an identifier, or have none, go each by its own text; a unique text is never lost."""
+    rng = random.Random(12)
+    text = lambda: [("".join(rng.choice("abcdefgh") for _ in range(6))) for _ in range(60)]
+    a, b, c = text(), text(), text()
+    near = lambda t, k: " ".join([*t[:-1], f"end{k}"])
+    rows = [(1, near(a, 1)), (5, near(a, 2)), (5, " ".join(b)), (None, near(c, 1)), (None, near(c, 2)), (None, near(b, 3)), (None, "alone here without any copy at all"), (9, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, __gone string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    got = [tuple(r)[:2] for r in left.collect()]
+    assert {t for _, t in got} - {near(c, 1), near(c, 2)} == {near(a, 1), " ".join(b), "alone here without any copy at all", None, ""}
+    assert len([t for _, t in got if t in (near(c, 1), near(c, 2))]) == 1 and len(got) == 6

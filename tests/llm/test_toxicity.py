@@ -158,3 +158,24 @@ def test_clashing_columns_and_repeated_rows(spark, data):
     got = {r["id"]: r["score"] for r in toxicity.scored(odd, model).collect()}
     assert len(got) == 15 and len({got[i] for i in (0, 1, 5, 6, 10, 11)}) == 1 and got[2] == got[3]
     assert toxicity.without_toxic(spark, odd, spark.createDataFrame([], "doc_id long, toxic int")).count() == 15
+
+
+def test_long_stretches_are_read_as_a_whole(data, monkeypatch):
+    """Wherever a word stands in a long token, and whatever surrounds it, cutting changes nothing."""
+    _, _, _, model = data
+    rng = random.Random(11)
+    signs = "".join(toxicity.READINGS)
+    texts = ["qwertzuiop" * (k // 10) + "asdfghjkly"[: k % 10] + "-1d10t-st*pid" for k in range(0, 230, 3)]
+    texts += ["".join(rng.choice(pool) for _ in range(rng.randrange(90, 700))) for pool in ("abide" + signs, signs + "a", "ab" + signs + "  ", "aab!*", "garden river") for _ in range(6)]
+    texts += ["s t u p i d " * 60, "1.d.1.0.t." * 80, "*" * 300, "a*" * 200, "river" * 50 + "!!!", "stone-" * 40 + "****!"]
+
+    def read(long):
+        monkeypatch.setattr(toxicity, "LONG", long)
+        return toxicity.Channel(model.letters).readings(texts)
+
+    whole = read(10**9)
+    for long in (96, 20, 5):
+        assert read(long) == whole
+    channel = toxicity.Channel(model.letters)
+    assert all(channel.alone(t, 0) == whole[t] for t in texts)
+    assert all("stupid" in whole[t] for t in texts[:77])
