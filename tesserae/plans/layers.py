@@ -172,18 +172,32 @@ def polygon_merge_within_year(spark, d):
     return polygon_flows.merge_within_year(raw, tiles, id_col="merged_id").select("merged_id", "year_det", "det_class", c.r6("score").alias("score"), F.round(polygons.area(), 3).alias("area"))
 
 
-@query(with_clause("fx_dem") + " SELECT CAST(tx AS BIGINT) AS tx, CAST(ty AS BIGINT) AS ty, elevation FROM fx_dem")
-def raster_scan(spark, d):
-    """The elevation model written as GeoTIFF files of one row each, and scanned: a pixel is a cell of 400 m."""
+def _dem_files(spark, d):
+    """The elevation model written as GeoTIFF files of one row each, a pixel a cell of 400 m; -1 where there is none."""
     tiff.register(spark)
     dem = frame(spark, d, "fx_dem")
-    rows = dem.groupBy("ty").agg(F.min("tx").alias("a"), F.max("tx").alias("b"), F.map_from_entries(F.collect_list(F.struct("tx", "elevation"))).alias("m"))
+    rows = dem.groupBy("ty").agg(F.min("tx").alias("a"), F.max("tx").alias("b"), F.map_from_entries(F.collect_list(F.struct("tx", "elevation"))).alias("m"))  # a row of the model
     bands = F.array(F.transform(F.sequence("a", "b"), lambda x: F.coalesce(F.col("m")[x], F.lit(-1.0))))
     files = rows.select(F.format_string("row%d", "ty").alias("source"), F.lit(1).alias("h"), (F.col("b") - F.col("a") + 1).cast("int").alias("w"), (F.col("a") * 400.0).alias("x0"), ((F.col("ty") + 1) * 400.0).alias("y0"), F.lit(400.0).alias("dx"), F.lit(400.0).alias("dy"), bands.alias("bands"))
-    path = scratch(spark, "dem")
-    files.write.format("geotiff").mode("append").option("path", path.removeprefix("file:")).option("dtype", "float32").save()
+    path = scratch(spark, "dem").removeprefix("file:")
+    files.write.format("geotiff").mode("append").option("path", path).option("dtype", "float32").save()
+    return path
+
+
+@query(with_clause("fx_dem") + " SELECT CAST(tx AS BIGINT) AS tx, CAST(ty AS BIGINT) AS ty, elevation FROM fx_dem")
+def raster_scan(spark, d):
+    """The elevation model's files scanned by ranges."""
     at = lambda v: F.floor(F.col(v) / 400).cast("long")
-    return tiff.pixels(tiff.read(spark, path, [1])).where("value >= 0").select(at("x").alias("tx"), at("y").alias("ty"), F.col("value").alias("elevation"))
+    chunks = spark.read.format("geotiff").load(_dem_files(spark, d)).where("band = 1")
+    return tiff.pixels(chunks).where("value >= 0").select(at("x").alias("tx"), at("y").alias("ty"), F.col("value").alias("elevation"))
+
+
+@query(c.ORACLE_SQL["dem_sample"])
+def dem_from_files(spark, d):
+    """Elevations under the detections' centres, straight from the files."""
+    centres = c.det(spark, d).select("merged_id", ((F.col("minx") + F.col("maxx")) / 2).alias("x"), ((F.col("miny") + F.col("maxy")) / 2 + 1e-6).alias("y"))
+    got = tiff.sample_files(centres, spark, _dem_files(spark, d), "merged_id", value="elevation", cell=400)
+    return got.select("merged_id", F.when(F.col("elevation") >= 0, F.col("elevation")).alias("elevation"))
 
 
 @query(with_clause("fx_det") + " SELECT 3::BIGINT AS files, count(*) AS rows, count(*) / 3::DOUBLE AS average FROM fx_det")

@@ -1,33 +1,35 @@
 """GeoTIFF files as tables of chunks, and back.
 
-Files are listed and read by Spark's own binary source, so any path that it reaches will do; a task decodes
-its files. A chunk is a strip or tile of one band: source, band (from 1), row0, col0, h, w, the place of its
-upper left corner (x0, y0), the pixel's size (dx, dy) and values in row order. Read are 8 to 64-bit whole and
-floating-point samples, in strips or tiles, chunky or planar, without compression or deflated, with or
-without horizontal differencing; other compressions are an error. A file without georeference lies at (0, 0)
-with pixels of size 1, rows running downwards.
+A chunk is a strip or tile of one band: source, band (from 1), row0, col0, h, w, the place of its upper left
+corner (x0, y0), the pixel's size (dx, dy) and values in row order. `tesserae.sources.tiff` has what is read of the
+format. A file without georeference lies at (0, 0) with pixels of size 1, rows running downwards.
+
+Three ways in. The data source "geotiff" reads chunks by ranges: large files are split, small ones share a
+task, and chunks outside `bands` or `bbox` (options, or filters on band, x0, y0, x1, y1) aren't touched.
+`sample_files` reads only the chunks that hold points. `read` takes files whole through Spark's binary source, for
+stores that only Spark reaches, up to 2 GB each.
 """
 
 from __future__ import annotations
 
 import struct
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
+from tesserae.sources import tiff
+from tesserae.sources.tiff import TAGS, TYPES
 from tesserae.sources.vector import _fs, _Writer
 
 SCHEMA = "source string, band int, row0 int, col0 int, h int, w int, x0 double, y0 double, dx double, dy double, values array<double>"
-#: Tags and field types of the file format.
-TAGS = {
-    "width": 256, "height": 257, "bits": 258, "compression": 259, "photometric": 262, "strip_offsets": 273, "samples": 277, "rows_per_strip": 278, "strip_counts": 279, "planar": 284,
-    "predictor": 317, "tile_width": 322, "tile_height": 323, "tile_offsets": 324, "tile_counts": 325, "format": 339, "scale": 33550, "tie": 33922,
-}
-TYPES = {1: "B", 2: "c", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q"}
+#: What ranges give besides: the lower right corner, and the bytes that the chunk takes in its file.
+RANGE_SCHEMA = SCHEMA + ", x1 double, y1 double, stored long"
+SUFFIXES = (".tif", ".tiff")
+#: Stored bytes of a task, and files of one at most.
+SPLIT, FILES = 32 << 20, 1000
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
@@ -36,54 +38,18 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
-def _tags(data: bytes) -> tuple[str, dict[int, tuple]]:
-    order = {b"II": "<", b"MM": ">"}.get(data[:2])
-    if order is None or struct.unpack_from(order + "H", data, 2)[0] != 42:
-        raise ValueError("not a TIFF file")
-    at = struct.unpack_from(order + "I", data, 4)[0]
-    found = {}
-    for k in range(struct.unpack_from(order + "H", data, at)[0]):
-        tag, kind, n = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
-        if kind in TYPES:
-            size = struct.calcsize(TYPES[kind]) * n
-            place = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "I", data, at + 10 + 12 * k)[0]
-            found[tag] = struct.unpack_from(f"{order}{n}{TYPES[kind]}", data, place)
-    return order, found
-
-
 def chunks_of(data: bytes):
     """band, row0, col0, (h, w) values, and the georeference (x0, y0, dx, dy) of each chunk of a file."""
-    order, found = _tags(data)
-    get = lambda name, default=None: found.get(TAGS[name], default)
-    width, height, samples = get("width")[0], get("height")[0], get("samples", (1,))[0]
-    bits, kind = get("bits", (8,))[0], get("format", (1,))[0]
-    compression, predictor, planar = get("compression", (1,))[0], get("predictor", (1,))[0], get("planar", (1,))[0]
-    if compression not in (1, 8, 32946) or predictor not in (1, 2):
-        raise ValueError(f"compression {compression} with predictor {predictor} is not read")
-    dtype = np.dtype(f"{order}{ {1: 'u', 2: 'i', 3: 'f'}[kind]}{bits // 8}")
-    dx, dy = (get("scale") or (1.0, 1.0, 0.0))[:2]
-    tie = get("tie") or (0.0,) * 6
-    left, top = tie[3] - tie[0] * dx, tie[4] + tie[1] * dy
-    tiled = get("tile_width") is not None
-    w, h = (get("tile_width")[0], get("tile_height")[0]) if tiled else (width, min(height, get("rows_per_strip", (height,))[0]))
-    offsets, counts = (get("tile_offsets"), get("tile_counts")) if tiled else (get("strip_offsets"), get("strip_counts"))
-    across, per_chunk = -(-width // w), samples if planar == 1 else 1
-    down = -(-height // h)
-    for k, (a, n) in enumerate(zip(offsets, counts)):
-        plane, place = divmod(k, across * down)
-        row0, col0 = place // across * h, place % across * w
-        rows = h if tiled else min(h, height - row0)
-        raw = data[a : a + n] if compression == 1 else zlib.decompress(data[a : a + n])
-        block = np.frombuffer(raw, dtype, rows * w * per_chunk).reshape(rows, w, per_chunk)
-        if predictor == 2:
-            block = np.cumsum(block, 1, dtype=dtype.newbyteorder("="))
-        block = block[: height - row0, : width - col0]
-        for s in range(per_chunk):
-            yield (plane if planar == 2 else s) + 1, row0, col0, block[:, :, s], (left + col0 * dx, top - row0 * dy, dx, dy)
+    head = tiff.header(lambda at, n: data[at : at + n])
+    for k, (at, n) in enumerate(zip(head.offsets, head.counts)):
+        plane, row0, col0, _, _ = head.at(k)
+        values = tiff.block(head, k, data[at : at + n])
+        for s in range(values.shape[2]):
+            yield (plane if head.planar == 2 else s) + 1, row0, col0, values[:, :, s], (*head.corner(row0, col0), *head.place[2:])
 
 
 def read(spark: SparkSession, path: str, bands: list[int] | None = None) -> DataFrame:
-    """The chunks of all rasters below a path, of the given bands or all."""
+    """The chunks of all rasters below a path, of the given bands or all. Files are taken whole."""
     wanted = None if bands is None else set(bands)
 
     def run(batches):
@@ -100,6 +66,144 @@ def read(spark: SparkSession, path: str, bands: list[int] | None = None) -> Data
     return files.select("path", "content").mapInArrow(run, SCHEMA)
 
 
+def _files(path: str) -> list[tuple[str, int]]:
+    """Rasters below a path and their lengths."""
+    from pyarrow.fs import FileSelector, FileType
+
+    fs, p = _fs(path)
+    info = fs.get_file_info(p)
+    found = [info] if info.type == FileType.File else [f for f in fs.get_file_info(FileSelector(p, recursive=True)) if f.type == FileType.File and f.path.lower().endswith(SUFFIXES) and "/_drafts-" not in f.path]
+    if not found:
+        raise FileNotFoundError(f"no raster below {path}")
+    scheme = path.split("://")[0] + "://" if "://" in path else ""
+    return sorted((scheme + f.path, f.size) for f in found)
+
+
+class _Open:
+    """A file that is read by ranges, with its header."""
+
+    def __init__(self, path: str):
+        fs, p = _fs(path)
+        self.file = fs.open_input_file(p)
+        self.head = tiff.header(self.range)
+
+    def range(self, at: int, n: int) -> bytes:
+        return self.file.read_at(n, at)
+
+    def block(self, k: int) -> np.ndarray:
+        return tiff.block(self.head, k, self.range(self.head.offsets[k], self.head.counts[k]))
+
+
+class _Part(InputPartition):
+    """Whole files, or the k-th of n equal parts of one file's chunks."""
+
+    def __init__(self, files: list[str], k: int = 0, n: int = 1):
+        self.files, self.k, self.n = files, k, n
+
+
+class RangeReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.path = options["path"]
+        self.bands = {int(b) for b in options["bands"].split(",")} if options.get("bands") else None
+        box = [float(v) for v in options["bbox"].split(",")] if options.get("bbox") else [-np.inf, -np.inf, np.inf, np.inf]
+        self.tests = [("x1", ">=", box[0]), ("y0", ">=", box[1]), ("x0", "<=", box[2]), ("y1", "<=", box[3])]
+
+    def pushFilters(self, filters):
+        """Takes note of filters on band and corners; Spark applies them again."""
+        signs = {GreaterThan: ">=", GreaterThanOrEqual: ">=", LessThan: "<=", LessThanOrEqual: "<="}
+        for f in filters:
+            if isinstance(f, (EqualTo, In)) and f.attribute == ("band",):
+                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.bands = values if self.bands is None else self.bands & values
+            elif type(f) in signs and f.attribute in (("x0",), ("y0",), ("x1",), ("y1",)):
+                self.tests.append((f.attribute[0], signs[type(f)], float(f.value)))
+            yield f
+
+    def partitions(self):
+        parts, held, size = [], [], 0
+        for path, length in _files(self.path):
+            if length > SPLIT:
+                n = -(-length // SPLIT)
+                parts += [_Part([path], k, n) for k in range(n)]
+                continue
+            if held and (size + length > SPLIT or len(held) == FILES):
+                parts.append(_Part(held))
+                held, size = [], 0
+            held, size = [*held, path], size + length
+        return [*parts, _Part(held)] if held else parts
+
+    def read(self, partition):
+        for path in partition.files:
+            f = _Open(path)
+            head, n = f.head, len(f.head.offsets)
+            for k in range(n * partition.k // partition.n, n * (partition.k + 1) // partition.n):
+                plane, row0, col0, h, w = head.at(k)
+                (x0, y0), (dx, dy) = head.corner(row0, col0), head.place[2:]
+                at = {"x0": x0, "y0": y0, "x1": x0 + w * dx, "y1": y0 - h * dy}
+                inside = [s for s in range(head.samples if head.planar == 1 else 1) if self.bands is None or (plane if head.planar == 2 else s) + 1 in self.bands]
+                if not inside or not all(at[c] >= v if sign == ">=" else at[c] <= v for c, sign, v in self.tests):
+                    continue
+                block = f.block(k)
+                for s in inside:
+                    yield (path, (plane if head.planar == 2 else s) + 1, row0, col0, h, w, x0, y0, dx, dy, block[:, :, s].ravel().astype(float).tolist(), at["x1"], at["y1"], head.counts[k])
+
+
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """source, bands, and the extent of each raster below a path (minx, miny, maxx, maxy), with the size of its pixels and
+    chunks; pixels aren't read."""
+    names = [f for f, _ in _files(path)]
+    found = spark.createDataFrame(pa.table({"source": names})).repartition(-(-len(names) // 50))
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for source in b.column("source").to_pylist():
+                h = _Open(source).head
+                left, top, dx, dy = h.place
+                rows.append((source, h.samples, left, top - h.height * dy, left + h.width * dx, top, dx, dy, h.w, h.h))
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), [pa.string(), pa.int32(), *[pa.float64()] * 6, pa.int32(), pa.int32()])], ["source", "bands", "minx", "miny", "maxx", "maxy", "dx", "dy", "chunk_w", "chunk_h"])
+
+    return found.mapInArrow(run, "source string, bands int, minx double, miny double, maxx double, maxy double, dx double, dy double, chunk_w int, chunk_h int")
+
+
+def sample_files(points: DataFrame, spark: SparkSession, path: str, id_col: str, band: int = 1, value: str = "value", cell: float = 1024) -> DataFrame:
+    """id, value, read: the pixel under each point (x, y) of the rasters below a path; where rasters overlap, the one
+    whose name comes first; null outside them all. Points are matched with the files' extents, then
+    range-partitioned by file and pixel, so a task reads the chunks that its points lie in, once each; `read` has the bytes that it took
+    for a row. Identifiers are unique."""
+    from tesserae.operators import spatial
+    from tesserae.storage import store
+
+    known, _ = store(headers(spark, path).where(F.col("bands") >= band), "headers")
+    dots = points.select(id_col, *(F.col(a).cast("double").alias(b) for a, b in (("x", "minx"), ("y", "miny"), ("x", "maxx"), ("y", "maxy"))))
+    met = spatial.area_pairs(dots, known, cell)
+    x, y = F.col("l.minx"), F.col("l.miny")
+    col, row = F.floor((x - F.col("r.minx")) / F.col("r.dx")), F.floor((F.col("r.maxy") - y) / F.col("r.dy"))
+    inside = met.where((x < F.col("r.maxx")) & (y > F.col("r.miny")))
+    first = inside.select(F.col(f"l.{id_col}").alias(id_col), F.struct("r.source", row.cast("long").alias("row"), col.cast("long").alias("col"), "r.chunk_w", "r.chunk_h").alias("at")).groupBy(id_col).agg(F.min("at").alias("at"))
+    placed = first.select(id_col, "at.source", F.floor(F.col("at.row") / F.col("at.chunk_h")).alias("down"), F.floor(F.col("at.col") / F.col("at.chunk_w")).alias("across"), "at.row", "at.col")
+    order = ["source", "down", "across", "row", "col"]
+
+    def run(batches):
+        path_, f, k, block = None, None, None, None
+        for b in batches:
+            values, cost = [], []
+            for source, down, across, row, col in zip(*(b.column(c).to_pylist() for c in order)):
+                took = 0
+                if source != path_:
+                    path_, f, k = source, _Open(source), None
+                at = down * f.head.across + across + (band - 1) * f.head.across * f.head.down * (f.head.planar == 2)
+                if at != k:
+                    k, block, took = at, f.block(at), f.head.counts[at]
+                values.append(float(block[row % f.head.h, col % f.head.w, band - 1 if f.head.planar == 1 else 0]))
+                cost.append(took)
+            yield pa.record_batch([b.column(id_col), pa.array(values, pa.float64()), pa.array(cost, pa.int64())], [id_col, value, "read"])
+
+    kind = dict(points.dtypes)[id_col]
+    got = placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, f"`{id_col}` {kind}, `{value}` double, read long")
+    return points.select(id_col).join(got, id_col, "left").withColumn("read", F.coalesce("read", F.lit(0)))
+
+
 def pixels(chunks: DataFrame) -> DataFrame:
     """source, band, row, col, x, y (the pixel's centre), value of every pixel."""
     each = chunks.select("source", "band", "row0", "col0", "w", "x0", "y0", "dx", "dy", F.posexplode("values").alias("k", "value"))
@@ -130,23 +234,44 @@ def encoded(block: np.ndarray, place: tuple[float, float, float, float]) -> byte
 
 
 class _TiffWriter(_Writer):
-    """A file for each row of h, w, x0, y0, dx, dy and bands (an array of bands, each its values in row order),
-    named after `source` if there is one. Option `dtype`: the samples' type, uint8 if it isn't given."""
+    """A file for each row of h, w, x0, y0, dx, dy and bands (an array of bands, each its values in row order). A
+    row's `source` is its name: a relative path as it is, an absolute one below option `root`, or else its last part.
+    Rows without one are named by job, task and number. Two rows of one name, or a name that is there
+    already, are an error, and nothing is put in place then. Option `dtype`: the samples' type, uint8 if it isn't given."""
 
     def __init__(self, options: dict, overwrite: bool):
         super().__init__(options, overwrite, ".tif")
-        self.dtype = options.get("dtype", "uint8")
+        self.dtype, self.root = options.get("dtype", "uint8"), options.get("root", "").rstrip("/")
+
+    def _named(self, source: str) -> str:
+        if self.root and source.startswith(self.root + "/"):
+            source = source[len(self.root) + 1 :]
+        elif source.startswith("/") or ":" in source.split("/")[0]:
+            source = source.split("/")[-1]
+        if ".." in source.split("/"):
+            raise ValueError(f"{source} leads out of the folder")
+        low = source.lower()
+        return source[: -len(next(x for x in SUFFIXES if low.endswith(x)))] if low.endswith(SUFFIXES) else source
 
     def write(self, rows):
+        from pyspark import TaskContext
+
         from tesserae.sources.vector import _Written
 
-        fs, p = _fs(self.path)
-        folder = f"{self._drafts()}/{self.job}-{np.random.default_rng().integers(1 << 62):x}"
+        fs, _ = _fs(self.path)
+        task = TaskContext.get()
+        folder = f"{self._drafts()}/{task.partitionId()}-{task.taskAttemptId()}"
         fs.create_dir(folder, recursive=True)
+        names = set()
         for k, r in enumerate(rows):
-            named = r["source"] if "source" in r and r["source"] else f"{k:05d}"
+            name = self._named(r["source"]) if "source" in r and r["source"] else f"{self.job}-{task.partitionId():05d}-{k:05d}"
+            if name in names:
+                raise ValueError(f"two rasters are named {name}")
+            names.add(name)
             block = np.stack([np.array(b, float).reshape(r["h"], r["w"]) for b in r["bands"]], 2).astype(self.dtype)
-            with fs.open_output_stream(f"{folder}/{named.split('/')[-1].removesuffix('.tif')}.tif") as out:
+            if "/" in name:
+                fs.create_dir(f"{folder}/{name.rpartition('/')[0]}", recursive=True)
+            with fs.open_output_stream(f"{folder}/{name}.tif") as out:
                 out.write(encoded(block, (r["x0"], r["y0"], r["dx"], r["dy"])))
         return _Written(folder)
 
@@ -154,14 +279,25 @@ class _TiffWriter(_Writer):
         from pyarrow.fs import FileSelector, FileType
 
         fs, p = _fs(self.path)
+        moves: dict[str, str] = {}
+        for m in (m for m in messages if m):
+            for f in fs.get_file_info(FileSelector(m.draft, recursive=True)):
+                if f.type == FileType.File:
+                    name = f.path[len(m.draft) + 1 :]
+                    if name in moves:
+                        raise ValueError(f"two rasters are named {name}")
+                    if not self.overwrite and fs.get_file_info(f"{p}/{name}").type == FileType.File:
+                        raise ValueError(f"{name} is there already")
+                    moves[name] = f.path
         fs.create_dir(p, recursive=True)
         if self.overwrite:
             for f in fs.get_file_info(FileSelector(p)):
                 if f.type == FileType.File:
                     fs.delete_file(f.path)
-        for m in (m for m in messages if m):
-            for f in fs.get_file_info(FileSelector(m.draft)):
-                fs.move(f.path, f"{p}/{f.base_name}")
+        for name, draft in moves.items():
+            if "/" in name:
+                fs.create_dir(f"{p}/{name.rpartition('/')[0]}", recursive=True)
+            fs.move(draft, f"{p}/{name}")
         if fs.get_file_info(self._drafts()).type == FileType.Directory:
             fs.delete_dir(self._drafts())
 
@@ -172,14 +308,19 @@ class GeoTiff(DataSource):
         return "geotiff"
 
     def schema(self):
-        return SCHEMA
+        return RANGE_SCHEMA
+
+    def reader(self, schema):
+        return RangeReader(dict(self.options))
 
     def writer(self, schema, overwrite):
         return _TiffWriter(dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:
-    """df.write.format("geotiff") from now on; reading is `read`."""
+    """spark.read.format("geotiff") and df.write.format("geotiff") from now on. Filters reach the reader where the
+    session lets Python sources take them."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(GeoTiff)
 
 
