@@ -2,18 +2,15 @@
 
 Rows carry the file's attributes as strings in a map, the geometry as well-known binary and its bounds as
 columns, so that grid joins need no decoding. Parquet with the same columns is the working format; these
-are for coming and going. Files are read whole by one task each and opened through pyarrow's file
-systems; GeoPackage needs a local copy, which the task makes and removes.
+are for coming and going. GeoJSON and Shapefiles are read whole by one task each and opened through
+pyarrow's file systems; GeoPackage is in `tesserae.sources.geopackage`.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import shutil
-import sqlite3
 import struct
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,24 +67,6 @@ class GeoJsonReader(_Reader):
             yield _row(wkb.dumps(f["geometry"]) if f.get("geometry") else None, f.get("properties") or {}, partition.path)
 
 
-class GeoPackageReader(_Reader):
-    def read(self, partition):
-        with tempfile.NamedTemporaryFile(suffix=".gpkg") as copy:
-            copy.write(_read(partition.path))
-            copy.flush()
-            with sqlite3.connect(copy.name) as db:
-                wanted = self.options_.get("layer")
-                for table, column in db.execute("SELECT table_name, column_name FROM gpkg_geometry_columns").fetchall():
-                    if wanted and table != wanted:
-                        continue
-                    cursor = db.execute('SELECT * FROM "{}"'.format(table.replace('"', '""')))
-                    names = [c[0] for c in cursor.description]
-                    for values in cursor:
-                        row = dict(zip(names, values))
-                        blob = row.pop(column)
-                        yield _row(from_gpkg(blob) if blob else None, {k: v for k, v in row.items() if not isinstance(v, bytes)} | {"layer": table}, partition.path)
-
-
 class ShapefileReader(_Reader):
     def read(self, partition):
         shapes = list(read_shp(_read(partition.path)))
@@ -96,17 +75,6 @@ class ShapefileReader(_Reader):
             yield _row(wkb.dumps(shape) if shape else None, record, partition.path)
 
 
-def from_gpkg(blob: bytes) -> bytes | None:
-    """The binary geometry after a GeoPackage header; None if it is empty."""
-    flags = blob[3]
-    envelope = (0, 32, 48, 48, 64)[flags >> 1 & 7]
-    return None if flags & 16 else bytes(blob[8 + envelope :])
-
-
-def to_gpkg(geometry: bytes, srid: int) -> bytes:
-    return b"GP\0\1" + struct.pack("<i", srid) + geometry
-
-
 def read_shp(data: bytes):
     """GeoJSON geometries of points and polygons (rings by orientation), None for null shapes."""
     at = 100
@@ -205,37 +173,6 @@ class GeoJsonWriter(_Writer):
             out.write(b"]}")
 
 
-class GeoPackageWriter(_Writer):
-    """One GeoPackage per task, one layer in each; a column for each property, added as it first occurs."""
-
-    def __init__(self, options: dict, overwrite: bool, suffix: str):
-        super().__init__(options, overwrite, suffix)
-        self.layer, self.srid = options.get("layer", "features"), int(options.get("srid", "2056"))
-
-    def fill(self, fs, draft, rows):
-        quoted = lambda s: '"{}"'.format(s.replace('"', '""'))
-        with tempfile.TemporaryDirectory() as folder:
-            local, known = f"{folder}/x.gpkg", {"fid", "geom", "layer"}
-            with sqlite3.connect(local) as db:
-                db.execute("PRAGMA application_id = 1196444487")
-                db.execute("CREATE TABLE gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT, identifier TEXT, srs_id INTEGER)")
-                db.execute("CREATE TABLE gpkg_geometry_columns (table_name TEXT PRIMARY KEY, column_name TEXT, geometry_type_name TEXT, srs_id INTEGER, z TINYINT, m TINYINT)")
-                db.execute("INSERT INTO gpkg_contents VALUES (?, 'features', ?, ?)", (self.layer, self.layer, self.srid))
-                db.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'GEOMETRY', ?, 0, 0)", (self.layer, self.srid))
-                db.execute(f"CREATE TABLE {quoted(self.layer)} (fid INTEGER PRIMARY KEY, geom BLOB)")
-                for r in rows:
-                    p = {k: v for k, v in dict(r["properties"] or {}).items() if k not in ("fid", "geom", "layer")}
-                    for k in p:
-                        if k not in known:
-                            db.execute(f"ALTER TABLE {quoted(self.layer)} ADD COLUMN {quoted(k)} TEXT")
-                            known.add(k)
-                    names, marks = "".join(", " + quoted(k) for k in p), ", ".join("?" * (1 + len(p)))
-                    db.execute(f"INSERT INTO {quoted(self.layer)} (geom{names}) VALUES ({marks})", (to_gpkg(bytes(r["geometry"]), self.srid) if r["geometry"] else None, *p.values()))
-            db.close()
-            with fs.open_output_stream(draft) as out, open(local, "rb") as f:
-                shutil.copyfileobj(f, out)
-
-
 def _source(label: str, suffix: str, reader_class, writer_class=None):
     class Source(DataSource):
         @classmethod
@@ -256,15 +193,29 @@ def _source(label: str, suffix: str, reader_class, writer_class=None):
     return Source
 
 
-SOURCES = [_source("geojson", (".geojson", ".json"), GeoJsonReader, GeoJsonWriter), _source("gpkg", ".gpkg", GeoPackageReader, GeoPackageWriter), _source("shapefile", ".shp", ShapefileReader)]
+SOURCES = [_source("geojson", (".geojson", ".json"), GeoJsonReader, GeoJsonWriter), _source("shapefile", ".shp", ShapefileReader)]
 
 
 def register(spark: SparkSession) -> None:
-    """spark.read.format("geojson" | "gpkg" | "shapefile") from now on."""
-    for source in SOURCES:
+    """spark.read.format("geojson" | "gpkg" | "shapefile") from now on. Filters reach the readers that take them."""
+    from tesserae.sources.geopackage import GeoPackage
+
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    for source in [*SOURCES, GeoPackage]:
         spark.dataSource.register(source)
 
 
+def write_once(df: DataFrame, kind: str, path: str, **options: str) -> bool:
+    """Writes df with the data source `kind` unless the path holds files already: what is there is used again."""
+    from pyarrow.fs import FileSelector, FileType
+
+    fs, p = _fs(path)
+    if fs.get_file_info(p).type != FileType.NotFound and any(f.type == FileType.File for f in fs.get_file_info(FileSelector(p))):
+        return False
+    df.write.format(kind).mode("append").options(**options).option("path", path).save()
+    return True
+
+
 def with_provenance(spark: SparkSession, pattern: str, column: str = "model") -> DataFrame:
     """Parquet files of a recursive pattern, with the name of their folder as a column."""
     from pyspark.sql import functions as F
