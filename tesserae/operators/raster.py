@@ -31,13 +31,21 @@ def cumulative(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
 
 def match_histogram(source: DataFrame, reference: DataFrame, by: list[str], value: str, each: list[str] = ()) -> DataFrame:
-    """each, by, value, matched: the least reference value whose cumulated share reaches the source value's.
-    `each` names columns of the source alone, such as the image that is matched. Both sides are histograms
-    when they meet, with as many rows as a band has values."""
-    s = cumulative(source, [*each, *by], value).select(*each, *by, F.col(value).alias("v"), "cdf")
-    r = cumulative(reference, by, value).select(*by, F.col(value).alias("matched"), F.col("cdf").alias("reached"))
-    near = s.join(r, by).where(F.col("reached") >= F.col("cdf") - 1e-12)
-    return near.groupBy(*each, *by, F.col("v").alias(value)).agg(F.min("matched").alias("matched"))
+    """each, by, value, matched: the value at which the reference's cumulated share is the source value's, linear
+    between neighbouring reference values and held at its ends. Whole-number images take it cut to a whole number.
+    `each` names columns of the source alone, such as the image that is matched; a band without reference has no
+    rows. Both sides are histograms when they meet, and are merged in the order of their shares: one pass over as many rows as they have values."""
+    s = cumulative(source, [*each, *by], value).select(*each, *by, F.col(value).alias("v"), "cdf", F.lit(None).cast("struct<v: double, cdf: double>").alias("ref"))
+    r = cumulative(reference, by, value).select(*by, F.struct(F.col(value).cast("double").alias("v"), "cdf").alias("ref"))
+    groups = s.select(*each, *by).distinct()
+    both = s.unionByName(groups.join(r, by).select(*each, *by, F.lit(None).cast(dict(s.dtypes)["v"]).alias("v"), F.col("ref.cdf").alias("cdf"), "ref"))
+    w = Window.partitionBy(*each, *by).orderBy("cdf", F.col("ref").isNull())  # of equal shares the reference comes first
+    low = F.last("ref", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    high = F.first("ref", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    near = both.withColumns({"low": low, "high": high}).where("ref IS NULL AND (low IS NOT NULL OR high IS NOT NULL)")
+    between = (F.col("high.v") - F.col("low.v")) / (F.col("high.cdf") - F.col("low.cdf")) * (F.col("cdf") - F.col("low.cdf")) + F.col("low.v")
+    matched = F.when(F.col("low").isNull(), F.col("high.v")).when(F.col("high").isNull() | (F.col("low.cdf") == F.col("cdf")), F.col("low.v")).otherwise(between)
+    return near.select(*each, *by, F.col("v").alias(value), matched.alias("matched"))
 
 
 def mosaic(chunks: DataFrame) -> DataFrame:

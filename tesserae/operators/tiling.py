@@ -21,20 +21,66 @@ def from_mercator(x: Column, y: Column) -> tuple[Column, Column]:
     return x * (180 / HALF), F.degrees(2 * F.atan(F.exp(y * (math.pi / HALF))) - math.pi / 2)
 
 
+#: Fixed values of the survey: the ellipsoids (half axis, squared eccentricity), the origin in degrees, its grid
+#: coordinates, and the shift from the world's centre to the grid's.
+BESSEL, WORLD = (6377397.155, 0.006674372230614), (6378137.0, 0.0066943799901413165)
+ORIGIN, GRID, SHIFT = (46 + 57 / 60 + 8.66 / 3600, 7 + 26 / 60 + 22.5 / 3600), (2_600_000.0, 1_200_000.0), (674.374, 15.056, 405.346)
+
+
+def _sphere() -> tuple[float, float, float, float]:
+    """Radius, scale, origin and offset of the sphere that the ellipsoid is laid on."""
+    (a, e2), p = BESSEL, math.radians(ORIGIN[0])
+    e = math.sqrt(e2)
+    scale = math.sqrt(1 + e2 / (1 - e2) * math.cos(p) ** 4)
+    b0 = math.asin(math.sin(p) / scale)
+    offset = math.log(math.tan(math.pi / 4 + b0 / 2)) - scale * math.log(math.tan(math.pi / 4 + p / 2)) + scale * e / 2 * math.log((1 + e * math.sin(p)) / (1 - e * math.sin(p)))
+    return a * math.sqrt(1 - e2) / (1 - e2 * math.sin(p) ** 2), scale, b0, offset
+
+
+def shifted(lon: Column, lat: Column, old: tuple[float, float], new: tuple[float, float], shift: tuple[float, float, float]) -> tuple[Column, Column]:
+    """Radians on another ellipsoid whose centre lies `shift` away: by way of geocentric coordinates, at height 0."""
+    n = old[0] / F.sqrt(1 - old[1] * F.sin(lat) * F.sin(lat))
+    x, y, z = n * F.cos(lat) * F.cos(lon) + shift[0], n * F.cos(lat) * F.sin(lon) + shift[1], n * (1 - old[1]) * F.sin(lat) + shift[2]
+    a, e2 = new
+    b, away = a * math.sqrt(1 - e2), F.hypot(x, y)
+    turn = F.atan2(z * a, away * b)
+    up = F.atan2(z + e2 / (1 - e2) * b * F.pow(F.sin(turn), 3), away - e2 * a * F.pow(F.cos(turn), 3))
+    return F.atan2(y, x), up
+
+
+def oblique(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """East and north of radians on the grid's ellipsoid: laid on a sphere, which is turned and unrolled."""
+    radius, scale, b0, offset = _sphere()
+    e = math.sqrt(BESSEL[1])
+    s = scale * F.log(F.tan(lat / 2 + math.pi / 4)) - scale * e / 2 * F.log((1 + e * F.sin(lat)) / (1 - e * F.sin(lat))) + offset
+    b, along = 2 * (F.atan(F.exp(s)) - math.pi / 4), scale * (lon - math.radians(ORIGIN[1]))
+    turned = F.atan2(F.sin(along), math.sin(b0) * F.tan(b) + math.cos(b0) * F.cos(along))
+    height = math.cos(b0) * F.sin(b) - math.sin(b0) * F.cos(b) * F.cos(along)
+    return turned * radius + GRID[0], F.log((1 + height) / (1 - height)) * (radius / 2) + GRID[1]
+
+
+def from_oblique(east: Column, north: Column) -> tuple[Column, Column]:
+    """Radians on the grid's ellipsoid; the latitude by seven steps of a fixed point, far below a millimetre."""
+    radius, scale, b0, offset = _sphere()
+    e = math.sqrt(BESSEL[1])
+    turned, height = (east - GRID[0]) / radius, 2 * (F.atan(F.exp((north - GRID[1]) / radius)) - math.pi / 4)
+    b = F.asin(math.cos(b0) * F.sin(height) + math.sin(b0) * F.cos(height) * F.cos(turned))
+    along = F.atan2(F.sin(turned), math.cos(b0) * F.cos(turned) - math.sin(b0) * F.tan(height))
+    base, lat = (F.log(F.tan(b / 2 + math.pi / 4)) - offset) / scale, b
+    for _ in range(7):
+        lat = 2 * F.atan(F.exp(base + e * F.log(F.tan(F.asin(e * F.sin(lat)) / 2 + math.pi / 4)))) - math.pi / 2
+    return along / scale + math.radians(ORIGIN[1]), lat
+
+
 def swiss(lon: Column, lat: Column) -> tuple[Column, Column]:
-    """East and north in the Swiss grid, by the national survey's published approximation (about 1 m)."""
-    p, q = (lat * 3600 - 169028.66) / 10000, (lon * 3600 - 26782.5) / 10000
-    east = 2600072.37 + 211455.93 * q - 10938.51 * q * p - 0.36 * q * p * p - 44.54 * q * q * q
-    north = 1200147.07 + 308807.95 * p + 3745.25 * q * q + 76.63 * p * p - 194.56 * q * q * p + 119.79 * p * p * p
-    return east, north
+    """East and north in the Swiss grid of degrees in the world system."""
+    return oblique(*shifted(F.radians(lon), F.radians(lat), WORLD, BESSEL, tuple(-v for v in SHIFT)))
 
 
 def from_swiss(east: Column, north: Column) -> tuple[Column, Column]:
-    """Longitude and latitude, by the same survey's inverse."""
-    y, x = (east - 2600000) / 1000000, (north - 1200000) / 1000000
-    lon = 2.6779094 + 4.728982 * y + 0.791484 * y * x + 0.1306 * y * x * x - 0.0436 * y * y * y
-    lat = 16.9023892 + 3.238272 * x - 0.270978 * y * y - 0.002528 * x * x - 0.0447 * y * y * x - 0.0140 * x * x * x
-    return lon * 100 / 36, lat * 100 / 36
+    """Longitude and latitude in degrees of the world system."""
+    lon, lat = shifted(*from_oblique(east, north), BESSEL, WORLD, SHIFT)
+    return F.degrees(lon), F.degrees(lat)
 
 
 def projected(df: DataFrame, system: str) -> DataFrame:

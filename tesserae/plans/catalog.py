@@ -540,11 +540,14 @@ _image_cdf = "ih AS (SELECT image_id, band, value, count(*) AS n FROM bp GROUP B
 _pooled_cdf = "ph AS (SELECT band, value, count(*) AS n FROM bp GROUP BY ALL), pc AS (SELECT band, value, sum(n) OVER (PARTITION BY band ORDER BY value) / sum(n) OVER (PARTITION BY band)::DOUBLE AS cdf FROM ph)"
 
 
-@query(with_clause("fx_pixel", more=f"{_bands}, {_image_cdf}, {_pooled_cdf}") + " SELECT image_id, band, ic.value, min(pc.value) AS matched FROM ic JOIN pc USING (band) WHERE pc.cdf >= ic.cdf - 1e-12 GROUP BY image_id, band, ic.value")
+_interpolated = "lo AS (SELECT ic.image_id, ic.band, ic.value, ic.cdf, max(pc.cdf) FILTER (pc.cdf <= ic.cdf) AS c0, max(pc.value) FILTER (pc.cdf <= ic.cdf) AS v0, min(pc.cdf) FILTER (pc.cdf > ic.cdf) AS c1, min(pc.value) FILTER (pc.cdf > ic.cdf) AS v1 FROM ic JOIN pc USING (band) GROUP BY ALL)"
+
+
+@query(with_clause("fx_pixel", more=f"{_bands}, {_image_cdf}, {_pooled_cdf}, {_interpolated}") + f" SELECT image_id, band, value, {sql_r6('CASE WHEN c0 IS NULL THEN v1 WHEN c1 IS NULL OR c0 = cdf THEN v0 ELSE (v1 - v0) / (c1 - c0) * (cdf - c0) + v0 END')} AS matched FROM lo")
 def histogram_match(spark, d):
     """Every image's bands matched to those of all images pooled."""
     p = frame(spark, d, "fx_pixel").select("image_id", F.explode(F.create_map(F.lit("r"), "r", F.lit("g"), "g", F.lit("b"), "b")).alias("band", "value"))
-    return raster.match_histogram(p, p, ["band"], "value", each=["image_id"])
+    return raster.match_histogram(p, p, ["band"], "value", each=["image_id"]).withColumn("matched", r6("matched"))
 
 
 @query(with_clause("fx_pixel", more="h AS (SELECT image_id, r AS value, count(*) AS n FROM fx_pixel GROUP BY ALL)") + f" SELECT image_id, value, n, {sql_r6('sum(n) OVER (PARTITION BY image_id ORDER BY value) / sum(n) OVER (PARTITION BY image_id)::DOUBLE')} AS cdf FROM h")
