@@ -24,6 +24,12 @@ def squeezed(text: Column) -> Column:
     return F.translate(text, SPACE, "")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session whose Arrow batches hold a few MB: workers keep what they once took, and whole texts are long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    return df
+
+
 def map_texts(docs: DataFrame, fn, schema: str, id_col: str = "doc_id", text_col: str = "text", most: int = 4 << 20) -> DataFrame:
     """mapInArrow over (id, text) in slices of about `most` bytes of text. fn(ids, texts) yields record
     batches; it gets the ids as an Arrow array and the texts as a list with None for null."""
@@ -34,7 +40,7 @@ def map_texts(docs: DataFrame, fn, schema: str, id_col: str = "doc_id", text_col
             for a, b in _slices(text, most):
                 yield from fn(batch.column(0).slice(a, b - a), text.slice(a, b - a).to_pylist())
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def _slices(text, most: int):

@@ -58,7 +58,7 @@ def _run_stream(spark: SparkSession, arrivals: DataFrame, path: str, files_per_b
         ("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"),
         ("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false"),
         ("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true"),
-        ("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "200"),
+        ("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "64"),
         ("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")),
     ):
         session.conf.set(key, value)

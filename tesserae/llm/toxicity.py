@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import drop, map_texts, store
+from tesserae.llm.common import drop, map_texts, small_batches, store
 
 TRAIN_ROWS, SUPPORT, FOLDS = 200_000, 0.002, 5
 ODDS, SURE, RIDGE = 2.0, 4.0, 0.2
@@ -509,7 +509,7 @@ def _patterns(held: DataFrame, good: np.ndarray) -> DataFrame:
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> Model:
-    letters = letter_model(letter_counts(docs, text_col))
+    letters = letter_model(letter_counts(small_batches(docs), text_col))
     known = labels.where((fold(id_col) != 0) & F.col("toxic").isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max("toxic").alias("toxic"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(train_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id").select("toxic", "text")
