@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -49,11 +49,24 @@ def match_histogram(source: DataFrame, reference: DataFrame, by: list[str], valu
 
 
 def mosaic(chunks: DataFrame) -> DataFrame:
-    """One chunk per place: the first of the ordered sources wins."""
-    w = Window.partitionBy("row0", "col0").orderBy("source")
+    """One chunk per place: the first of the ordered sources wins. The place is the chunk's corner on the ground, or in its
+    own image where chunks have no georeference."""
+    place = ["x0", "y0"] if {"x0", "y0"} <= set(chunks.columns) else ["row0", "col0"]
+    w = Window.partitionBy(*(["band"] if "band" in chunks.columns else []), *place).orderBy("source")
     return chunks.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
 def catalogue(chunks: DataFrame) -> DataFrame:
-    """source and the extent of its chunks: the index that a virtual raster is."""
-    return chunks.groupBy("source").agg(F.min("row0").alias("row0"), F.min("col0").alias("col0"), F.max(F.col("row0") + F.col("h")).alias("row1"), F.max(F.col("col0") + F.col("w")).alias("col1"))
+    """source and the extent of its chunks, in pixels and, where they are georeferenced, on the ground: the index that
+    a virtual raster is."""
+    ground = {"x0", "y0", "dx", "dy"} <= set(chunks.columns)
+    more = (F.min("x0").alias("minx"), F.min(F.col("y0") - F.col("h") * F.col("dy")).alias("miny"), F.max(F.col("x0") + F.col("w") * F.col("dx")).alias("maxx"), F.max("y0").alias("maxy")) if ground else ()
+    return chunks.groupBy("source").agg(F.min("row0").alias("row0"), F.min("col0").alias("col0"), F.max(F.col("row0") + F.col("h")).alias("row1"), F.max(F.col("col0") + F.col("w")).alias("col1"), *more)
+
+
+def cubic_weight(t: Column) -> Column:
+    """Weight of a pixel at a distance, by the cubic with a = -1/2."""
+    a, t = -0.5, F.abs(t)
+    near = (a + 2) * t * t * t - (a + 3) * t * t + 1
+    far = a * t * t * t - 5 * a * t * t + 8 * a * t - 4 * a
+    return F.when(t <= 1, near).when(t < 2, far).otherwise(0.0)

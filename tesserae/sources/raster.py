@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
+from tesserae.operators.raster import cubic_weight
 from tesserae.sources import tiff
 from tesserae.sources.tiff import TAGS, TYPES
 from tesserae.sources.vector import _fs, _Writer
@@ -204,6 +205,23 @@ def sample_files(points: DataFrame, spark: SparkSession, path: str, id_col: str,
     return points.select(id_col).join(got, id_col, "left").withColumn("read", F.coalesce("read", F.lit(0)))
 
 
+def resample_files(points: DataFrame, spark: SparkSession, path: str, id_col: str, size: tuple[float, float], origin: tuple[float, float] = (0.0, 0.0), band: int = 1, value: str = "value", cell: float = 1024) -> DataFrame:
+    """id, value: the rasters below a path as one virtual raster, at each point (x, y) by cubic convolution over the 4 x 4
+    pixels around it, whichever files they lie in. All rasters share one grid of pixels of `size` through
+    `origin`. Weights are divided by their sum where the virtual raster's edge leaves some out; null where it leaves
+    out all."""
+    (dx, dy), (left, top) = size, origin
+    u, v = (F.col("x") - left) / dx - 0.5, (top - F.col("y")) / dy - 0.5
+    at = points.select(id_col, u.alias("__u"), v.alias("__v"))
+    around = at.select("*", F.explode(F.sequence(F.floor("__u") - 1, F.floor("__u") + 2)).alias("__c")).select("*", F.explode(F.sequence(F.floor("__v") - 1, F.floor("__v") + 2)).alias("__r"))
+    weighed = around.withColumn("__w", cubic_weight(F.col("__u") - F.col("__c")) * cubic_weight(F.col("__v") - F.col("__r"))).where("__w <> 0")
+    # pixels are asked for once, however many points need them
+    wanted = weighed.select("__c", "__r").distinct().select(F.struct("__c", "__r").alias("__p"), (left + (F.col("__c") + 0.5) * dx).alias("x"), (top - (F.col("__r") + 0.5) * dy).alias("y"))
+    got = sample_files(wanted, spark, path, "__p", band, "__z", cell).where("__z IS NOT NULL").select("__p.*", "__z")
+    sums = weighed.join(got, ["__c", "__r"]).groupBy(id_col).agg((F.sum(F.col("__w") * F.col("__z")) / F.sum("__w")).alias(value))
+    return points.select(id_col).join(sums, id_col, "left")
+
+
 def pixels(chunks: DataFrame) -> DataFrame:
     """source, band, row, col, x, y (the pixel's centre), value of every pixel."""
     each = chunks.select("source", "band", "row0", "col0", "w", "x0", "y0", "dx", "dy", F.posexplode("values").alias("k", "value"))
@@ -339,17 +357,9 @@ def resampled(points: DataFrame, cells: DataFrame, value: str = "value") -> Data
     """points (x, y in pixels, centres at whole numbers) with the value by cubic convolution over the 4 x 4 pixels
     (row, col, value) around them: 16 equi-joined neighbours a point, weights from a cubic with a = -1/2, which
     are divided by their sum where the raster's edge leaves some out. Points far from any pixel have null."""
-    a = -0.5
-
-    def weight(t):
-        t = F.abs(t)
-        near = (a + 2) * t * t * t - (a + 3) * t * t + 1
-        far = a * t * t * t - 5 * a * t * t + 8 * a * t - 4 * a
-        return F.when(t <= 1, near).when(t < 2, far).otherwise(0.0)
-
     places = points.select("x", "y").distinct()
     around = places.select("x", "y", F.explode(F.sequence(F.floor("x") - 1, F.floor("x") + 2)).alias("col")).select("*", F.explode(F.sequence(F.floor("y") - 1, F.floor("y") + 2)).alias("row"))
-    weighed = around.withColumn("__w", weight(F.col("x") - F.col("col")) * weight(F.col("y") - F.col("row"))).where("__w <> 0")
+    weighed = around.withColumn("__w", cubic_weight(F.col("x") - F.col("col")) * cubic_weight(F.col("y") - F.col("row"))).where("__w <> 0")
     met = weighed.join(cells.select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), value), ["row", "col"])
     sums = met.groupBy("x", "y").agg((F.sum(F.col("__w") * F.col(value)) / F.sum("__w")).alias(value))
     return points.join(sums, ["x", "y"], "left")

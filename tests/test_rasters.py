@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tesserae.operators import raster as operators
 from tesserae.sources import raster, tiff
 
 
@@ -236,3 +237,26 @@ def test_every_written_row_has_a_file(spark, tmp_path):
     assert files("root") == ["2019/x.tif", "2020/x.tif"]
     with pytest.raises(Exception, match="out of the folder"):
         write(named.withColumn("source", F.lit("../y")), "out")
+
+
+def test_a_virtual_raster_has_no_seams(spark, tmp_path):
+    """Points at, near and across the border of two files equal the cubic over the whole image."""
+    pixels = image(32, 64, 1, "f4", 7)
+    for name, left in (("west.tif", 0), ("east.tif", 32)):
+        (tmp_path / name).write_bytes(whole(made(pixels[:, left : left + 32], 5, 3, (16, 16), place=(1000.0 + 2 * left, 500.0, 2.0, 2.0))))
+    pts = [(1, 1064.0, 470.0), (2, 1063.3, 468.9), (3, 1066.1, 471.7), (4, 1001.0, 499.0), (5, 1031.9, 450.2), (6, 5000.0, 470.0)]
+    got = {r["id"]: r["value"] for r in raster.resample_files(spark.createDataFrame(pts, "id long, x double, y double"), spark, str(tmp_path), "id", (2.0, 2.0), (1000.0, 500.0), cell=64).collect()}
+
+    def weight(t):
+        t = abs(t)
+        return 1.5 * t**3 - 2.5 * t * t + 1 if t <= 1 else -0.5 * t**3 + 2.5 * t * t - 4 * t + 2 if t < 2 else 0.0
+
+    for k, x, y in pts[:5]:
+        u, v = (x - 1000) / 2 - 0.5, (500 - y) / 2 - 0.5
+        near = [(weight(u - c) * weight(v - r), float(pixels[r, c, 0])) for c in range(64) for r in range(32)]
+        assert got[k] == pytest.approx(sum(w * z for w, z in near) / sum(w for w, _ in near), rel=1e-9), k
+    assert got[6] is None
+    raster.register(spark)
+    index = {r["source"].split("/")[-1]: (r["minx"], r["miny"], r["maxx"], r["maxy"]) for r in operators.catalogue(spark.read.format("geotiff").load(str(tmp_path))).collect()}
+    assert index == {"west.tif": (1000.0, 436.0, 1064.0, 500.0), "east.tif": (1064.0, 436.0, 1128.0, 500.0)}
+    assert operators.mosaic(spark.read.format("geotiff").load(str(tmp_path))).count() == 8  # different places, though rows and columns are the same
