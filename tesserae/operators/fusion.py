@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tesserae.functions import rect
 from tesserae.operators import spatial
 from tesserae.operators.components import connected_components
+from tesserae.storage import store
 
 
 def iou_edges(df: DataFrame, id_col: str, threshold: float, cell: float, same: list[str] = ("year_det",)) -> DataFrame:
@@ -86,10 +87,11 @@ def dissolve_first(df: DataFrame, by: str, order: list, columns: list[str]) -> D
 
 def model_fusion(df: DataFrame, id_col: str, n_models: int, cell: float, threshold: float = 0.5, presence_min: float = 0.2, score_min: float = 0.1, small: int = 30_000, most: int = 60_000, area_max: int = 300_000) -> DataFrame:
     """Detections of several models made one layer: grouped by overlap within a year, scored by
-    presence, reduced to the best row, filtered, freed of covered rows, with bonuses."""
+    presence, reduced to the best row, filtered, freed of covered rows, with bonuses. The best rows are stored: they
+    meet themselves and are read again for covered ones."""
     grouped = group_detections(df.where(rect.area() < area_max), id_col, threshold, cell)
     best = best_in_group(presence(grouped, n_models), id_col)
-    kept = keep_or_remove(best, presence_min, score_min, small, most).where("status = 'kept'").drop("status")
+    kept, _ = store(keep_or_remove(best, presence_min, score_min, small, most).where("status = 'kept'").drop("status"), "fused")
     kept, covered = without_covered(kept, second_overlap(kept, id_col, cell), id_col)
     return with_bonus(kept, covered, id_col)
 

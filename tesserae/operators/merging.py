@@ -46,11 +46,10 @@ def vote(merged: DataFrame, raw: DataFrame, merged_id: str, cell: float, keys: l
 
 
 def voted(met: DataFrame, merged_id: str) -> DataFrame:
-    """merged_id, score, det_class from a row (merged_id, score, det_class, area) for each raw row that a merged one meets."""
-    mean = met.groupBy(merged_id).agg(F.avg("score").alias("score"))
-    by_class = met.groupBy(merged_id, "det_class").agg(F.sum("area").alias("area"))
-    top = by_class.groupBy(merged_id).agg(F.max_by("det_class", F.struct("area", -F.col("det_class"))).alias("det_class"))
-    return mean.join(top, merged_id)
+    """merged_id, score, det_class from a row (merged_id, score, det_class, area) for each raw row that a merged one meets:
+    sums by class, which are combined before they travel, give both."""
+    by_class = met.groupBy(merged_id, "det_class").agg(F.sum("area").alias("area"), F.sum("score").alias("total"), F.count("score").alias("n"))
+    return by_class.groupBy(merged_id).agg(F.try_divide(F.sum("total"), F.sum("n")).alias("score"), F.max_by("det_class", F.struct("area", -F.col("det_class"))).alias("det_class"))
 
 
 def artifacts(df: DataFrame, tiles: DataFrame, id_col: str, cell: float, area_min: int, area_max: int, iou_min: float, years_max: int = 2) -> DataFrame:
