@@ -6,6 +6,9 @@ so that it appears once without a distinct. Cells come from `sequence`, everythi
 code, and adaptive execution can split a crowded cell. Only the columns that are used later travel, and a
 table that is joined with itself is laid over the grid once.
 
+Where shapes crowd, `dense_cells` finds the cells that hold too many and splits them, each by its own count; given to
+`pairs`, such a cell becomes up to SPLIT x SPLIT smaller ones, and the others stay as they are.
+
 Shapes far wider than a cell would cover too many cells: `area_pairs` gives each of them a grid of its own
 size instead. Rows without bounds meet nothing.
 """
@@ -23,6 +26,8 @@ from tesserae.storage import drop, store
 
 #: Rows of an area table up to which it is sent to every task, and parts that a wider table's cells are dealt to.
 SMALL_AREAS, SALTS = 10_000, 64
+#: Parts of a crowded cell's side at most, and shapes of a cell from which it is crowded.
+SPLIT, CROWD = 64, 4096
 
 
 def cell_size(df: DataFrame, share: float = 0.95) -> int:
@@ -37,17 +42,44 @@ def _on_grid(df: DataFrame, cell: float, keys: list[str]) -> DataFrame:
     return laid.select("*", F.explode(F.sequence(at("miny"), at("maxy"))).alias("__cy"))
 
 
+def dense_cells(left: DataFrame, right: DataFrame, cell: float, most: int = CROWD) -> DataFrame:
+    """__cx, __cy, __split of the cells that more than `most` shapes of either table lie in: the side's parts, a power of
+    two that would bring the cell's parts below that if shapes were spread evenly and small. A stored table, as long as
+    there are crowded cells."""
+    count = lambda d: _on_grid(d.select(*rect.SIDES), cell, []).groupBy("__cx", "__cy").agg(F.count(F.lit(1)).alias("n"))
+    both = count(left).unionByName(count(right)).groupBy("__cx", "__cy").agg(F.max("n").alias("n")).where(F.col("n") > most)
+    parts = F.least(F.pow(F.lit(2.0), F.ceil(F.log2(F.sqrt(F.col("n") / most)))), F.lit(float(SPLIT))).cast("long")
+    return store(both.select("__cx", "__cy", F.greatest(parts, F.lit(2)).alias("__split")), "dense")[0]
+
+
+def _part(value: Column, corner: Column, cell: float) -> Column:
+    """The part of a split cell that a coordinate lies in, kept within the cell."""
+    return F.greatest(F.least(F.floor((value - corner * F.lit(cell)) * F.col("__split") / F.lit(cell)), F.col("__split") - 1), F.lit(0))
+
+
+def _parts(laid: DataFrame, dense: DataFrame, cell: float) -> DataFrame:
+    """laid with the parts __px, __py of its cells that each row's bounds meet: one where a cell isn't split."""
+    met = laid.join(dense, ["__cx", "__cy"], "left").withColumn("__split", F.coalesce("__split", F.lit(1)))
+    span = lambda c, low, high: F.sequence(_part(F.col(low), F.col(c), cell), _part(F.col(high), F.col(c), cell))
+    return met.select("*", F.explode(span("__cx", "minx", "maxx")).alias("__px")).select("*", F.explode(span("__cy", "miny", "maxy")).alias("__py"))
+
+
 def _sides(left: DataFrame, right: DataFrame) -> tuple[Column, Column]:
     return F.struct(*(F.col(f"l.{c}") for c in left.columns)).alias("l"), F.struct(*(F.col(f"r.{c}") for c in right.columns)).alias("r")
 
 
-def pairs(left: DataFrame, right: DataFrame, cell: float, keys: list[tuple[str, str]] = (), predicate: Callable[[str, str], Column] = rect.intersects, where: Column | None = None) -> DataFrame:
+def pairs(left: DataFrame, right: DataFrame, cell: float, keys: list[tuple[str, str]] = (), predicate: Callable[[str, str], Column] = rect.intersects, where: Column | None = None, dense: DataFrame | None = None) -> DataFrame:
     """Structs l and r of all pairs that meet the predicate (which implies that they intersect), agree in
-    keys (left and right column) and meet `where` (over l.* and r.*)."""
-    a, b = _on_grid(left, cell, [x for x, _ in keys]).alias("l"), _on_grid(right, cell, [y for _, y in keys]).alias("r")
-    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__cx", "__cy", *(f"__k{k}" for k in range(len(keys))))]
+    keys (left and right column) and meet `where` (over l.* and r.*). `dense` splits crowded cells (`dense_cells`)."""
+    a, b = _on_grid(left, cell, [x for x, _ in keys]), _on_grid(right, cell, [y for _, y in keys])
+    if dense is not None:
+        a, b = _parts(a, dense, cell), _parts(b, dense, cell).drop("__split")
+    a, b = a.alias("l"), b.alias("r")
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__cx", "__cy", *(("__px", "__py") if dense is not None else ()), *(f"__k{k}" for k in range(len(keys))))]
     common = rect.intersection("l.", "r.")
     once = (F.floor(common["minx"] / F.lit(cell)) == F.col("l.__cx")) & (F.floor(common["miny"] / F.lit(cell)) == F.col("l.__cy"))
+    if dense is not None:
+        once &= (_part(common["minx"], F.col("l.__cx"), cell) == F.col("l.__px")) & (_part(common["miny"], F.col("l.__cy"), cell) == F.col("l.__py"))
     kept = a.join(b, on).where(rect.intersects("l.", "r.") & once & predicate("l.", "r."))
     return (kept if where is None else kept.where(where)).select(*_sides(left, right))
 

@@ -117,6 +117,14 @@ def sjoin_inner(spark, d):
     return spatial.pairs(det(spark, d), labels(spark, d), CELL, [("year_det", "year_label")]).select("l.merged_id", "r.label_id")
 
 
+@query(with_clause("fx_det", "fx_label") + " " + _det_label)
+def sjoin_dense(spark, d):
+    """The inner join with its crowded cells split."""
+    dets, truth = det(spark, d), labels(spark, d)
+    dense = spatial.dense_cells(dets, truth, CELL, 100)
+    return spatial.pairs(dets, truth, CELL, [("year_det", "year_label")], dense=dense).select("l.merged_id", "r.label_id")
+
+
 @query(with_clause("fx_det", "fx_label", more=f"p AS ({_det_label})") + " SELECT d.merged_id, p.label_id FROM fx_det d LEFT JOIN p USING (merged_id)")
 def sjoin_left(spark, d):
     return spatial.left_pairs(det(spark, d), labels(spark, d), "merged_id", CELL, keys=[("year_det", "year_label")]).select("l.merged_id", "r.label_id")
