@@ -78,7 +78,8 @@ def class_counts(tags: DataFrame, classes: DataFrame, by: list[str] = ()) -> Dat
     counts = rows.groupBy(*by, F.col("k").alias("label_class")).agg(*(F.count_if(F.col("what") == w).alias(w) for w in ("tp", "fp", "fn")))
     wanted = classes.select("label_class")
     if by:  # a row for each class and group
-        wanted = tags.select(*by).distinct().withColumn("label_class", F.explode(F.array(*(F.lit(r[0]) for r in wanted.distinct().collect()))))
+        every = wanted.agg(F.collect_set("label_class").alias("__k")).withColumn("__one", F.lit(1))  # one row, as long as there are classes
+        wanted = tags.select(*by).distinct().withColumn("__one", F.lit(1)).join(F.broadcast(every), "__one").select(*by, F.explode("__k").alias("label_class"))
     return wanted.join(counts, [*by, "label_class"], "left").select(*by, "label_class", *(F.coalesce(w, F.lit(0)).alias(w) for w in ("tp", "fp", "fn")))
 
 
