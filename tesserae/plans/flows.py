@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.config import Artifacts, Assess, Enrich, Fuse, Merge, Years
 from tesserae.functions import rect
 from tesserae.operators import fusion, matching, merging, overlay, raster, reports, selection, spatial, tiling
-from tesserae.storage import store
+from tesserae.storage import exists, store
 
 CELL = 256
 
@@ -195,6 +197,10 @@ def write(df: DataFrame, path: str, overwrite: bool = True, by_year: str | None
 
 
 def compile_years(spark: SparkSession, root: str, years: list[int]) -> DataFrame:
-    """Rows of the years that are there, one frame; only their folders are read."""
+    """Rows of the years that are there, one frame; only their folders are read. Years without a folder are named in a
+    warning."""
+    missing = [y for y in years if not exists(spark, f"{root.rstrip('/')}/year={y}")]
+    if missing:
+        warnings.warn(f"no detections of {', '.join(map(str, missing))} below {root}", stacklevel=2)
     df = spark.read.option("basePath", root).parquet(root)
     return df.where(F.col("year").isin(years))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,19 @@ def drop(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, at: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def derived(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The Parquet table at path if a complete one is there, else what make() gives, written there first. A write that broke
+    off left no mark of success, and is replaced."""
+    if not exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def write_bytes(spark: SparkSession, at: str, data: bytes) -> None:
     """A small file, through Hadoop's file systems."""
     path = spark._jvm.org.apache.hadoop.fs.Path(at)

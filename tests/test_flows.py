@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tesserae import config
+from tesserae import config, storage
 from tesserae.plans import flows
 from tesserae.plans.fixtures import frame
 
@@ -90,3 +90,20 @@ def test_projected_area_and_tiles_that_no_filter_leaves(spark):
     assert flows.filtered_tiles(tiles, None, dem, or_all=True).count() == 5
     low = dem.withColumn("elevation", F.lit(10.0))
     assert sorted(r["tile_id"] for r in flows.filtered_tiles(tiles, None, low).collect()) == sorted(r["tile_id"] for r in tiles.collect())
+
+
+def test_missing_years_are_named(spark, tmp_path):
+    for year in (2001, 2003):
+        spark.range(2).withColumn("year", F.lit(year)).write.mode("append").partitionBy("year").parquet(str(tmp_path))
+    with pytest.warns(UserWarning, match="2002, 2004"):
+        got = flows.compile_years(spark, str(tmp_path), [2001, 2002, 2004])
+    assert {r["year"] for r in got.collect()} == {2001}
+
+
+def test_derived_inputs_are_made_once(spark, tmp_path):
+    made = []
+    make = lambda: made.append(1) or spark.range(3)
+    path = str(tmp_path / "d")
+    assert storage.derived(spark, path, make).count() == 3 and storage.derived(spark, path, make).count() == 3 and made == [1]
+    (tmp_path / "d" / "_SUCCESS").unlink()  # as a write that broke off
+    assert storage.derived(spark, path, make).count() == 3 and made == [1, 1]
