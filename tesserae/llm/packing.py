@@ -10,8 +10,8 @@ there are at most `width` patterns.
 Which piece takes which place follows by arithmetic from its rank among the pieces of its length. Ranks
 come from counts per task and length, written down as the pieces are made; no group is gathered.
 
-Null text counts as empty; such a document is its end id alone. Repeated rows are packed each. Empty
-tables give no pieces. Cuts fall only at multiples of `width` within a document.
+Null text counts as empty; such a document is its end id alone. Repeated rows are packed each. Columns other than
+identifier and text aren't read. Empty tables give no pieces. Cuts fall only at multiples of `width` within a document.
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@ Documents are aggregated by encoded length; the histogram has a row for each len
 sums over it (documents and tokens of at least a length) then answer every context limit at once:
 truncated totals, dropped tokens and quantiles need no second pass over the texts.
 
-Null text counts as empty: length 0. Repeated rows count each. An empty table has an empty histogram.
+Null text counts as empty: length 0. Repeated rows count each. Columns other than identifier and text aren't
+read. An empty table has an empty histogram.
 """
 
 from __future__ import annotations
