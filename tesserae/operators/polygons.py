@@ -1,6 +1,6 @@
 """The spatial operators on polygons: a `geometry` column (well-known binary) beside its bounds.
 
-Shapes are laid over a grid by their bounds and gathered in pages of at most PAGE shapes of a cell. Two pages of a
+Shapes are laid over a grid by their bounds and gathered in pages of about PAGE shapes of a cell. Two pages of a
 cell meet in one call: one goes into a packed R-tree of prepared shapes, the other is probed against it,
 so a shape is read and prepared once a page and not once a pair. Very wide areas are cut into pieces first.
 Unions are an aggregate whose buffers are partial unions, made before and after the exchange. Call
@@ -11,12 +11,13 @@ Rows with a null or empty geometry have no bounds and meet nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.functions import rect
 from tesserae.operators import spatial
 from tesserae.operators.components import connected_components
+from tesserae.storage import store
 
 #: Shapes of a page; levels of a union's tree, and how much wider a level's cells are.
 PAGE, LEVELS, FAN = 256, 4, 8
@@ -50,13 +51,15 @@ def grown(df: DataFrame, columns: list[str], distance: float, segments: int = 16
 
 
 def _pages(df: DataFrame, id_col: str, cell: float, keys: list[str]) -> DataFrame:
-    """Keys, cell, number and shapes of every page. A cell is numbered in a sorted stream, so it may be of any size."""
+    """Keys, cell, number and shapes of every page. The cells with more than PAGE shapes are counted and listed first: their
+    shapes are dealt to pages by identifier, which are gathered apart, so a town spreads over many tasks."""
     at = lambda c: F.floor(F.col(c) / F.lit(float(cell))).cast("long")
-    slim = df.select(F.col(id_col).cast("long").alias("__id"), "geometry", *rect.SIDES, *(F.col(k).alias(f"__k{n}") for n, k in enumerate(keys))).where(" AND ".join(f"{s} IS NOT NULL" for s in rect.SIDES))
+    slim = df.select(F.col(id_col).cast("long").alias("__id"), "geometry", *rect.SIDES, *(F.col(k).alias(f"__k{n}") for n, k in enumerate(keys))).where(" AND ".join(f"{s} IS NOT NULL" for s in (*rect.SIDES, *(f"__k{n}" for n in range(len(keys))))))
     laid = slim.withColumn("__cx", F.explode(F.sequence(at("minx"), at("maxx")))).withColumn("__cy", F.explode(F.sequence(at("miny"), at("maxy"))))
     group = [*(f"__k{n}" for n in range(len(keys))), "__cx", "__cy"]
-    place = F.row_number().over(Window.partitionBy(*group).orderBy("__id")) - 1
-    return laid.withColumn("__page", F.floor(place / PAGE)).groupBy(*group, "__page").agg(F.collect_list(F.struct("__id", "geometry")).alias("__shapes"))
+    crowded, _ = store(laid.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAGE).select(*group, F.ceil(F.col("n") / PAGE).alias("__pages")), "crowded")
+    page = F.coalesce(F.pmod(F.xxhash64("__id"), F.col("__pages")), F.lit(0))
+    return laid.join(crowded, group, "left").withColumn("__page", page).groupBy(*group, "__page").agg(F.collect_list(F.struct("__id", "geometry")).alias("__shapes"))
 
 
 def _met(a: DataFrame, b: DataFrame, cell: float, n_keys: int, mode: str, one_table: bool) -> DataFrame:
