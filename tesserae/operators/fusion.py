@@ -13,7 +13,7 @@ from tesserae.storage import store
 
 def iou_edges(df: DataFrame, id_col: str, threshold: float, cell: float, same: list[str] = ("year_det",)) -> DataFrame:
     """src >= dst, iou of pairs (a row with itself included) with at least the threshold."""
-    met = spatial.self_pairs(df, id_col, cell, list(same))
+    met = spatial.self_pairs(df, id_col, cell, list(same), columns=[id_col])
     return met.select(F.col(f"l.{id_col}").alias("src"), F.col(f"r.{id_col}").alias("dst"), rect.iou("l.", "r.").alias("iou")).where(F.col("iou") >= threshold)
 
 
@@ -52,7 +52,7 @@ def keep_or_remove(df: DataFrame, presence_min: float, score_min: float, small:
 def second_overlap(df: DataFrame, id_col: str, cell: float, same: list[str] = ("year_det",)) -> DataFrame:
     """id, second_iou, top_id: for each row that meets another, the greatest share of it that another one
     covers and, independently, the greatest id it meets."""
-    met = spatial.self_pairs(df, id_col, cell, list(same), strict=True)
+    met = spatial.self_pairs(df, id_col, cell, list(same), strict=True, columns=[id_col])
     shared = rect.shared_area("l.", "r.").cast("double")
     a, b = F.col(f"l.{id_col}"), F.col(f"r.{id_col}")
     sides = met.select(F.explode(F.array(

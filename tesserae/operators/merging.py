@@ -28,7 +28,7 @@ def proximity_groups(df: DataFrame, id_col: str, cell: float, grow: int, same: l
     grown = df.select(id_col, *same, *(c.alias(s) for s, c in rect.grown(grow).items()))
     c = rect.intersection("l.", "r.")
     edge = (c["maxx"] > c["minx"]) | (c["maxy"] > c["miny"])
-    met = spatial.self_pairs(grown, id_col, cell, same).where(edge)
+    met = spatial.self_pairs(grown, id_col, cell, same, columns=[id_col]).where(edge)
     found = connected_components(met.select(F.col(f"l.{id_col}").alias("src"), F.col(f"r.{id_col}").alias("dst")))
     return found.select(F.col("node").alias(id_col), F.col("component").alias("group_id"))
 
