@@ -240,11 +240,13 @@ def with_threshold_in_name(df: DataFrame, kind: str) -> DataFrame:
     return df.where(low if kind == "conservative" else ~low)
 
 
-def rows_per_file(df: DataFrame) -> DataFrame:
-    """files, rows and the average number of rows of a file scan. Files without rows aren't seen."""
+def rows_per_file(df: DataFrame, in_parts: bool = False) -> DataFrame:
+    """files, rows and the average number of rows of a file scan. Files without rows aren't seen. With `in_parts` a file is
+    a folder, in which tasks have written a part each."""
     from pyspark.sql import functions as F
 
-    each = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    path = F.col("_metadata.file_path")
+    each = df.groupBy((F.regexp_replace(path, "/[^/]*$", "") if in_parts else path).alias("file")).agg(F.count(F.lit(1)).alias("n"))
     return each.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.avg("n").alias("average"))
 
 
