@@ -40,6 +40,13 @@ def best_in_group(df: DataFrame, id_col: str) -> DataFrame:
     return df.where("group_id IS NOT NULL").withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
 
 
+def best_by_presence(df: DataFrame, n_models: int, id_col: str) -> DataFrame:
+    """best_in_group of presence, for rows that all have a group: they travel once, to where their group is counted."""
+    counted = df.withColumn("count_dets", F.count(F.lit(1)).over(Window.partitionBy("group_id")))
+    share = F.least(F.col("count_dets") / F.lit(n_models), F.lit(1.0))
+    return best_in_group(counted.withColumn("presence", share).withColumn("merged_score", F.col("score") * F.col("presence")), id_col)
+
+
 def keep_or_remove(df: DataFrame, presence_min: float, score_min: float, small: int, most: int, sure: float = 0.5, area: Column | None = None) -> DataFrame:
     """df with status: 'kept', 'presence' or 'size', the first rule that removes a row. `area` is the rectangle's if none
     is given."""
