@@ -2,7 +2,7 @@
 
 Rows arrive through a file stream as slim records (digest, code points, identifier, content locator).
 A streaming aggregation without a watermark keeps one state entry per digest, for ever, in RocksDB on
-the executors' disks: the retained row (most code points, then smallest identifier, then locator) and
+the executors' disks, open only while its task runs: the retained row (most code points, then smallest identifier, then locator) and
 the number of rows seen. The state is read back as a table. On a hit the normalised texts themselves
 are compared; rows that share a digest with the retained row but not the text form classes of their own.
 
@@ -59,6 +59,8 @@ def _run_stream(spark: SparkSession, arrivals: DataFrame, path: str, files_per_b
         ("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false"),
         ("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true"),
         ("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "64"),
+        ("spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB", "4"),
+        ("spark.sql.streaming.stateStore.unloadOnCommit", "true"),  # else every partition's stays open on its executor
         ("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")),
     ):
         session.conf.set(key, value)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import drop, map_texts, store
+from tesserae.llm.common import drop, map_texts, returning, store
 from tesserae.operators.components import connected_components
 
 TREES, DEPTH, MIN_DEPTH, WINDOW = 12, 8, 2, 12
@@ -84,7 +84,7 @@ def _order_rows(classes: DataFrame, extra: list[str]) -> DataFrame:
                 yield pa.record_batch([pa.array(np.full(n, t, np.int32)), key, *(low if c == "signature" else b.column(c) for c in rest)], ["tree", "key", *rest])
 
     types = {"id": "long", "signature": "binary", "set": "binary", "cluster": "long"}
-    wide = classes.select("id", "signature", *extra).mapInArrow(run, "tree int, key binary, " + ", ".join(f"{c} {types[c]}" for c in ["id", "signature", *extra]))
+    wide = classes.select("id", "signature", *extra).mapInArrow(returning(run), "tree int, key binary, " + ", ".join(f"{c} {types[c]}" for c in ["id", "signature", *extra]))
     order = ["cluster"] * ("cluster" in extra) + ["tree", "key", "id"]
     return wide.repartitionByRange(*order).sortWithinPartitions(*order)
 
@@ -134,7 +134,7 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
                 yield pa.record_batch([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["src", "dst"])
                 pairs = []
 
-    return _order_rows(classes, []).mapInArrow(run, "src long, dst long")
+    return _order_rows(classes, []).mapInArrow(returning(run), "src long, dst long")
 
 
 def _loose(percent: int) -> int:
@@ -181,7 +181,7 @@ def _small_links(members: DataFrame, percent: int) -> DataFrame:
         if out := [*_decide(ids, sets, percent, _Union())]:
             yield _edges(out)
 
-    return members.select("cluster", "id", "set").repartition("cluster").sortWithinPartitions("cluster").mapInArrow(run, "src long, dst long")
+    return members.select("cluster", "id", "set").repartition("cluster").sortWithinPartitions("cluster").mapInArrow(returning(run), "src long, dst long")
 
 
 def _large_links(members: DataFrame, percent: int) -> DataFrame:
@@ -215,7 +215,7 @@ def _large_links(members: DataFrame, percent: int) -> DataFrame:
             if out:
                 yield _edges(out)
 
-    return _order_rows(members, ["cluster", "set"]).mapInArrow(run, "src long, dst long")
+    return _order_rows(members, ["cluster", "set"]).mapInArrow(returning(run), "src long, dst long")
 
 
 def _bucket(cluster: int, shingles: np.ndarray, bits: int) -> np.ndarray:
@@ -250,7 +250,7 @@ def _sharing(rows: DataFrame, percent: int) -> DataFrame:
         hit = np.flatnonzero(total)
         yield pa.record_batch([pa.array(hit), pa.array(total[hit])], ["bucket", "n"])
 
-    counted = rows.select("cluster", "set").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counted = rows.select("cluster", "set").mapInArrow(returning(count), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     often = np.zeros(1 << COUNT_BITS, np.int64)
     often[counted["bucket"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     sent = spark.sparkContext.broadcast(often)
@@ -267,7 +267,7 @@ def _sharing(rows: DataFrame, percent: int) -> DataFrame:
                 n = len(first)
                 yield pa.record_batch([pa.array(np.full(n, c)), pa.array(first.view(np.int64)), pa.array(np.full(n, p)), pa.array(np.arange(n) < short)], ["cluster", "shingle", "comp", "short"])
 
-    tokens = rows.select("cluster", "comp", "set").mapInArrow(run, "cluster long, shingle long, comp long, short boolean")
+    tokens = rows.select("cluster", "comp", "set").mapInArrow(returning(run), "cluster long, shingle long, comp long, short boolean")
     shared = tokens.groupBy("cluster", "shingle").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.max("short").alias("short")).where("a < b AND short")
 
     def buckets(batches):
@@ -276,14 +276,14 @@ def _sharing(rows: DataFrame, percent: int) -> DataFrame:
             yield pa.record_batch([pa.array([int(_bucket(x, s[i : i + 1], SHARED_BITS)[0]) for i, x in enumerate(c)], pa.int64())], ["bucket"])
 
     alive = np.zeros(1 << SHARED_BITS, bool)
-    alive[shared.select("cluster", "shingle").mapInArrow(buckets, "bucket long").distinct().toPandas()["bucket"].to_numpy(np.int64)] = True
+    alive[shared.select("cluster", "shingle").mapInArrow(returning(buckets), "bucket long").distinct().toPandas()["bucket"].to_numpy(np.int64)] = True
     known = spark.sparkContext.broadcast(alive)
 
     def keep(batches):
         for b in batches:
             yield b.filter(pa.array([bool(known.value[_bucket(c, prefix(c, np.frombuffer(s.as_buffer(), np.uint64))[0], SHARED_BITS)].any()) for c, s in zip(b.column("cluster").to_pylist(), b.column("set"))], pa.bool_()))
 
-    return rows.mapInArrow(keep, "cluster long, id long, set binary, comp long")
+    return rows.mapInArrow(returning(keep), "cluster long, id long, set binary, comp long")
 
 
 def _similar(sets: list, others: list, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -371,7 +371,7 @@ def _rest_links(rows: DataFrame, percent: int) -> DataFrame:
         if out := decide(group):
             yield _edges(out)
 
-    return dealt.repartition("task").sortWithinPartitions("task").drop("cluster").mapInArrow(run, "src long, dst long")
+    return dealt.repartition("task").sortWithinPartitions("task").drop("cluster").mapInArrow(returning(run), "src long, dst long")
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
@@ -391,7 +391,7 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col
                 sets = shingle_sets([(t or "").encode() for t in part.column("text").to_pylist()], k)
                 yield pa.record_batch([part.column("id"), pa.array([s.tobytes() for s in sets], pa.binary()), *(part.column(c) for c in cols)], ["id", "set", *cols])
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(returning(run), schema)
 
 
 def components(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tesserae.llm.common import drop, map_texts, store
+from tesserae.llm.common import drop, map_texts, returning, store
 
 
 def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, width: int = 1024, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,7 +126,7 @@ def place(made: DataFrame, width: int) -> DataFrame:
             j = rank - table[k, 1]
             yield pa.record_batch([*b.columns, pa.array(table[k, 2] + j // table[k, 3]), pa.array(table[k, 4] + j % table[k, 3] * length)], [*b.schema.names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, schema).drop("rank")
+    return ranked.mapInArrow(returning(run), schema).drop("rank")
 
 
 def packed(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int = 0, width: int = 1024, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

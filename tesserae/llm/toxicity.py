@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import drop, map_texts, small_batches, store
+from tesserae.llm.common import drop, map_texts, returning, small_batches, store
 
 TRAIN_ROWS, SUPPORT, FOLDS = 200_000, 0.002, 5
 ODDS, SURE, RIDGE = 2.0, 4.0, 0.2
@@ -78,7 +78,7 @@ def letter_counts(docs: DataFrame, text_col: str) -> DataFrame:
         hit = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(hit, pa.int32()), pa.array(counts[hit])], ["trigram", "n"])
 
-    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "trigram int, n long").groupBy("trigram").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(returning(run), "trigram int, n long").groupBy("trigram").agg(F.sum("n").alias("n"))
 
 
 def letter_model(counts: DataFrame) -> np.ndarray:
@@ -430,6 +430,10 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"_channel": None}
 
+    def forget(self) -> None:
+        """The readings of a task go with it; a worker holds on to the model until its next task."""
+        self._channel = None
+
     def evidence(self, texts: list[str | None]) -> np.ndarray:
         """Log odds of each text."""
         if self._channel is None:
@@ -474,7 +478,7 @@ def _toxic_features(rows: DataFrame, letters: np.ndarray) -> DataFrame:
         if parts:
             yield flush()
 
-    return rows.select("text").mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(returning(run), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def _occurrences(rows: DataFrame, letters: np.ndarray, keys: np.ndarray) -> DataFrame:
@@ -490,7 +494,7 @@ def _occurrences(rows: DataFrame, letters: np.ndarray, keys: np.ndarray) -> Data
                 hits = _hits(channel, part.column(1).to_pylist(), keys)
                 yield pa.record_batch([part.column(0), pa.array([h.astype(np.int32) for h in hits], pa.list_(pa.int32()))], ["toxic", "hits"])
 
-    return rows.select((F.col("toxic") == 1).cast("int").alias("toxic"), "text").mapInArrow(run, "toxic int, hits array<int>")
+    return rows.select((F.col("toxic") == 1).cast("int").alias("toxic"), "text").mapInArrow(returning(run), "toxic int, hits array<int>")
 
 
 def _patterns(held: DataFrame, good: np.ndarray) -> DataFrame:
@@ -505,7 +509,7 @@ def _patterns(held: DataFrame, good: np.ndarray) -> DataFrame:
             ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(b))))).astype(np.int32)
             yield pa.record_batch([b.column("toxic"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[flat >= 0]))], ["toxic", "hits"])
 
-    return held.mapInArrow(run, "toxic int, hits array<int>").groupBy("toxic", "hits").agg(F.count(F.lit(1)).alias("n"))
+    return held.mapInArrow(returning(run), "toxic int, hits array<int>").groupBy("toxic", "hits").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> Model:
@@ -589,5 +593,6 @@ def without_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, thres
             text = b.column(place)
             for x, y in _slices(text, 1 << 20):
                 yield b.slice(x, y - x).filter(pa.array(model.scores(text.slice(x, y - x).to_pylist()) < threshold))
+        model.forget()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(returning(run), docs.schema)

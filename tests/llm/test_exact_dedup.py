@@ -40,3 +40,12 @@ def test_digests_that_collide_are_told_apart_by_their_texts(spark, docs, rows, m
     monkeypatch.setattr(exact_dedup.F, "sha2", lambda col, bits: F.substring(F.md5(col), 1, 1))
     got = exact_dedup.classes(spark, docs).collect()
     assert sorted((r["id"], r["keep_id"], r["group_size"]) for r in got) == [b[:3] for b in brute(rows)]
+
+
+def test_state_is_closed_as_tasks_end(spark, docs):
+    """Each partition's state takes native memory while it is open; an executor holds one for each task that runs."""
+    exact_dedup.classes(spark, docs).count()
+    module = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.execution.streaming.state.StateStore$")
+    held = module.getDeclaredField("loadedProviders")
+    held.setAccessible(True)
+    assert held.get(module.getField("MODULE$").get(None)).size() == 0

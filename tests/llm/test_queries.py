@@ -122,3 +122,22 @@ def test_op9(spark, tables):
 def test_op10(spark, tables):
     got = run(spark, "op10_suffix_dedup", "doc_id bigint", "n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string")
     assert sorted(got) == [r[:5] for r in test_suffix_dedup.brute(tables["documents"], 400)]
+
+
+def test_a_task_gives_back_what_it_took():
+    from tesserae.llm.common import returning
+
+    pins = []
+
+    def taken():
+        return int(open("/proc/self/statm").read().split()[1]) * 4 / 1024
+
+    def run(batches):
+        for b in batches:
+            many = [bytes(1000) for _ in range(200_000)]
+            pins.append(many[-1])  # freed memory below stays with the process until it is asked for
+            yield b
+
+    before = taken()
+    assert list(returning(run)([1, 2])) == [1, 2]
+    assert taken() - before < 50
