@@ -188,17 +188,19 @@ def sample_files(points: DataFrame, spark: SparkSession, path: str, id_col: str,
     def run(batches):
         path_, f, k, block = None, None, None, None
         for b in batches:
-            values, cost = [], []
-            for source, down, across, row, col in zip(*(b.column(c).to_pylist() for c in order)):
-                took = 0
+            n, names = len(b), b.column("source").dictionary_encode()
+            down, across, row, col = (b.column(c).to_numpy(zero_copy_only=False) for c in order[1:])
+            of, values, cost = names.indices.to_numpy(zero_copy_only=False), np.empty(n), np.zeros(n, np.int64)
+            new = np.flatnonzero((of[1:] != of[:-1]) | (down[1:] != down[:-1]) | (across[1:] != across[:-1])) + 1
+            for start, end in zip([0, *new], [*new, n]) if n else ():  # the points of one chunk
+                source = names.dictionary[int(of[start])].as_py()
                 if source != path_:
                     path_, f, k = source, _Open(source), None
-                at = down * f.head.across + across + (band - 1) * f.head.across * f.head.down * (f.head.planar == 2)
+                at = int(down[start]) * f.head.across + int(across[start]) + (band - 1) * f.head.across * f.head.down * (f.head.planar == 2)
                 if at != k:
-                    k, block, took = at, f.block(at), f.head.counts[at]
-                values.append(float(block[row % f.head.h, col % f.head.w, band - 1 if f.head.planar == 1 else 0]))
-                cost.append(took)
-            yield pa.record_batch([b.column(id_col), pa.array(values, pa.float64()), pa.array(cost, pa.int64())], [id_col, value, "read"])
+                    k, block, cost[start] = at, f.block(at), f.head.counts[at]
+                values[start:end] = block[row[start:end] % f.head.h, col[start:end] % f.head.w, band - 1 if f.head.planar == 1 else 0]
+            yield pa.record_batch([b.column(id_col), pa.array(values), pa.array(cost)], [id_col, value, "read"])
 
     kind = dict(points.dtypes)[id_col]
     got = placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, f"`{id_col}` {kind}, `{value}` double, read long")
